@@ -92,7 +92,7 @@ def study_events(events: DataFrame, prices: DataFrame, calendar: DataFrame,
     totals = _running_totals(events, prices, calendar, _probe_offsets(windows, estimation))
 
     n_est, s_est = _between("n", estimation), _between("s", estimation)
-    variance = (_between("q", estimation) - s_est * s_est / n_est) / (n_est - 1)
+    variance = F.try_divide(_between("q", estimation) - F.try_divide(s_est * s_est, n_est), n_est - 1)
     enough = (n_est >= min_estimation_days) & (n_est > 1)
     out = totals.withColumn("n_est", n_est.cast("int")).withColumn(
         "sigma", F.when(enough & (variance > 0), F.sqrt(variance))
@@ -105,7 +105,7 @@ def study_events(events: DataFrame, prices: DataFrame, calendar: DataFrame,
         columns += [
             days.cast("int").alias(f"n_{key}"),
             car.alias(f"car_{key}"),
-            (car / days).alias(f"avg_ar_{key}"),
+            F.try_divide(car, days).alias(f"avg_ar_{key}"),
             (car / (F.col("sigma") * F.sqrt(F.lit(float(length))))).alias(f"scar_{key}"),
         ]
     return out.select("company_id", "event_id", "t0", "n_prices", "n_est", "sigma", *columns)
