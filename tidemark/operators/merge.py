@@ -58,13 +58,14 @@ def upsert_fill_nulls(existing: DataFrame, incoming: DataFrame, keys: Sequence[s
     return kept.unionByName(added, allowMissingColumns=True)
 
 
-def assign_ids(existing: DataFrame, incoming: DataFrame, key: str, id_col: str) -> DataFrame:
-    """``(id, key)`` for all keys: stored ids survive, new keys follow in key order."""
-    new = new_rows(existing.select(key), incoming.select(key).distinct(), [key])
+def assign_ids(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """``(id, *keys)`` for all keys: stored ids survive, new keys follow in key order."""
+    keys = list(keys)
+    new = new_rows(existing.select(*keys), incoming.select(*keys).distinct(), keys)
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).scalar()
-    numbered = with_position(new, [key], "__pos").select(
-        (top + 1 + F.col("__pos")).cast("long").alias(id_col), key)
-    return existing.select(F.col(id_col).cast("long").alias(id_col), key).unionByName(numbered)
+    numbered = with_position(new, keys, "__pos").select(
+        (top + 1 + F.col("__pos")).cast("long").alias(id_col), *keys)
+    return existing.select(F.col(id_col).cast("long").alias(id_col), *keys).unionByName(numbered)
 
 
 def lookup_key(rows: DataFrame, name_col: str, dimension: DataFrame, dimension_name: str,

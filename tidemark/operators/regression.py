@@ -196,7 +196,7 @@ def fit_ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence
     if n < min_rows:
         return None
     inverse, rank = _symmetric_inverse(gram)
-    coef, mean_y = inverse @ xty, sums[-1] / n
+    coef, mean_y, scale = inverse @ xty, sums[-1] / n, np.sqrt(np.diag(gram))
 
     def second_pass(x: np.ndarray, t: np.ndarray) -> np.ndarray:
         e = t - x @ coef
@@ -204,8 +204,8 @@ def fit_ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence
         lost = slack < MIN_SLACK
         u = e / np.where(lost, np.nan, slack)
         weighted = x * np.nan_to_num(u)[:, None]
-        # terms touched by a row with full leverage have no defined robust error
-        tainted = (x[lost] != 0).any(axis=0) if lost.any() else np.zeros(k, bool)
+        # a row with full leverage is fitted exactly by these terms alone
+        tainted = (np.abs(x[lost] @ inverse) * scale > 1e-6).any(axis=0)
         return np.concatenate([
             (weighted.T @ weighted).ravel(), x.T @ e, tainted.astype(float),
             [e.sum(), (e ** 2).sum(), (e ** 3).sum(), (e ** 4).sum(), ((t - mean_y) ** 2).sum(), lost.sum()],
@@ -215,10 +215,7 @@ def fit_ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence
     coef = coef + inverse @ more[k * k: k * k + k]  # one step of iterative refinement
     cov = inverse @ more[: k * k].reshape(k, k) @ inverse
     tainted = more[k * k + k: k * k + 2 * k] > 0
-    if tainted.any():
-        # the intercept is shared by all rows; only terms specific to the lost rows are undefined
-        tainted[0] = tainted[0] and bool(tainted.all())
-        cov[tainted, tainted] = np.nan
+    cov[tainted, tainted] = np.nan
     e1, e2, e3, e4, sst, undefined = more[-6:]
     eigen = np.linalg.eigvalsh(gram)
     return OlsFit(

@@ -66,14 +66,16 @@ def _positive() -> Column:
 
 
 def _price(name: str) -> Column:
-    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double")).try_cast("decimal(12,4)").alias(f"{name}_price" if name != "adj_close" else name)
+    number = F.col(name).try_cast("double")
+    return F.when(~F.isnan(number), number).try_cast("decimal(12,4)")
 
 
 def normalise_prices(raw: DataFrame, companies: DataFrame) -> DataFrame:
     """Feed rows with a usable adjusted close, keyed by company and trading date."""
     listed = companies.where("ticker_symbol is not null").select("company_id", F.col("ticker_symbol").alias("ticker"))
     return raw.where(_positive()).join(listed, "ticker").select(
-        "company_id", F.to_date("ts").alias("trade_date"), _price("open"), _price("close"), _price("adj_close"),
+        "company_id", F.to_date("ts").alias("trade_date"), _price("open").alias("open_price"),
+        _price("close").alias("close_price"), _price("adj_close").alias("adj_close"),
         F.col("volume").try_cast("bigint").alias("volume"))
 
 
@@ -86,7 +88,7 @@ def price_feed_counts(raw: DataFrame) -> DataFrame:
 def normalise_index(raw: DataFrame, symbol: str = MARKET_SYMBOL) -> DataFrame:
     """The benchmark feed stamped with its symbol."""
     return raw.where(_positive()).select(
-        F.to_date("ts").alias("trade_date"), F.lit(symbol).alias("index_symbol"), _price("adj_close"),
+        F.to_date("ts").alias("trade_date"), F.lit(symbol).alias("index_symbol"), _price("adj_close").alias("adj_close"),
         F.col("volume").try_cast("bigint").alias("volume"))
 
 
