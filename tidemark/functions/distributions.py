@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -60,12 +60,12 @@ def _missing(*values) -> bool:
     return any(v is None or math.isnan(v) for v in values)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if _missing(a, b) or b <= 0 else t_two_sided(a, b) for a, b in zip(t, df)],
                      dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p_value(z: pd.Series) -> pd.Series:
     return pd.Series([None if _missing(v) else normal_two_sided(v) for v in z], dtype="float64")

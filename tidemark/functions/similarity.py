@@ -9,7 +9,7 @@ Arrow batches, and only pairs whose score depends on it are sent.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def _common_subsequence(a: str, b: str) -> int:
@@ -25,7 +25,7 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - open_bits.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [None if x is None or y is None else _common_subsequence(x, y) for x, y in zip(a, b)],
