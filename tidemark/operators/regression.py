@@ -135,7 +135,7 @@ class OlsFit:
             "condition_number": self.condition_number, "undefined_leverage": float(self.undefined),
             "durbin_watson": self._durbin_watson(order) if order else None,
         }
-        return self.spark.createDataFrame([tuple(values.values())],
+        return self.spark.createDataFrame([tuple(None if v is None else float(v) for v in values.values())],
                                           ", ".join(f"{c} double" for c in values))
 
     def _durbin_watson(self, order: Sequence[str]) -> float:

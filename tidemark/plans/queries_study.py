@@ -378,7 +378,7 @@ _SHARE_SQL = """SELECT percentage_laid_off * 100 AS x, CAST(w.car AS DOUBLE) * 1
 def _regression_sql(source: str, label: str) -> str:
     return f"""SELECT '{label}' AS predictor, *, {t_density_p('t', '(n - 2)')} AS p FROM (
         SELECT *, sign(slope) * sqrt(r2 * (n - 2) / (1 - r2)) AS t FROM (
-          SELECT regr_count(y, x) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
+          SELECT CAST(regr_count(y, x) AS BIGINT) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
                  regr_r2(y, x) AS r2 FROM ({source})))"""
 
 

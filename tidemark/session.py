@@ -19,6 +19,7 @@ def local_session(app: str = "tidemark", cpus: str | int = "*", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
