@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 _ACCURACY = 10_000
 _MARGIN = 5.0 / _ACCURACY
+_SMALL = 2 * _ACCURACY  # groups up to this size are bracketed whole: a margin of a few ranks is not enough there
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -23,15 +24,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     values = df.select(*by, number.alias("__v")).where(F.col("__v").isNotNull())
     ranks = [max(p - _MARGIN, 0.0) for p in probs] + [min(p + _MARGIN, 1.0) for p in probs]
     sketch = values.groupBy(*by).agg(
-        F.count("*").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"),
-        F.percentile_approx("__v", ranks, _ACCURACY).alias("q"),
-    )
+        F.count("*").alias("n"), F.percentile_approx("__v", ranks, _ACCURACY).alias("q"))
+    large = F.col("n") > _SMALL
     brackets = F.array(*[
         F.struct(
             F.lit(p).alias("p"),
             (F.lit(p) * (F.col("n") - 1)).alias("rank"),
-            (F.lit(None) if ranks[i] == 0.0 else F.col("q")[i]).cast("double").alias("low"),
-            (F.lit(None) if ranks[i + len(probs)] == 1.0 else F.col("q")[i + len(probs)]).cast("double").alias("high"),
+            F.when(large & F.lit(ranks[i] > 0.0), F.col("q")[i]).alias("low"),
+            F.when(large & F.lit(ranks[i + len(probs)] < 1.0), F.col("q")[i + len(probs)]).alias("high"),
         )
         for i, p in enumerate(probs)
     ])

@@ -27,6 +27,11 @@ def events_with_returns(events: DataFrame, windows: DataFrame, window: tuple[int
     return events.join(hits, "event_id")
 
 
+def stored_mean(column: str) -> Column:
+    """Mean of a stored decimal: the sum is exact, so the mean does not depend on the order of rows."""
+    return F.try_divide(F.sum(column).cast("double"), F.count(column))
+
+
 def monthly_activity(events: DataFrame, windows: DataFrame, window: tuple[int, int]) -> DataFrame:
     """``month, n_events, mean_car``; events without a return still count."""
     hits = in_window(windows, window).select("event_id", "car")
@@ -34,7 +39,7 @@ def monthly_activity(events: DataFrame, windows: DataFrame, window: tuple[int, i
         events.select("event_id", F.trunc("announcement_date", "month").alias("month"))
         .join(hits, "event_id", "left")
         .groupBy("month")
-        .agg(F.count("*").alias("n_events"), F.avg("car").cast("double").alias("mean_car"))
+        .agg(F.count("*").alias("n_events"), stored_mean("car").alias("mean_car"))
     )
 
 
@@ -131,7 +136,7 @@ def window_counts(windows: DataFrame) -> DataFrame:
 
 def mean_by_window(windows: DataFrame) -> DataFrame:
     return windows.groupBy("window_start_offset", "window_end_offset").agg(
-        F.count("car").alias("n"), F.avg("car").cast("double").alias("mean_car"))
+        F.count("car").alias("n"), stored_mean("car").alias("mean_car"))
 
 
 def price_coverage(companies: DataFrame, prices: DataFrame, low: int = LOW_COVERAGE_DAYS) -> DataFrame:

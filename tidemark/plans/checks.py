@@ -126,7 +126,7 @@ STEPS: dict[str, str] = {
         WHERE w.window_start_offset = -30 AND w.window_end_offset = 30 AND w.car IS NOT NULL""",
     "monthly": """
         SELECT CAST(date_trunc('month', s.announcement_date) AS DATE) AS month, count(*) AS n_events,
-               avg(CAST(w.car AS DOUBLE)) AS mean_car
+               CAST(sum(w.car) AS DOUBLE) / count(w.car) AS mean_car
         FROM study s LEFT JOIN stored w
           ON w.event_id = s.event_id AND w.window_start_offset = -5 AND w.window_end_offset = 5
         GROUP BY 1""",

@@ -260,12 +260,11 @@ def _(spark, folder):
     return rep.window_counts(es.long_results(wide(spark, folder)))
 
 
-@query("A14_mean_by_window", "window_start_offset:l window_end_offset:l n:l mean_car:f", statement(
-    """SELECT window_start_offset, window_end_offset, count(car) AS n, avg(CAST(car AS DOUBLE)) AS mean_car
+@query("A14_mean_by_window", "window_start_offset:l window_end_offset:l n:l mean_car:x", statement(
+    """SELECT window_start_offset, window_end_offset, count(car) AS n, CAST(sum(car) AS DOUBLE) / count(car) AS mean_car
        FROM stored GROUP BY ALL"""))
 def _(spark, folder):
-    stored = es.long_results(wide(spark, folder), stored=True)
-    return rep.mean_by_window(stored.withColumn("car", F.col("car").cast("double")))
+    return rep.mean_by_window(es.long_results(wide(spark, folder), stored=True))
 
 
 @query("A15_run_counters", "processed:l skipped_no_prices:l skipped_bounds:l", statement(
