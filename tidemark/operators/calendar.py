@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidemark.session import checkpointed
+from tidemark.session import settled
 
 REGIME_DAYS = 30
 REGIME_MIN_DAYS = 20
@@ -34,7 +34,7 @@ def trading_calendar(market: DataFrame, settle: bool = True) -> DataFrame:
         .withColumn("r_mkt", F.log(F.col("adj_close") / F.lag("adj_close").over(order)))
         .drop("index_symbol")
     )
-    return checkpointed(calendar) if settle else calendar
+    return settled(calendar) if settle else calendar
 
 
 def date_lookup(calendar: DataFrame) -> DataFrame:

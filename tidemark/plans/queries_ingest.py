@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import cleaning as cl
@@ -18,19 +16,14 @@ from tidemark.plans import ingest as ing
 from tidemark.plans import study as st
 from tidemark.plans import warehouse as wh
 from tidemark.plans.checks import statement
-from tidemark.plans.queries_study import ranked_pct, wide
+from tidemark.plans.queries_study import ranked_pct, stored_windows, wide
 from tidemark.plans.registry import query
-from tidemark.session import shared_folder
+from tidemark.session import scratch_path, settled
 from tidemark.sources import readers as rd
 from tidemark.sources import schemas
 from tidemark.sources import writers as wr
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder on storage every executor can reach."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
 # ---- raw announcements as text, derived from the warehouse tables
 
 _HEADER = {"company": "Company", "date": " Date ", "total_laid_off": "Total Laid Off",
@@ -120,7 +113,7 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADER) + " FROM raw_text", RAW))
 def _(spark, folder):
     """Written as CSV and read back; padding survives, empty cells are null."""
-    path = scratch(spark, "raw-events")
+    path = scratch_path(spark, "raw-events")
     raw_events(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
     return rd.normalise_columns(rd.read_events_csv(spark, path))
@@ -194,7 +187,7 @@ def _(spark, folder):
 @query("P9_log_features", "event_id:l log_employees_laid_off:f log_funds_raised:f", statement(
     "SELECT event_id, log_employees_laid_off, log_funds_raised FROM features"))
 def _(spark, folder):
-    return ft.size_features(wh.study_events(spark, folder))
+    return ft.size_features(settled(wh.study_events(spark, folder)))
 
 
 @query("P10_missing_flags", "event_id:l has_pct:l has_funds:l", statement(
@@ -229,7 +222,7 @@ def _(spark, folder):
     """SELECT event_id, coalesce(employees_laid_off, (SELECT median(employees_laid_off) FROM study)) AS employees,
               coalesce(percentage_laid_off, (SELECT median(percentage_laid_off) FROM study)) AS pct FROM study"""))
 def _(spark, folder):
-    events = wh.study_events(spark, folder)
+    events = settled(wh.study_events(spark, folder))
     return events.transform(ft.fill_median, "employees_laid_off", "employees").transform(
         ft.fill_median, "percentage_laid_off", "pct")
 
@@ -469,7 +462,7 @@ def _(spark, folder):
     "SELECT * FROM stored"))
 def _(spark, folder):
     """Results of another window set are stored first; the recompute leaves none of them behind."""
-    path = scratch(spark, "event-windows")
+    path = scratch_path(spark, "event-windows")
     first = [(-2, 2)]
     wr.replace_table(es.long_results(wide(spark, folder, first), first, stored=True), path)
     wr.replace_table(es.long_results(wide(spark, folder), stored=True), path)
@@ -479,7 +472,7 @@ def _(spark, folder):
 @query("S13_write_results", "event_id:l car_m5_p5:f scar_m5_p5:f", statement(
     "SELECT event_id, car AS car_m5_p5, scar AS scar_m5_p5 FROM headline"))
 def _(spark, folder):
-    path = scratch(spark, "study")
+    path = scratch_path(spark, "study")
     wr.write_study(path, per_event=wide(spark, folder).drop("company_id", "t0", "sigma"))
     return rd.read_events_csv(spark, f"{path}/per_event_cars")
 
@@ -487,7 +480,7 @@ def _(spark, folder):
 # ---- reports over the stored windows
 
 def _stored_pct(spark: SparkSession, folder: str) -> DataFrame:
-    stored = rep.in_window(es.long_results(wide(spark, folder), stored=True), (-5, 5))
+    stored = rep.in_window(stored_windows(spark, folder), (-5, 5))
     return stored.select("event_id", (F.col("car").cast("double") * 100).alias("v")).where("v is not null")
 
 
@@ -521,7 +514,7 @@ def _(spark, folder):
     "SELECT *, (SELECT max(abs(mean_car * 100)) FROM monthly) AS vmax FROM ("
     + _matrix_sql("mean_car * 100", "NULL") + ")"))
 def _(spark, folder):
-    pct = monthly(spark, folder).withColumn("pct", F.col("mean_car") * 100)
+    pct = settled(monthly(spark, folder)).withColumn("pct", F.col("mean_car") * 100)
     return rep.year_month_matrix(pct, F.col("pct")).withColumn("vmax", rep.symmetric_limit(pct, "pct").scalar())
 
 
@@ -563,7 +556,7 @@ _BOX_SQL = """
     _BOX_SQL, {**_PCT, "ranked": """SELECT CASE WHEN h.event_rank = 1 THEN 'First-time' ELSE 'Repeat' END AS grp, v
                                     FROM pct JOIN history h USING (event_id)"""}))
 def _(spark, folder):
-    return rep.box_stats(ranked_pct(spark, folder), "car_pct", "grp")
+    return rep.box_stats(settled(ranked_pct(spark, folder)), "car_pct", "grp")
 
 
 @query("A13_impact_coverage", "status:s companies:l total_laid_off:l", statement(

@@ -18,7 +18,7 @@ from tidemark.operators import returns as ret
 from tidemark.plans import warehouse as wh
 from tidemark.plans.checks import statement
 from tidemark.plans.registry import query
-from tidemark.session import checkpointed
+from tidemark.session import settled
 
 HEAD = (-5, 5)
 
@@ -38,16 +38,22 @@ def headline(spark: SparkSession, folder: str) -> DataFrame:
         "event_id", "company_id", F.col("car_m5_p5").alias("car"), F.col("scar_m5_p5").alias("scar"))
 
 
+def stored_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The event-window table as a report finds it: written, six decimals."""
+    return settled(es.long_results(wide(spark, folder), stored=True))
+
+
 def features(spark: SparkSession, folder: str) -> DataFrame:
-    return ft.build_features(wh.study_events(spark, folder), calendar(spark, folder))
+    """Written events first: ranks, medians, buckets and regime each read them."""
+    return ft.build_features(settled(wh.study_events(spark, folder)), calendar(spark, folder))
 
 
 def model_frame(spark: SparkSession, folder: str) -> DataFrame:
     """Features joined with returns, written out because the models read it many times."""
     days = calendar(spark, folder)
-    events = wh.study_events(spark, folder)
+    events = settled(wh.study_events(spark, folder))
     results = es.wide_results(events, wh.prices(spark, folder), days, [HEAD])
-    return checkpointed(ft.join_results(ft.build_features(events, days), results))
+    return settled(ft.join_results(ft.build_features(events, days), results))
 
 
 # ---- returns and the calendar
@@ -297,7 +303,7 @@ def normal_density_p(z: str) -> str:
     """SELECT count(car) AS n, avg(car) AS mean, median(car) AS median, stddev_samp(car) AS std
        FROM headline"""))
 def _(spark, folder):
-    return inf.summary_stats(headline(spark, folder), "car")
+    return inf.summary_stats(settled(headline(spark, folder)), "car")
 
 
 @query("T2_ttest_1samp", "n:l mean:f std:f t:f p:f", statement(
@@ -318,7 +324,7 @@ def _(spark, folder):
        FROM headline"""))
 def _(spark, folder):
     """The random interval must bracket the mean and be about as wide as theory says."""
-    rows = checkpointed(headline(spark, folder))
+    rows = settled(headline(spark, folder))
     ci = inf.bootstrap_ci(rows, "car", "event_id").select(F.struct("ci_lo", "ci_hi")).scalar()
     se = F.col("std") / F.sqrt("n")
     ratio = (ci["ci_hi"] - ci["ci_lo"]) / (2 * 1.96 * se)
@@ -341,7 +347,7 @@ _RANKED_PCT = """SELECT h.event_rank = 1 AS is_first, CAST(w.car AS DOUBLE) * 10
 
 def ranked_pct(spark: SparkSession, folder: str) -> DataFrame:
     """``is_first, grp, car_pct`` per event with a stored headline return."""
-    stored = es.long_results(wide(spark, folder), stored=True)
+    stored = stored_windows(spark, folder)
     ranked = ft.event_history(wh.study_events(spark, folder)).select("event_id", "event_rank")
     hits = rep.events_with_returns(ranked, stored, HEAD)
     first = F.col("event_rank") == 1
@@ -352,14 +358,15 @@ def ranked_pct(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("T5_welch_ttest", "n_first:l mean_first:f n_rest:l mean_rest:f t:f dof:f p:f", statement(
     f"""SELECT *, {t_density_p('t', 'dof')} AS p FROM (
-          SELECT *, (mean_first - mean_rest) / sqrt(ea + eb) AS t,
-                 pow(ea + eb, 2) / (ea * ea / (n_first - 1) + eb * eb / (n_rest - 1)) AS dof FROM (
+          SELECT *, CASE WHEN n_first > 2 AND n_rest > 2 THEN (mean_first - mean_rest) / sqrt(ea + eb) END AS t,
+                 CASE WHEN n_first > 2 AND n_rest > 2
+                      THEN pow(ea + eb, 2) / (ea * ea / (n_first - 1) + eb * eb / (n_rest - 1)) END AS dof FROM (
             SELECT count(*) FILTER (WHERE is_first) AS n_first, count(*) FILTER (WHERE NOT is_first) AS n_rest,
                    avg(car_pct) FILTER (WHERE is_first) AS mean_first,
                    avg(car_pct) FILTER (WHERE NOT is_first) AS mean_rest,
                    var_samp(car_pct) FILTER (WHERE is_first) / count(*) FILTER (WHERE is_first) AS ea,
                    var_samp(car_pct) FILTER (WHERE NOT is_first) / count(*) FILTER (WHERE NOT is_first) AS eb
-            FROM ({_RANKED_PCT})) WHERE n_first > 2 AND n_rest > 2)"""))
+            FROM ({_RANKED_PCT})))"""))
 def _(spark, folder):
     return inf.welch_t_test(ranked_pct(spark, folder), "car_pct", F.col("is_first"))
 
@@ -383,7 +390,7 @@ def _regression_sql(source: str, label: str) -> str:
 
 def size_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id, x_size, x_share, y``: log employees and share laid off against the return in percent."""
-    stored = es.long_results(wide(spark, folder), stored=True)
+    stored = stored_windows(spark, folder)
     hits = rep.events_with_returns(wh.study_events(spark, folder), stored, HEAD)
     return hits.select(
         "event_id",
@@ -406,14 +413,14 @@ def _(spark, folder):
               FROM ({_SIZE_SQL})), range(100) AS g(k)"""))
 def _(spark, folder):
     """Grid and line are exact; the random band must contain the line."""
-    pairs = checkpointed(size_pairs(spark, folder))
+    pairs = settled(size_pairs(spark, folder))
     band = inf.regression_band(pairs, "x_size", "y", "event_id")
     return band.withColumn("inside", F.col("fit").between(F.col("lo"), F.col("hi")))
 
 
 @query("T7_regression_band", "x:f fit:f lo:f hi:f")
 def _(spark, folder):
-    return inf.regression_band(checkpointed(size_pairs(spark, folder)), "x_size", "y", "event_id")
+    return inf.regression_band(settled(size_pairs(spark, folder)), "x_size", "y", "event_id")
 
 
 # ---- models
@@ -490,7 +497,7 @@ def _(spark, folder):
        FROM features"""))
 def _(spark, folder):
     """Categories learned from the events without funding data, applied to all events."""
-    frame = checkpointed(features(spark, folder))
+    frame = settled(features(spark, folder).select("event_id", "has_funds", *ft.CATEGORICAL_REGRESSORS))
     model = rf.encoder().fit(frame.where("has_funds = 0"))
 
     def ones(name: str):

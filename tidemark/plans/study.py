@@ -13,7 +13,7 @@ from tidemark.functions.windows import (
 )
 from tidemark.operators import eventstudy, features, forest, inference, regression
 from tidemark.operators.calendar import trading_calendar
-from tidemark.session import checkpointed
+from tidemark.session import settled
 
 
 @dataclass
@@ -51,13 +51,14 @@ class Study:
 
 def run_study(inputs: StudyInputs, windows: Sequence[Window] = DEFAULT_WINDOWS,
               headline: Window = HEADLINE_WINDOW, with_forest: bool = True, **forest_options) -> Study:
-    """Compute everything once; the per-event results are written out and reused by all that follows."""
+    """Events, per-event results and the model frame are written out once and reused by all that follows."""
     windows = check_windows([*windows, headline])
     calendar = trading_calendar(inputs.market)
-    results = checkpointed(eventstudy.study_events(inputs.events, inputs.prices, calendar, windows))
+    events = settled(inputs.events)
+    results = settled(eventstudy.study_events(events, inputs.prices, calendar, windows))
     per_event = eventstudy.studied(results)
     key = window_key(headline)
-    frame = checkpointed(features.join_results(features.build_features(inputs.events, calendar), per_event))
+    frame = settled(features.join_results(features.build_features(events, calendar), per_event))
     model = folds = None
     if with_forest:
         model = forest.fit_forest(frame, f"car_{key}", **forest_options)

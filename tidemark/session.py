@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "tidemark", cpus: str | int = "*", shuffle_partitions: int = 8,
@@ -40,8 +41,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df):
-    """Write ``df`` to the shared folder and continue from the written copy."""
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Write an intermediate result that several steps read, and continue from the table.
+
+    The lineage is cut, a lost executor costs no recomputation, later reads are
+    column-pruned, and the planner knows the table's size.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """As ``settled``, but keeps partitions and their row order."""
     spark = df.sparkSession
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
