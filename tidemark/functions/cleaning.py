@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -24,8 +25,16 @@ def clean_text(col: Column) -> Column:
 
 
 def parse_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; anything else becomes null."""
-    return F.coalesce(*[F.try_to_date(col, fmt) for fmt in formats])
+    """First format that parses wins; anything else becomes null.
+
+    The shape is matched before parsing: a failed parse costs an exception per
+    row, a failed pattern does not.
+    """
+    def attempt(fmt: str) -> Column:
+        shape = "^" + re.sub("[A-Za-z]", "[0-9]", fmt) + "$"
+        return F.when(col.rlike(shape), F.try_to_date(col, fmt))
+
+    return F.coalesce(*[attempt(fmt) for fmt in formats])
 
 
 def to_number(col: Column) -> Column:

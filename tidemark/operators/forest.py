@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.operators.features import CATEGORICAL_REGRESSORS, FOREST_NUMERICS
 from tidemark.operators.positions import with_position
+from tidemark.session import settled
 
 # Fixed values of the study design.
 TREES, SEED, FOLDS, MIN_ROWS = 500, 42, 5, 30
@@ -90,17 +93,19 @@ def stratified_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS) ->
 def cross_validate(df: DataFrame, car: str, order: Sequence[str] = ("company_id", "announcement_date", "event_id"),
                    folds: int = FOLDS, **options) -> DataFrame:
     """``fold, n, accuracy, roc_auc``; class weights come from the training part only."""
-    labelled = stratified_folds(sign_label(df, car), order, folds).cache()
+    labelled = settled(stratified_folds(sign_label(df, car), order, folds))
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    rows = []
-    for k in range(folds):
+
+    def score(k: int) -> tuple[int, int, float, float]:
         model = forest(**options).fit(with_weights(labelled.where(F.col("fold") != k)))
-        scored = model.transform(labelled.where(F.col("fold") == k)).select(
-            "label", "prediction", "rawPrediction").cache()
-        rows.append((k, scored.count(), accuracy.evaluate(scored), auc.evaluate(scored)))
-        scored.unpersist()
-    labelled.unpersist()
+        scored = settled(model.transform(labelled.where(F.col("fold") == k)).select(
+            "label", "prediction", "rawPrediction"))
+        return k, scored.count(), accuracy.evaluate(scored), auc.evaluate(scored)
+
+    # the folds are independent jobs; submitting them together keeps the cluster busy
+    with ThreadPool(folds) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds))
     return df.sparkSession.createDataFrame(rows, "fold int, n long, accuracy double, roc_auc double")
 
 
@@ -129,6 +134,5 @@ def feature_importance(model: PipelineModel, numeric: Sequence[str] = FOREST_NUM
     average = sum(per_tree) / count
     spread = (sum((v - average) ** 2 for v in per_tree) / count) ** 0.5
     rows = [(n, float(m), float(s)) for n, m, s in zip(feature_names(model, numeric, categorical), mean, spread)]
-    from pyspark.sql import SparkSession
     return SparkSession.active().createDataFrame(
         rows, "feature string, importance_mean double, importance_std double")

@@ -11,7 +11,6 @@ from tidemark.operators import eventstudy as es
 from tidemark.operators import features as ft
 from tidemark.operators import forest as rf
 from tidemark.operators import inference as inf
-from tidemark.operators import quantiles as qt
 from tidemark.operators import regression as reg
 from tidemark.operators import reporting as rep
 from tidemark.operators import returns as ret
@@ -27,9 +26,14 @@ def calendar(spark: SparkSession, folder: str) -> DataFrame:
     return cal.trading_calendar(wh.market(spark, folder))
 
 
+def price_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``(prices, calendar)`` from a single pass over the lines."""
+    sums = settled(wh.weekly(spark, folder))
+    return wh.prices(spark, folder, sums), cal.trading_calendar(wh.market(spark, folder, sums))
+
+
 def wide(spark: SparkSession, folder: str, windows=DEFAULT_WINDOWS) -> DataFrame:
-    return es.wide_results(wh.study_events(spark, folder), wh.prices(spark, folder),
-                           calendar(spark, folder), windows)
+    return es.wide_results(wh.study_events(spark, folder), *price_inputs(spark, folder), windows)
 
 
 def headline(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,9 +54,9 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_frame(spark: SparkSession, folder: str) -> DataFrame:
     """Features joined with returns, written out because the models read it many times."""
-    days = calendar(spark, folder)
+    prices, days = price_inputs(spark, folder)
     events = settled(wh.study_events(spark, folder))
-    results = es.wide_results(events, wh.prices(spark, folder), days, [HEAD])
+    results = es.wide_results(events, prices, days, [HEAD])
     return settled(ft.join_results(ft.build_features(events, days), results))
 
 
@@ -147,8 +151,7 @@ _ALIGNED = """
 
 @query("J6_window_align", "event_id:l offset:l r_stock:f r_mkt:f", statement(_ALIGNED))
 def _(spark, folder):
-    return es.window_alignment(wh.study_events(spark, folder), wh.prices(spark, folder),
-                               calendar(spark, folder), HEAD)
+    return es.window_alignment(wh.study_events(spark, folder), *price_inputs(spark, folder), HEAD)
 
 
 @query("J7_semi_has_prices", "event_id:l company_id:l", statement(
@@ -162,8 +165,7 @@ def _(spark, folder):
 
 @query("V1_abnormal_return", "event_id:l offset:l ar:f", statement(_ALIGNED))
 def _(spark, folder):
-    return es.window_alignment(wh.study_events(spark, folder), wh.prices(spark, folder),
-                               calendar(spark, folder), HEAD)
+    return es.window_alignment(wh.study_events(spark, folder), *price_inputs(spark, folder), HEAD)
 
 
 @query("V2_car", "event_id:l car:f avg_ar:f", statement(
@@ -175,8 +177,7 @@ def _(spark, folder):
 
 @query("V3_estimation_sigma", "event_id:l sigma:f", statement("SELECT event_id, sigma FROM estimation"))
 def _(spark, folder):
-    return es.study_events(wh.study_events(spark, folder), wh.prices(spark, folder),
-                           calendar(spark, folder), [HEAD])
+    return es.study_events(wh.study_events(spark, folder), *price_inputs(spark, folder), [HEAD])
 
 
 @query("V4_scar", "event_id:l scar:f", statement("SELECT event_id, scar FROM headline"))
@@ -204,8 +205,7 @@ def _(spark, folder):
 
 @query("V7_timeline", "event_id:l offset:l ar:f", statement("SELECT * FROM daily"))
 def _(spark, folder):
-    days = calendar(spark, folder)
-    prices = wh.prices(spark, folder)
+    prices, days = price_inputs(spark, folder)
     return es.timeline(es.wide_results(wh.study_events(spark, folder), prices, days), prices, days)
 
 
@@ -254,8 +254,7 @@ def _(spark, folder):
          SELECT "offset", avg(ar) AS mean, stddev_samp(ar) AS std, count(*) AS n,
                 stddev_samp(ar) / sqrt(count(*)) AS se FROM daily GROUP BY "offset")"""))
 def _(spark, folder):
-    days = calendar(spark, folder)
-    prices = wh.prices(spark, folder)
+    prices, days = price_inputs(spark, folder)
     return rep.timeline_interval(
         es.timeline(es.wide_results(wh.study_events(spark, folder), prices, days), prices, days))
 
@@ -279,8 +278,7 @@ def _(spark, folder):
               count(*) FILTER (WHERE has AND t0 IS NULL) AS skipped_bounds
        FROM (SELECT t0, company_id IN (SELECT company_id FROM prices) AS has FROM aligned)"""))
 def _(spark, folder):
-    return es.run_counters(es.study_events(wh.study_events(spark, folder), wh.prices(spark, folder),
-                                           calendar(spark, folder), [HEAD]))
+    return es.run_counters(es.study_events(wh.study_events(spark, folder), *price_inputs(spark, folder), [HEAD]))
 
 
 # ---- inference

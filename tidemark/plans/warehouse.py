@@ -37,18 +37,24 @@ def _shipments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def prices(spark: SparkSession, folder: str) -> DataFrame:
-    """``company_id, trade_date, adj_close, volume``"""
-    sums = _shipments(spark, folder).groupBy("company_id", "trade_date").agg(
+def weekly(spark: SparkSession, folder: str) -> DataFrame:
+    """``company_id, trade_date, cents, volume``: the one pass over the lines that prices and market share."""
+    return _shipments(spark, folder).groupBy("company_id", "trade_date").agg(
         F.sum("cents").alias("cents"), F.sum("quantity").alias("volume"))
+
+
+def prices(spark: SparkSession, folder: str, sums: DataFrame | None = None) -> DataFrame:
+    """``company_id, trade_date, adj_close, volume``"""
+    sums = weekly(spark, folder) if sums is None else sums
     return sums.select("company_id", "trade_date",
                        _unit_price(F.col("cents"), F.col("volume")).alias("adj_close"), "volume")
 
 
-def market(spark: SparkSession, folder: str) -> DataFrame:
+def market(spark: SparkSession, folder: str, sums: DataFrame | None = None) -> DataFrame:
     """``index_symbol, trade_date, adj_close, volume``"""
-    sums = _shipments(spark, folder).groupBy("trade_date").agg(
-        F.sum("cents").alias("cents"), F.sum("quantity").alias("volume"))
+    if sums is None:
+        sums = _shipments(spark, folder).withColumnRenamed("quantity", "volume")
+    sums = sums.groupBy("trade_date").agg(F.sum("cents").alias("cents"), F.sum("volume").alias("volume"))
     return sums.select(F.lit("^GSPC").alias("index_symbol"), "trade_date",
                        _unit_price(F.col("cents"), F.col("volume")).alias("adj_close"), "volume")
 
