@@ -32,9 +32,9 @@ STEPS: dict[str, str] = {
     "announcements": """
         SELECT event_id, company_id, CAST(o_orderdate AS DATE) AS announcement_date,
                CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 100) AS INT) END AS employees_laid_off,
-               CASE WHEN o_orderpriority <> '5-LOW'
+               CASE WHEN o_orderstatus <> 'O'
                     THEN CAST(floor(o_totalprice) AS BIGINT) % 100 / 1e2 END AS percentage_laid_off,
-               CASE WHEN o_orderpriority <> '2-HIGH' THEN floor(o_totalprice) * 3 END AS funds_raised_usd,
+               CASE WHEN o_totalprice >= 100000 THEN floor(o_totalprice) * 3 END AS funds_raised_usd,
                CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS stage
         FROM orders JOIN lead_line ON o_orderkey = event_id""",
     "all_events": """
@@ -148,3 +148,69 @@ def statement(body: str, extra: dict[str, str] | None = None) -> str:
     ordered = [n for n in steps if n in needed]
     ctes = ",\n".join(f"{n} AS ({steps[n]})" for n in ordered)
     return f"WITH {ctes}\n{body}" if ctes else body
+
+
+# Least squares solved in SQL: scaled cross-products beside the identity, one Gauss-Jordan pivot per step.
+OLS_STEPS: dict[str, str] = {
+    "model": "SELECT f.*, h.car AS y FROM features f JOIN headline h USING (event_id) WHERE h.car IS NOT NULL",
+    "terms": """
+        SELECT term, row_number() OVER (ORDER BY ord, term) AS j FROM (
+          SELECT 0 AS ord, 'Intercept' AS term UNION ALL
+          SELECT 1, 'C(industry_top15)[T.' || v || ']' FROM (SELECT DISTINCT industry_top15 AS v FROM model)
+          WHERE v > (SELECT min(industry_top15) FROM model) UNION ALL
+          SELECT 2, 'C(stage_clean)[T.' || v || ']' FROM (SELECT DISTINCT stage_clean AS v FROM model)
+          WHERE v > (SELECT min(stage_clean) FROM model) UNION ALL
+          SELECT 3, unnest(['log_employees_laid_off', 'pct_laid_off_filled', 'has_pct', 'is_repeat',
+                            'days_since_prior_layoff', 'market_regime_30d', 'log_funds_raised', 'has_funds']))""",
+    "raw_cells": """
+        SELECT event_id,
+               unnest(['Intercept', 'C(industry_top15)[T.' || industry_top15 || ']',
+                       'C(stage_clean)[T.' || stage_clean || ']', 'log_employees_laid_off', 'pct_laid_off_filled',
+                       'has_pct', 'is_repeat', 'days_since_prior_layoff', 'market_regime_30d', 'log_funds_raised',
+                       'has_funds']) AS term,
+               unnest([1.0::DOUBLE, 1, 1, log_employees_laid_off, pct_laid_off_filled, has_pct, is_repeat,
+                       days_since_prior_layoff, market_regime_30d, log_funds_raised, has_funds]) AS v
+        FROM model""",
+    "scales": "SELECT j, term, sqrt(sum(v * v)) AS scale FROM raw_cells JOIN terms USING (term) GROUP BY j, term",
+    "cells": "SELECT event_id, j, v / scale AS v FROM raw_cells JOIN scales USING (term)",
+    "tableau": """
+        SELECT s.i, s.k, coalesce(g.v, 0) AS v FROM (SELECT a.j AS i, b.j AS k FROM scales a, scales b) s
+        LEFT JOIN (SELECT a.j AS i, b.j AS k, sum(a.v * b.v) AS v
+                   FROM cells a JOIN cells b USING (event_id) GROUP BY a.j, b.j) g USING (i, k)
+        UNION ALL SELECT a.j, 1000 + b.j, CASE WHEN a.j = b.j THEN 1.0 ELSE 0.0 END FROM scales a, scales b""",
+    "sweep": """
+        SELECT 0 AS step, i, k, v FROM tableau
+        UNION ALL
+        SELECT s.step + 1, s.i, s.k,
+               CASE WHEN s.i = s.step + 1 THEN s.v / pv.v ELSE s.v - cl.v * rw.v / pv.v END
+        FROM sweep s JOIN sweep pv ON pv.i = s.step + 1 AND pv.k = s.step + 1
+        JOIN sweep rw ON rw.i = s.step + 1 AND rw.k = s.k
+        JOIN sweep cl ON cl.i = s.i AND cl.k = s.step + 1
+        WHERE s.step < (SELECT max(j) FROM scales)""",
+    "inverse": """
+        SELECT i, k - 1000 AS k, v FROM sweep WHERE step = (SELECT max(j) FROM scales) AND k > 1000""",
+    "solution": """
+        SELECT n.i AS j, sum(n.v * x.v) AS b
+        FROM inverse n JOIN (SELECT c.j, sum(c.v * m.y) AS v FROM cells c JOIN model m USING (event_id) GROUP BY c.j) x
+          ON x.j = n.k
+        GROUP BY n.i""",
+    "influence": """
+        SELECT c.event_id, n.i AS j, sum(n.v * c.v) AS v FROM cells c JOIN inverse n ON n.k = c.j
+        GROUP BY c.event_id, n.i""",
+    "errors": """
+        SELECT m.event_id, 1 - f.h < 1e-10 AS lost,
+               CASE WHEN 1 - f.h < 1e-10 THEN 0 ELSE (m.y - f.fitted) / (1 - f.h) END AS u
+        FROM model m JOIN (SELECT c.event_id, sum(c.v * s.b) AS fitted, sum(c.v * g.v) AS h
+                           FROM cells c JOIN solution s USING (j) JOIN influence g USING (event_id, j)
+                           GROUP BY c.event_id) f USING (event_id)""",
+    "robust": """
+        SELECT term, b / scale AS coef, CASE WHEN NOT undefined THEN sqrt(vv) / scale END AS std_err_hc3
+        FROM scales JOIN solution USING (j) JOIN (
+          SELECT j, sum(pow(u * v, 2)) AS vv, bool_or(lost AND abs(v) > 1e-6) AS undefined
+          FROM influence JOIN errors USING (event_id) GROUP BY j) USING (j)""",
+}
+
+
+def recursive(body: str, extra: dict[str, str]) -> str:
+    """As ``statement``, for steps that refer to themselves."""
+    return statement(body, extra).replace("WITH ", "WITH RECURSIVE ", 1)

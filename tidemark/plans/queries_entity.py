@@ -14,7 +14,7 @@ from tidemark.operators import entity as en
 from tidemark.operators import reporting as rep
 from tidemark.plans import matching
 from tidemark.plans import warehouse as wh
-from tidemark.plans.checks import statement
+from tidemark.plans.checks import recursive
 from tidemark.plans.registry import query
 
 
@@ -184,7 +184,7 @@ NAMES = {
 
 
 def named(body: str) -> str:
-    return statement(body, NAMES).replace("WITH ", "WITH RECURSIVE ", 1)
+    return recursive(body, NAMES)
 
 
 def pending(spark: SparkSession, folder: str) -> DataFrame:

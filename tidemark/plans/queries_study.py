@@ -15,7 +15,7 @@ from tidemark.operators import regression as reg
 from tidemark.operators import reporting as rep
 from tidemark.operators import returns as ret
 from tidemark.plans import warehouse as wh
-from tidemark.plans.checks import statement
+from tidemark.plans.checks import OLS_STEPS, recursive, statement
 from tidemark.plans.registry import query
 from tidemark.session import settled
 
@@ -423,7 +423,10 @@ def _(spark, folder):
 
 # ---- models
 
-@query("T8_ols_hc3", "term:s coef:f std_err_hc3:f z:f p_value:f ci_lo:f ci_hi:f")
+@query("T8_ols_hc3", "term:s coef:f std_err_hc3:f z:f p_value:f ci_lo:f ci_hi:f", recursive(
+    f"""SELECT *, {normal_density_p('z')} AS p_value FROM (
+          SELECT *, coef / std_err_hc3 AS z, coef - 1.959963984540054 * std_err_hc3 AS ci_lo,
+                 coef + 1.959963984540054 * std_err_hc3 AS ci_hi FROM robust)""", OLS_STEPS))
 def _(spark, folder):
     return reg.fit_ols(model_frame(spark, folder), "car_m5_p5",
                        ft.NUMERIC_REGRESSORS, ft.CATEGORICAL_REGRESSORS).table()
@@ -488,15 +491,15 @@ def _(spark, folder):
 
 @query("T11_onehot_ignore", "event_id:l industry_hot:l stage_hot:l", statement(
     """SELECT event_id,
-              CASE WHEN industry_top15 IN (SELECT industry_top15 FROM features WHERE has_funds = 0)
+              CASE WHEN industry_top15 IN (SELECT industry_top15 FROM features WHERE stage_clean = 'Unknown')
                    THEN 1 ELSE 0 END AS industry_hot,
-              CASE WHEN stage_clean IN (SELECT stage_clean FROM features WHERE has_funds = 0)
+              CASE WHEN stage_clean IN (SELECT stage_clean FROM features WHERE stage_clean = 'Unknown')
                    THEN 1 ELSE 0 END AS stage_hot
        FROM features"""))
 def _(spark, folder):
-    """Categories learned from the events without funding data, applied to all events."""
-    frame = settled(features(spark, folder).select("event_id", "has_funds", *ft.CATEGORICAL_REGRESSORS))
-    model = rf.encoder().fit(frame.where("has_funds = 0"))
+    """Categories learned from the events of unknown stage, applied to all events."""
+    frame = settled(features(spark, folder).select("event_id", *ft.CATEGORICAL_REGRESSORS))
+    model = rf.encoder().fit(frame.where("stage_clean = 'Unknown'"))
 
     def ones(name: str):
         return F.aggregate(vector_to_array(name), F.lit(0.0), lambda a, v: a + v)

@@ -90,10 +90,8 @@ def announcements(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderkey").alias("event_id"),
             F.col("o_orderdate").cast("date").alias("announcement_date"),
             F.when(F.col("o_orderstatus") != "P", F.floor(price / 100).cast("int")).alias("employees_laid_off"),
-            F.when(F.col("o_orderpriority") != "5-LOW",
-                   (F.floor(price) % 100 / 100.0)).alias("percentage_laid_off"),
-            F.when(F.col("o_orderpriority") != "2-HIGH",
-                   (F.floor(price) * 3).cast("double")).alias("funds_raised_usd"),
+            F.when(F.col("o_orderstatus") != "O", (F.floor(price) % 100 / 100.0)).alias("percentage_laid_off"),
+            F.when(price >= 100000, (F.floor(price) * 3).cast("double")).alias("funds_raised_usd"),
             F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")).alias("stage"),
         )
         .join(lead, "event_id")
