@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def flag_violations(df: DataFrame, checks: Mapping[str, Column], id_col: str,
+def flag_violations(df: DataFrame, checks: Mapping[str, Column], id_col: str | None = None,
                     unique: Mapping[str, Sequence[str]] | None = None,
                     references: Mapping[str, tuple[str, DataFrame, str]] | None = None) -> DataFrame:
     """Add ``violations``, the sorted names of the broken rules.
 
     ``checks``: rule -> condition that must not be false (null passes, as in SQL).
     ``unique``: rule -> key columns; the smallest ``id_col`` keeps the key, and a
-    null in the key never collides. ``references``: rule -> (column, parent, parent column).
+    null in the key never collides; needs a unique ``id_col``. ``references``: rule -> (column, parent, parent column).
     Winners are found by partial aggregation and matched back on the row id, so
     a key shared by many rows is never gathered in one task.
     """

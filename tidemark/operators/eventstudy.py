@@ -60,10 +60,12 @@ def _running_totals(events: DataFrame, prices: DataFrame, calendar: DataFrame,
     swept = (
         quotes.unionByName(probes)
         .withColumn("ar", ar)
-        .withColumn("s", F.sum(F.coalesce("ar", F.lit(0.0))).over(so_far))
-        .withColumn("q", F.sum(F.coalesce(F.col("ar") * F.col("ar"), F.lit(0.0))).over(so_far))
-        .withColumn("n", F.count("ar").over(so_far))
-        .withColumn("n_prices", F.count("adj_close").over(so_far))
+        .withColumns({
+            "s": F.sum(F.coalesce("ar", F.lit(0.0))).over(so_far),
+            "q": F.sum(F.coalesce(F.col("ar") * F.col("ar"), F.lit(0.0))).over(so_far),
+            "n": F.count("ar").over(so_far),
+            "n_prices": F.count("adj_close").over(so_far),
+        })
         .where("kind = 1")
     )
     picks = [

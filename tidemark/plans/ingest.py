@@ -41,10 +41,7 @@ def load_events(events: DataFrame, companies: DataFrame, clean: DataFrame) -> tu
     rows = lookup_key(event_columns(clean), "company", companies, "company_name", "company_id")
     unknown = rows.where("company_id is null")
     known = rows.where("company_id is not null").select(*EVENT_KEY, *EVENT_ATTRIBUTES)
-    flagged = flag_violations(
-        known.withColumn("__row", F.monotonically_increasing_id()), event_checks(), "__row")
-    valid, rejected = split_valid(flagged)
-    valid = valid.drop("__row")
+    valid, rejected = split_valid(flag_violations(known, event_checks()))
     ids = assign_ids(events, valid, EVENT_KEY, "event_id")
     merged = upsert_fill_nulls(events.drop("event_id"), valid, EVENT_KEY, EVENT_ATTRIBUTES)
-    return merged.join(ids, list(EVENT_KEY)), rejected.drop("__row"), unknown
+    return merged.join(ids, list(EVENT_KEY)), rejected, unknown
