@@ -198,7 +198,7 @@ OLS_STEPS: dict[str, str] = {
         SELECT c.event_id, n.i AS j, sum(n.v * c.v) AS v FROM cells c JOIN inverse n ON n.k = c.j
         GROUP BY c.event_id, n.i""",
     "errors": """
-        SELECT m.event_id, 1 - f.h < 1e-10 AS lost,
+        SELECT m.event_id, m.company_id, m.announcement_date, m.y, m.y - f.fitted AS e, 1 - f.h < 1e-10 AS lost,
                CASE WHEN 1 - f.h < 1e-10 THEN 0 ELSE (m.y - f.fitted) / (1 - f.h) END AS u
         FROM model m JOIN (SELECT c.event_id, sum(c.v * s.b) AS fitted, sum(c.v * g.v) AS h
                            FROM cells c JOIN solution s USING (j) JOIN influence g USING (event_id, j)

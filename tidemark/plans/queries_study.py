@@ -423,7 +423,7 @@ def _(spark, folder):
 
 # ---- models
 
-@query("T8_ols_hc3", "term:s coef:f std_err_hc3:f z:f p_value:f ci_lo:f ci_hi:f", recursive(
+@query("T8_ols_hc3", "term:s coef:e std_err_hc3:e z:e p_value:e ci_lo:e ci_hi:e", recursive(
     f"""SELECT *, {normal_density_p('z')} AS p_value FROM (
           SELECT *, coef / std_err_hc3 AS z, coef - 1.959963984540054 * std_err_hc3 AS ci_lo,
                  coef + 1.959963984540054 * std_err_hc3 AS ci_hi FROM robust)""", OLS_STEPS))
@@ -481,6 +481,26 @@ def _(spark, folder):
     return fit.diagnostics(order)
 
 
+@query("T9_full_model_statistics", "n_obs:l df_model:l df_resid:l r2:f adj_r2:f log_likelihood:f aic:f bic:f "
+       "durbin_watson:f jarque_bera:f jarque_bera_p:f skew:f kurtosis:f", recursive("""SELECT *, exp(-jarque_bera / 2) AS jarque_bera_p FROM (
+       WITH o AS (SELECT *, lag(e) OVER (ORDER BY company_id, announcement_date, event_id) AS before FROM errors),
+            s AS (SELECT count(*) AS n_obs, (SELECT count(*) FROM scales) AS k, sum(e * e) AS ssr,
+                         var_pop(y) * count(*) AS sst, sum(pow(e - before, 2)) / sum(e * e) AS durbin_watson,
+                         avg(pow(e, 3)) / pow(avg(e * e), 1.5) AS skew,
+                         avg(pow(e, 4)) / pow(avg(e * e), 2) AS kurtosis FROM o),
+            l AS (SELECT *, -n_obs / 2.0 * (ln(2 * pi()) + ln(ssr / n_obs) + 1) AS log_likelihood FROM s)
+       SELECT n_obs, k - 1 AS df_model, n_obs - k AS df_resid, 1 - ssr / sst AS r2,
+              1 - (ssr / sst) * (n_obs - 1) / (n_obs - k) AS adj_r2, log_likelihood,
+              2 * k - 2 * log_likelihood AS aic, k * ln(n_obs) - 2 * log_likelihood AS bic, durbin_watson, skew,
+              kurtosis, n_obs / 6.0 * (skew * skew + pow(kurtosis - 3, 2) / 4) AS jarque_bera FROM l)""", OLS_STEPS))
+def _(spark, folder):
+    """The diagnostics SQL can state, for the full model."""
+    order = ["company_id", "announcement_date", "event_id"]
+    fit = reg.fit_ols(model_frame(spark, folder), "car_m5_p5", ft.NUMERIC_REGRESSORS,
+                      ft.CATEGORICAL_REGRESSORS, keep=order)
+    return fit.diagnostics(order)
+
+
 @query("T10_rf_classifier", "event_id:l label:l prediction:l probability:f")
 def _(spark, folder):
     frame = model_frame(spark, folder)

@@ -2,7 +2,8 @@
 
 The column specification ``name:kind`` shapes both sides alike. Kinds: ``l``
 bigint, ``f`` double rounded to 6 places, ``x`` double as it is (for values both
-sides compute exactly), ``s`` text (dates as ISO text), ``b`` boolean.
+sides compute exactly), ``e`` double to 4 significant digits (for solutions of
+nearly collinear systems, which amplify the last bits of their inputs), ``s`` text (dates as ISO text), ``b`` boolean.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def shaped(df: DataFrame, spec: str) -> DataFrame:
     def cell(name: str, kind: str):
         c = F.col(f"`{name}`")
         return {"l": lambda: c.cast("bigint"), "f": lambda: F.round(c.cast("double"), 6),
+                "e": lambda: F.when(c.isNotNull(), F.format_string("%.3e", c.cast("double")).cast("double") + 0.0),
                 "x": lambda: c.cast("double"), "s": lambda: c.cast("string"), "b": lambda: c.cast("boolean")}[kind]().alias(name)
 
     return df.select(*[cell(n, k) for n, k in _columns(spec)])
@@ -51,6 +53,7 @@ def shaped(df: DataFrame, spec: str) -> DataFrame:
 def shaped_sql(sql: str, spec: str) -> str:
     def cell(name: str, kind: str) -> str:
         return {"l": f'CAST("{name}" AS BIGINT)', "f": f'round(CAST("{name}" AS DOUBLE), 6) + 0.0',
+                "e": f'CAST(printf(\'%.3e\', CAST("{name}" AS DOUBLE)) AS DOUBLE) + 0.0',
                 "x": f'CAST("{name}" AS DOUBLE)', "s": f'CAST("{name}" AS VARCHAR)', "b": f'CAST("{name}" AS BOOLEAN)'}[kind] + f' AS "{name}"'
 
     return f"SELECT {', '.join(cell(n, k) for n, k in _columns(spec))} FROM (\n{sql}\n) AS q"
