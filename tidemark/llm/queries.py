@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, token_files
+from tidemark.llm import language, mixing, perplexity, quality, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -34,7 +34,25 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, manifest, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64(), "ids_crc32", "long")
 
 
+@_query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labels that are not held out."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source weights 1, 2, 3 to as many words as there are."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition rules and perplexity bands of all documents."""
+    return perplexity.judge(_table(spark, sf_dir, "documents"))

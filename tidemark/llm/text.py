@@ -108,21 +108,31 @@ def _cut(first: int, data: np.ndarray, bounds: np.ndarray) -> Texts:
     return Texts(first, data, bounds, starts, ends, np.searchsorted(starts, bounds))
 
 
-def word_hashes(t: Texts) -> np.ndarray:
-    """A 64-bit hash of each word, from its bytes alone."""
-    out = np.empty(len(t.starts), np.uint64)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans are in order and don't overlap."""
+    out = np.empty(len(starts), np.uint64)
     at = 0
-    while at < len(out):  # blocks of words, so that a very long text needs no more memory
-        upto = max(at + 1, int(np.searchsorted(t.ends, t.starts[at] + SLICE, "right")))
-        low, high = t.starts[at], t.ends[upto - 1]
+    while at < len(out):  # blocks of spans, so that a very long text needs no more memory
+        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + SLICE, "right")))
+        low, high = starts[at], ends[upto - 1]
         up, down = _powers[_BASE].upto(high - low + 1)
         total = np.empty(high - low + 1, np.uint64)
         total[0] = 0
-        np.cumsum(_letters[t.data[low:high]] * up[:-1], out=total[1:])
-        s, e = t.starts[at:upto] - low, t.ends[at:upto] - low
+        np.cumsum(_letters[data[low:high]] * up[:-1], out=total[1:])
+        s, e = starts[at:upto] - low, ends[at:upto] - low
         out[at:upto] = (total[e] - total[s]) * down[s]
         at = upto
-    return mixed(out + (t.ends - t.starts).astype(np.uint64))
+    return mixed(out + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(t: Texts) -> np.ndarray:
+    """A 64-bit hash of each word, from its bytes alone."""
+    return span_hashes(t.data, t.starts, t.ends)
+
+
+def owned(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Hashes that tell the same value in different texts apart."""
+    return mixed(h ^ ((doc.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def run_hashes(words: np.ndarray, k: int, other: bool = False) -> np.ndarray:
