@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, mixing, perplexity, quality, token_files
+from tidemark.llm import language, mixing, perplexity, quality, substring, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -56,3 +56,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition rules and perplexity bands of all documents."""
     return perplexity.judge(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the 50-word windows of smaller documents."""
+    return substring.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

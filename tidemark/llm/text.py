@@ -74,6 +74,14 @@ class Texts:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
+    def joined(self, k: int) -> str:
+        """The words of text k, joined by one space."""
+        data = self.data[self.bounds[k]:self.bounds[k + 1]]
+        inside = ~_SEPARATOR[data]
+        keep = inside.copy()
+        keep[1:] |= inside[:-1]
+        return np.where(inside, data, 32).astype(np.uint8)[keep].tobytes().rstrip(b" ").decode("utf-8", "replace")
+
 
 def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One array of large strings with nulls as empty texts."""
@@ -156,3 +164,20 @@ def run_starts(t: Texts, k: int) -> np.ndarray:
     last = np.repeat(t.words[1:] - k, t.counts())  # last place at which a run fits
     place = np.arange(len(last))
     return np.flatnonzero(place <= last)
+
+
+def stretch_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words from each start up to each end."""
+    up, down = _powers[_OTHER].upto(len(words) + 1)
+    total = np.r_[np.uint64(0), np.cumsum(words * up[:-1], dtype=np.uint64)]
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def sliding(pick, x: np.ndarray, width: int) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over every ``width`` consecutive values."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x = pick(x[:-step], x[step:]) if len(x) > step else x[:0]
+        done += step
+    return x
