@@ -37,7 +37,7 @@ class WordEncoder:
     was there. The tables live as long as the broadcast object in a Python worker.
     """
 
-    def __init__(self, tokenizer: str, slots: int = 1 << 20, pool: int = 1 << 23):
+    def __init__(self, tokenizer: str, slots: int = 1 << 19, pool: int = 1 << 22):
         self.tokenizer, self.slots, self.room = tokenizer, slots, pool
         self.ready = False
 
@@ -70,7 +70,7 @@ class WordEncoder:
             core = m[1].lower()
             ids = self.known.get(core)
             if ids is None:
-                if len(self.known) >= self.slots // 2:
+                if len(self.known) >= self.slots // 8:
                     self.known.clear()
                 ids = self.known[core] = [x.id for x in self.library.model.tokenize(core)]
             out[i] = ids + self.marks[m[2]]
