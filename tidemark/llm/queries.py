@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, mixing, perplexity, quality, substring, token_files
+from tidemark.llm import language, minhash, mixing, perplexity, quality, substring, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -24,6 +24,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates of all documents; the smallest id of a class stays."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", F.expr("doc_id <=> class_id").alias("kept"))
+
+
 @_query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back: where each starts, how long it is, and the checksum of its ids."""
