@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, minhash, mixing, perplexity, quality, substring, token_files
+from tidemark.llm import language, minhash, mixing, neighbours, perplexity, quality, substring, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -59,6 +59,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with a cosine of 0.98 or more within a label."""
+    return neighbours.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition rules and perplexity bands of all documents."""
