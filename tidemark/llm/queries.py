@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, minhash, mixing, neighbours, perplexity, quality, substring, token_files
+from tidemark.llm import language, minhash, mixing, neighbours, perplexity, quality, substring, token_counts, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -31,6 +31,16 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", F.expr("doc_id <=> class_id").alias("kept"))
 
 
+_PRIVATE = [(r"[^\s@]+@[^\s@]+", "<email>"), (r"\+?\d[\d .-]{7,}\d", "<number>")]
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, before and after addresses and long numbers are replaced by a word."""
+    counter = token_counts.load_counter(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.recount(_table(spark, sf_dir, "documents"), token_counts.replacements(_PRIVATE), counter)
+
+
 @_query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back: where each starts, how long it is, and the checksum of its ids."""
