@@ -106,14 +106,15 @@ def _fit(hist: pd.DataFrame) -> pd.DataFrame:
 
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.0, max_repeats: int = 3,
         seed: int = 17) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, repeats, taken`` (words taken, repeats counted).
+    """One row per document: ``doc_id, tkey`` (a hash of the text), ``source, size, source_size, target, repeats, taken``
+    (words taken, repeats counted).
 
     Sources in code point order, null last, take the weights in turn; together they are to hold ``share`` of all words.
     No document is taken more than ``max_repeats`` times.
     """
     sizes = settled(docs.select(
         "doc_id", "source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"),
-        word_count().alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("draw"),
+        word_count().alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("draw"), F.xxhash64("text").alias("tkey"),
     ).withColumn("cell", F.pmod("draw", F.lit(_CELLS)).cast("int")))
     targets = settled(source_targets(sizes, weights, share, max_repeats))
     cells = settled(sizes.where("size > 0").groupBy("key", "size", "cell").agg(F.count("*").alias("n")))
@@ -131,4 +132,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     whole = inside.where("not at_cut").withColumn("more", F.coalesce((F.col("room") >= F.col("n")).cast("long"), F.lit(0)))
     repeats = F.coalesce(F.col("passes"), F.lit(0)) + F.col("more")
     return ranked.unionByName(whole).join(targets, "key").select(
-        "doc_id", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
+        "doc_id", "tkey", "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The documents with all their columns, as often as the mix takes them."""
+    key = ["doc_id", "source", "tkey"]
+    taken = mix(docs, **how).groupBy(*key).agg(F.sum("repeats").alias("times"), F.count("*").alias("rows"))
+    taken = settled(taken.where("times > 0").select(*[F.col(c).alias(f"__{c}") for c in key], "times", "rows"))
+    own = docs.withColumn("__text", F.xxhash64("text"))
+    found = own.join(taken, own["doc_id"].eqNullSafe(taken["__doc_id"]) & own["source"].eqNullSafe(taken["__source"])
+                     & (own["__text"] == taken["__tkey"]))
+    # equal rows share their copies; only they are ranked
+    nth = F.row_number().over(W.partitionBy("__doc_id", "__source", "__tkey").orderBy("__tkey"))
+    several = found.where("rows > 1").withColumn("__nth", nth)
+    each = F.floor(F.col("times") / F.col("rows")) + (F.col("__nth") <= F.col("times") % F.col("rows")).cast("long")
+    copies = found.where("rows = 1").select(*docs.columns, F.col("times").alias("__copies")).unionAll(
+        several.select(*docs.columns, each.alias("__copies")))
+    return copies.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

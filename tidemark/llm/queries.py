@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, minhash, mixing, neighbours, perplexity, quality, substring, token_counts, token_files
+from tidemark.llm import language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -63,6 +63,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces and back: how many pieces, a hash of their ids, and whether decoding gives the text."""
+    vocab = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.encode(_table(spark, sf_dir, "documents"), vocab)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                        (pieces.decode("ids", vocab) == F.coalesce("text", F.lit(""))).alias("same_text"))
+
+
 @_query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, learned from those that are not held out."""

@@ -31,6 +31,7 @@ from tidemark.session import settled
 
 _LAST = np.iinfo(np.int64).max
 _KEY = ["id", "tkey"]
+_STREAM = 1 << 18  # bytes of text that share an automaton
 
 
 def anchors(t: Texts, window: int) -> tuple[np.ndarray, ...]:
@@ -242,7 +243,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, as_words: bool = True) ->
     def strip(texts: pa.Array, ids: pa.Array, passages: pa.Array) -> pa.Array:
         n_words, n_removed, kept = [], [], []
         ids = ids.to_numpy(zero_copy_only=False)
-        for t in slices(texts):
+        for t in slices(texts, _STREAM):
             gone, keep = _stream(t, ids[t.first:t.first + t.n], passages.slice(t.first, t.n).to_pylist())
             n_words.append(t.counts())
             n_removed.append(gone)

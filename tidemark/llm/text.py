@@ -1,7 +1,7 @@
 """Whole texts as numpy arrays: word bounds, word hashes and hashes of word runs.
 
 A word is ``[^\\x20\\x09-\\x0D]+``. Separators are single bytes of UTF-8, so words are cut on the bytes of an Arrow
-column without decoding it. Work goes in slices of about a megabyte of text, so memory is bounded by the longest text.
+column without decoding it. Work goes in slices of about half a megabyte of text, so memory is bounded by the longest text.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 19
+_PIECE = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SEPARATOR = np.zeros(256, bool)
@@ -32,21 +33,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class Powers:
-    """Powers of an odd number and of its inverse, modulo 2**64, made as far as they are asked for."""
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2**64."""
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(max(n - 1, 0), b, np.uint64)], dtype=np.uint64)[:n]
+                 for b in (base, pow(base, -1, 1 << 64)))
 
-    def __init__(self, base: int):
-        self.base, self.inverse, self.size = base, pow(base, -1, 1 << 64), 0
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.size:
-            self.size = max(n, SLICE + 4096)
-            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(self.size - 1, b, np.uint64)], dtype=np.uint64)
-                                  for b in (self.base, self.inverse))
-        return self.up[:n], self.down[:n]
-
-
-_powers = {b: Powers(b) for b in (_BASE, _OTHER)}
 _letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
@@ -119,11 +111,12 @@ def _cut(first: int, data: np.ndarray, bounds: np.ndarray) -> Texts:
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span; spans are in order and don't overlap."""
     out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(out):  # blocks of spans, so that a very long text needs no more memory
-        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + SLICE, "right")))
+    at, longest = 0, max(_PIECE, int((ends - starts).max(initial=0))) + 1
+    all_up, all_down = powers(_BASE, longest)
+    while at < len(out):  # blocks of spans: little memory for any text
+        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE, "right")))
         low, high = starts[at], ends[upto - 1]
-        up, down = _powers[_BASE].upto(high - low + 1)
+        up, down = all_up[:high - low + 1], all_down[:high - low + 1]
         total = np.empty(high - low + 1, np.uint64)
         total[0] = 0
         np.cumsum(_letters[data[low:high]] * up[:-1], out=total[1:])
@@ -154,7 +147,7 @@ def run_hashes(words: np.ndarray, k: int, other: bool = False) -> np.ndarray:
             out *= np.uint64(_OTHER if other else _BASE)
             out += words[j:n + j]
         return mixed(out)
-    up, down = _powers[_OTHER if other else _BASE].upto(len(words) + 1)
+    up, down = powers(_OTHER if other else _BASE, len(words) + 1)
     total = np.r_[np.uint64(0), np.cumsum(words * up[:-1], dtype=np.uint64)]
     return mixed((total[k:] - total[:-k]) * down[:n])
 
@@ -168,7 +161,7 @@ def run_starts(t: Texts, k: int) -> np.ndarray:
 
 def stretch_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the words from each start up to each end."""
-    up, down = _powers[_OTHER].upto(len(words) + 1)
+    up, down = powers(_OTHER, len(words) + 1)
     total = np.r_[np.uint64(0), np.cumsum(words * up[:-1], dtype=np.uint64)]
     return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
