@@ -43,14 +43,33 @@ def test_int(spark, text, number):
     assert one(spark, text, cl.to_int) == number
 
 
-@pytest.mark.parametrize("text, clean", [("  a ", "a"), ("", None), ("  ", None), ("N/A", None), (" nan ", None),
+@pytest.mark.parametrize("text, number", [("12", 12.0), (" 1e3\t", 1000.0), ("+.5", 0.5), ("5.", 5.0), ("12d", None), ("12f", None), ("1,000", None),
+                                          ("NaN", None), ("-inf", float("-inf")), ("0x10", None), ("", None), ("1_0", None)])
+def test_number(spark, text, number):
+    assert one(spark, text, cl.to_number) == number
+
+
+def test_quoted_cells_survive(spark, tmp_path):
+    from tidemark.sources.readers import read_events_csv
+
+    (tmp_path / "a.csv").write_text('Company,Date,Note\n"Acme ""X"", Inc.",2023-03-06,B\n"two\nlines",2023-03-07," pad "\nlast,2023-03-08,\n')
+    rows = read_events_csv(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in rows] == [('Acme "X", Inc.', "2023-03-06", "B"), ("two\nlines", "2023-03-07", " pad "), ("last", "2023-03-08", None)]
+
+
+@pytest.mark.parametrize("text, clean", [("  a ", "a"), ("Meta\t", "Meta"), ("\u00a0N/A\t", None), ("\u2003a b\n", "a b"), ("", None), ("  ", None), ("N/A", None), (" nan ", None),
                                          ("null", None), (" null ", "null")])
 def test_text(spark, text, clean):
     assert one(spark, text, cl.clean_text) == clean
 
 
-@pytest.mark.parametrize("text, day", [("2022-11-09", D(2022, 11, 9)), ("11/09/2022", D(2022, 11, 9)),
-                                       ("2022-11-09 00:00:00", D(2022, 11, 9)), ("soon", None), ("2022-13-01", None)])
+@pytest.mark.parametrize("text, day", [
+    *[(t, D(2022, 11, 9)) for t in (
+        "2022-11-09", "11/09/2022", "2022-11-09 00:00:00", "11/9/2022", "2022/11/9", "2022-11-9", "2022-11-09T00:00:00", "2022-11-09T10:00:00Z",
+        "2022-11-09 00:00:00.000", "2022-11-09 10:00", "2022-11-09T10:00:00.5+02:00", "Nov 9, 2022", "9 November 2022", "november 9 2022",
+        "Nov. 9th, 2022", "09-Nov-2022", "20221109", "11/9/22", "11-09-2022", "11/9/2022 3:45 PM", " 2022-11-09\t")],
+    ("9/1/1999", D(1999, 9, 1)), ("9/1/99", D(1999, 9, 1)), ("Sept 1, 2020", D(2020, 9, 1)), ("May 5, 2021", D(2021, 5, 5)),
+    ("soon", None), ("2022-13-01", None), ("2022-02-30", None), ("Novel 9, 2022", None), ("2022-11-09 later", None), ("13/40/2022", None), ("", None)])
 def test_dates(spark, text, day):
     assert one(spark, text, cl.parse_date) == day
 

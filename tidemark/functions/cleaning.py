@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 # The text markers a CSV reader of the pandas family treats as missing.
@@ -15,32 +12,55 @@ READER_NA_TOKENS = (
 # The markers treated as missing after trimming.
 TRIMMED_NA_TOKENS = ("", "N/A", "nan")
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "yyyy/MM/dd")
+# The names of the months, of which three letters are enough.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+          "december")
+
+_BLANKS = r"[\s\x1c-\x1f]+"
+_NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
+_TIME = r"(?:[T ]\s*\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:[AaPp][Mm])?\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?\s*$"
+_NAME = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + "|sept)"
+_LETTERS = f"(?={_NAME}\\b)([a-z]{{3}})[a-z]*"
+# Patterns of a date, its parts in the order of the format, and the format.
+_SHAPES = (
+    (r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME, "$1-$2-$3", "y-M-d"),
+    (r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _TIME, "$3-$1-$2", "y-M-d"),
+    (r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.]([0-5]\d|6[0-8])" + _TIME, "20$3-$1-$2", "y-M-d"),
+    (r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](69|[7-9]\d)" + _TIME, "19$3-$1-$2", "y-M-d"),
+    (r"^\s*(\d{4})(\d{2})(\d{2})" + _TIME, "$1-$2-$3", "y-M-d"),
+    (r"(?i)^\s*" + _LETTERS + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TIME, "$3-$1-$2", "y-MMM-d"),
+    (r"(?i)^\s*(\d{1,2})(?:st|nd|rd|th)?[\s-]+" + _LETTERS + r"\.?,?[\s-]+(\d{4})" + _TIME, "$3-$2-$1", "y-MMM-d"),
+)
+
+
+def strip(col: Column) -> Column:
+    """Without the white space, of any alphabet, at both ends."""
+    return F.regexp_replace(col, f"(?U)^{_BLANKS}|{_BLANKS}\\z", "")
 
 
 def clean_text(col: Column) -> Column:
-    """Trim, and map the usual missing-value markers to null."""
-    trimmed = F.trim(F.when(~col.isin(*READER_NA_TOKENS), col))
-    return F.when(~trimmed.isin(*TRIMMED_NA_TOKENS), trimmed)
+    """Strip white space, and map the usual missing-value markers to null."""
+    stripped = strip(F.when(~col.isin(*READER_NA_TOKENS), col))
+    return F.when(~stripped.isin(*TRIMMED_NA_TOKENS), stripped)
 
 
-def parse_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; anything else becomes null.
+def parse_date(col: Column) -> Column:
+    """The date that a text states, whatever follows as its time; null where it states none.
 
-    The shape is matched before parsing: a failed parse costs an exception per
-    row, a failed pattern does not.
+    Years first, or month, day and year; one or two digits; slashes, dashes or dots; names of months before or after the
+    day. Two-digit years are those from 1969 to 2068. Shapes are matched before parsing: a failed parse costs an
+    exception per row, a failed pattern does not.
     """
-    def attempt(fmt: str) -> Column:
-        shape = "^" + re.sub("[A-Za-z]", "[0-9]", fmt) + "$"
-        return F.when(col.rlike(shape), F.try_to_date(col, fmt))
+    def attempt(shape: str, parts: str, fmt: str) -> Column:
+        return F.when(col.rlike(shape), F.try_to_date(F.initcap(F.regexp_replace(col, shape, parts)), fmt))
 
-    return F.coalesce(*[attempt(fmt) for fmt in formats])
+    return F.coalesce(*[attempt(*shape) for shape in _SHAPES])
 
 
 def to_number(col: Column) -> Column:
-    """Numeric value or null; a textual NaN counts as missing."""
-    number = F.trim(col.cast("string")).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Numeric value or null; a textual NaN counts as missing, as does a number with a type letter behind it."""
+    text = strip(col.cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_percent(col: Column, scale: float = 1.0) -> Column:
@@ -55,7 +75,7 @@ def to_int(col: Column) -> Column:
 
 
 def normalise_key(col: Column) -> Column:
-    return F.lower(F.trim(col))
+    return F.lower(strip(col))
 
 
 def missing_flag(col: Column) -> Column:

@@ -31,28 +31,44 @@ _HEADER = {"company": "Company", "date": " Date ", "total_laid_off": "Total Laid
            "location": "Location", "country": "Country", "stage": "Stage", "source": "Source"}
 
 
+# How the text of a date is spelled, by the remainder of the order's key: a pattern here and in SQL.
+_SPELLINGS = (
+    ("M/d/yyyy", "%-m/%-d/%Y"), ("yyyy-M-d", "%Y-%-m-%-d"), ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT00:00:00"),
+    ("yyyy-MM-dd HH:mm:ss.SSS", "%Y-%m-%d 00:00:00.000"), ("yyyy-MM-dd HH:mm", "%Y-%m-%d 00:00"), ("MMM d, yyyy", "%b %-d, %Y"),
+    ("d MMMM yyyy", "%-d %B %Y"), ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT00:00:00Z"), ("yyyy/MM/dd", "%Y/%m/%d"), ("MM/dd/yyyy", "%m/%d/%Y"),
+    ("yyyy-MM-dd", "%Y-%m-%d"),
+)
+# Spaces, a tab and a no-break space.
+_SQL_PAD = "' ' || chr(9) || chr(160)"
+
+
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Untidy text rows: padded and upper-cased names, two date formats, N/A, percent signs."""
+    """Untidy text rows: padded and upper-cased names, dates in many spellings, N/A, percent signs, quotes, line breaks."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     whole = F.floor("o_totalprice")
+    spelled = F.date_format("o_orderdate", "yyyy-MM-dd")
+    for k, (pattern, _) in enumerate(_SPELLINGS):
+        spelled = F.when(F.col("o_orderkey") % len(_SPELLINGS) == k, F.date_format("o_orderdate", pattern)).otherwise(spelled)
+    year = F.year("o_orderdate").cast("string")
     orders = wh.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority",
                                                       "o_orderdate", "o_totalprice")
     listed = wh.announcements(spark, folder).select("event_id", "company_id").join(
         wh.companies(spark, folder).select("company_id", "company_name", "industry"), "company_id")
     return orders.join(listed, F.col("o_orderkey") == F.col("event_id")).select(
-        F.when(status == "F", F.concat(F.lit("  "), "company_name", F.lit(" ")))
+        F.when(status == "F", F.concat(F.lit(" \t"), "company_name", F.lit("\u00a0 ")))
         .when(status == "O", F.upper("company_name")).otherwise(F.col("company_name")).alias(_HEADER["company"]),
         F.when((status == "P") & (priority == "5-LOW"), "to be announced")
-        .when(priority == "1-URGENT", F.date_format("o_orderdate", "MM/dd/yyyy"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias(_HEADER["date"]),
-        F.when(status == "P", "N/A").otherwise(F.floor(F.col("o_totalprice") / 100).cast("string"))
+        .otherwise(spelled).alias(_HEADER["date"]),
+        F.when(status == "P", "N/A\t").otherwise(F.floor(F.col("o_totalprice") / 100).cast("string"))
         .alias(_HEADER["total_laid_off"]),
         F.when(priority == "2-HIGH", " nan ").when(status == "F", F.concat((whole % 100).cast("string"), F.lit("%")))
         .otherwise((whole % 100 / 100.0).cast("string")).alias(_HEADER["percentage_laid_off"]),
-        F.when(priority == "3-MEDIUM", "undisclosed").otherwise((whole * 3).cast("string"))
+        F.when(priority == "3-MEDIUM", "undisclosed").when(status == "P", F.concat((whole * 3).cast("string"), F.lit("d")))
+        .otherwise((whole * 3).cast("string"))
         .alias(_HEADER["funds_raised"]),
         F.coalesce("industry", F.lit(" ")).alias(_HEADER["industry"]),
-        F.when(status == "O", "N/A").otherwise(F.concat(F.lit(" City "), F.year("o_orderdate").cast("string")))
+        F.when(status == "O", "N/A").when(priority == "2-HIGH", F.concat(F.lit('Old "City", '), year))
+        .when(priority == "5-LOW", F.concat(F.lit("City\n"), year)).otherwise(F.concat(F.lit(" City "), year))
         .alias(_HEADER["location"]),
         F.when(status == "P", "nan").otherwise("Somewhere").alias(_HEADER["country"]),
         F.when(priority == "4-NOT SPECIFIED", "").otherwise(F.concat(F.lit(" "), priority)).alias(_HEADER["stage"]),
@@ -61,37 +77,40 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 RAW = {
-    "raw_text": """
-        SELECT CASE o_orderstatus WHEN 'F' THEN '  ' || company_name || ' ' WHEN 'O' THEN upper(company_name)
+    "raw_text": f"""
+        SELECT CASE o_orderstatus WHEN 'F' THEN ' ' || chr(9) || company_name || chr(160) || ' ' WHEN 'O' THEN upper(company_name)
                     ELSE company_name END AS company,
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'to be announced'
-                    WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%m/%d/%Y')
-                    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date,
-               CASE WHEN o_orderstatus = 'P' THEN 'N/A'
+                    {" ".join(f"WHEN o_orderkey % {len(_SPELLINGS)} = {k} THEN strftime(o_orderdate, '{f}')" for k, (_, f) in enumerate(_SPELLINGS))}
+                    END AS date,
+               CASE WHEN o_orderstatus = 'P' THEN 'N/A' || chr(9)
                     ELSE CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS VARCHAR) END AS total_laid_off,
                CASE WHEN o_orderpriority = '2-HIGH' THEN ' nan '
                     WHEN o_orderstatus = 'F' THEN CAST(floor(o_totalprice) AS BIGINT) % 100 || '%'
                     ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 100 / 1e2 AS VARCHAR) END AS percentage_laid_off,
                CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'undisclosed'
+                    WHEN o_orderstatus = 'P' THEN CAST(floor(o_totalprice) AS BIGINT) * 3 || 'd'
                     ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) * 3 AS VARCHAR) END AS funds_raised,
                coalesce(industry, ' ') AS industry,
-               CASE WHEN o_orderstatus = 'O' THEN 'N/A' ELSE ' City ' || year(o_orderdate) END AS location,
+               CASE WHEN o_orderstatus = 'O' THEN 'N/A' WHEN o_orderpriority = '2-HIGH' THEN 'Old "City", ' || year(o_orderdate)
+                    WHEN o_orderpriority = '5-LOW' THEN 'City' || chr(10) || year(o_orderdate)
+                    ELSE ' City ' || year(o_orderdate) END AS location,
                CASE WHEN o_orderstatus = 'P' THEN 'nan' ELSE 'Somewhere' END AS country,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE ' ' || o_orderpriority END AS stage,
                'order ' || o_orderkey AS source
         FROM orders JOIN lead_line ON o_orderkey = event_id JOIN companies USING (company_id)""",
     "trimmed": "SELECT " + ", ".join(
-        f"CASE WHEN trim({c}) NOT IN ('', 'N/A', 'nan') THEN trim({c}) END AS {c}" for c in _HEADER)
+        f"CASE WHEN trim({c}, {_SQL_PAD}) NOT IN ('', 'N/A', 'nan') THEN trim({c}, {_SQL_PAD}) END AS {c}" for c in _HEADER)
         + " FROM raw_text",
     "typed": """
-        SELECT trim(company) AS company,
-               coalesce(try_cast(try_strptime(date, '%Y-%m-%d') AS DATE),
-                        try_cast(try_strptime(date, '%m/%d/%Y') AS DATE)) AS date,
+        SELECT company,
+               CAST(try_strptime(date, ['%Y-%m-%d', '%m/%d/%Y', '%Y/%m/%d', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M:%SZ', '%Y-%m-%d %H:%M:%S.%g',
+                    '%Y-%m-%d %H:%M', '%b %d, %Y', '%d %B %Y']) AS DATE) AS date,
                try_cast(total_laid_off AS DOUBLE) AS total_laid_off,
                try_cast(replace(percentage_laid_off, '%', '') AS DOUBLE) AS percentage_laid_off,
                try_cast(funds_raised AS DOUBLE) AS funds_raised, industry, location, country, stage, source
         FROM trimmed""",
-    "clean": "SELECT *, lower(trim(company)) AS company_normalized FROM typed"
+    "clean": "SELECT *, lower(company) AS company_normalized FROM typed"
         " WHERE date IS NOT NULL AND company IS NOT NULL"
         " QUALIFY row_number() OVER (PARTITION BY company, date ORDER BY " + " + ".join(
             f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in _HEADER) + " DESC, " + ", ".join(
@@ -112,10 +131,10 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
 @query("S1_read_events_csv", _TEXT_SPEC, statement(
     "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADER) + " FROM raw_text", RAW))
 def _(spark, folder):
-    """Written as CSV and read back; padding survives, empty cells are null."""
+    """Written as CSV and read back; padding, quotes and line breaks survive, empty cells are null."""
     path = scratch_path(spark, "raw-events")
-    raw_events(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False).csv(path)
+    raw_events(spark, folder).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return rd.normalise_columns(rd.read_events_csv(spark, path))
 
 
@@ -169,7 +188,7 @@ def _(spark, folder):
 
 
 @query("P7_normalise_key", "company_normalized:s n:l", statement(
-    "SELECT lower(trim(company)) AS company_normalized, count(*) AS n FROM raw_text GROUP BY 1", RAW))
+    f"SELECT lower(trim(company, {_SQL_PAD})) AS company_normalized, count(*) AS n FROM raw_text GROUP BY 1", RAW))
 def _(spark, folder):
     key = cl.normalise_key(F.col("Company")).alias("company_normalized")
     return raw_events(spark, folder).groupBy(key).agg(F.count("*").alias("n"))

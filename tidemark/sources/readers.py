@@ -12,15 +12,23 @@ from tidemark.operators.dedupe import keep_most_complete
 from tidemark.sources.schemas import MARKET_SYMBOL
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
+_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+
+
+def csv_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
     """Column names of a headered CSV file or folder; reads no data rows."""
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**_QUOTES, multiLine=multi_line, samplingRatio=1e-9).csv(path).columns
+
 
+def read_events_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A headered CSV, every column as text; a missing path is an error.
 
-def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A headered CSV, every column as text; a missing path is an error."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_header(spark, path)])
-    return spark.read.option("header", True).option("multiLine", False).schema(schema).csv(path)
+    Quoted cells may hold doubled quotes and line breaks. A file with line breaks inside cells can't be split, so a task
+    reads a file; ``multi_line=False`` splits files that are known to have none.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_header(spark, path, multi_line)])
+    return spark.read.options(**_QUOTES, multiLine=multi_line, ignoreLeadingWhiteSpace=False,
+                              ignoreTrailingWhiteSpace=False).schema(schema).csv(path)
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
