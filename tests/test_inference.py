@@ -47,6 +47,28 @@ def test_tail_probabilities():
     assert f_upper(4.0, 1, 7) == pytest.approx(t_two_sided(2.0, 7), abs=1e-12)
 
 
+@pytest.mark.parametrize("df", [1e4, 9.9e4, 1.1e5, 1e8, 1e12])
+def test_tails_at_any_size(df):
+    for t in (0.1, 1.0, 2.0, 5.0):
+        # the normal tail with its first correction in 1 / df
+        density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        near = normal_two_sided(t) + 2 * density * t * (t * t + 1) / (4 * df)
+        assert t_two_sided(t, df) == pytest.approx(near, rel=max(1e-7, 2e4 / df**2))
+        assert f_upper(t * t, 1, df) == pytest.approx(t_two_sided(t, df), rel=1e-9)
+    assert f_upper(2.0, 2, df) == pytest.approx(math.exp(-df / 2 * math.log1p(4 / df)), rel=1e-7)
+
+
+def test_rows_without_a_regressor_are_left_out(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 2))
+    y = 4.6 + x @ [0.1, 0.2] + rng.normal(size=60)
+    rows = [(float(a), float(b), float(c)) for (a, b), c in zip(x, y)]
+    holes = rows + [(None, 1.0, 2.0), (1.0, float("nan"), 2.0), (1.0, 2.0, None), (1.0, 1.0, float("nan"))]
+    schema = "a double, b double, y double"
+    want, got = (reg.fit_ols(spark.createDataFrame(r, schema), "y", ["a", "b"]) for r in (rows, holes))
+    assert got.n == 60 and got.coef == pytest.approx(want.coef) and got.cov_hc3 == pytest.approx(want.cov_hc3)
+
+
 def test_welch(spark):
     a, b = [1.0, 2.0, 4.0], [2.0, 3.0, 7.0, 8.0]
     df = spark.createDataFrame([(True, v) for v in a] + [(False, v) for v in b], "g boolean, v double")

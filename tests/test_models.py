@@ -25,7 +25,7 @@ def test_study_results(study):
     assert study.summary.count() == 1 and study.ols.n == study.summary.first().n
     assert study.windows.count() == 4 * study.per_event.count()
     scores = rf.cv_metrics(study.forest_folds).first()
-    assert scores.n_obs == study.ols.n
+    assert scores.n_obs == study.ols.n and 0 < scores.pos_rate < 1
     assert 0.3 < scores.cv_accuracy_mean < 0.7 and 0.3 < scores.cv_roc_auc_mean < 0.7
 
 
@@ -60,12 +60,27 @@ def test_weights_and_folds(spark):
     assert weights == {1.0: pytest.approx(32 / (2 * 11)), 0.0: pytest.approx(32 / (2 * 21))}
     folds = rf.stratified_folds(df, ["i"]).groupBy("label", "fold").agg(
         F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi")).orderBy("label", "fold").collect()
-    assert [r.n for r in folds] == [5, 4, 4, 4, 4, 3, 2, 2, 2, 2]
+    # the label of the first row is dealt first: 11 rows, then 21 rows from where those ended
+    assert [r.n for r in folds] == [4, 5, 4, 4, 4, 3, 2, 2, 2, 2]
+    assert [sum(r.n for r in folds if r.fold == k) for k in range(5)] == [7, 7, 6, 6, 6]
     for label in (0.0, 1.0):
         edges = [(r.lo, r.hi) for r in folds if r.label == label]
         assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
 
 
+def test_folds_differ_by_one_row_at_most(spark):
+    df = spark.createDataFrame([(i, float(i % 3 == 1)) for i in range(32)], "i int, label double")  # 21 rows of the first label, 11 of the other
+    sizes = [r["count"] for r in rf.stratified_folds(df, ["i"]).groupBy("fold").count().orderBy("fold").collect()]
+    assert sizes == [7, 7, 6, 6, 6]
+
+
+def test_fit_rows_are_bounded(spark):
+    df = spark.range(5000).withColumn("label", (F.col("id") % 2).cast("double"))
+    assert rf.bounded_sample(df, 5000).count() == 5000
+    drawn = rf.bounded_sample(df, 500)
+    assert 400 < drawn.count() < 600 and drawn.count() == rf.bounded_sample(df.repartition(3), 500).count()
+
+
 def test_forest_needs_two_classes(spark):
     df = spark.createDataFrame([(float(i), 0.5) for i in range(40)], "x double, car double")
     assert rf.fit_forest(df, "car") is None

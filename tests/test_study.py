@@ -205,3 +205,49 @@ def test_top_categories_tie_by_name(spark):
     df = spark.createDataFrame(rows, "industry string")
     got = sorted(r.top for r in ft.bucket_categories(df, "industry", "top", k=1).collect())
     assert got == ["Other"] * 6 + ["a"] * 2
+
+
+def test_unusable_prices_cost_two_returns_and_no_more(spark):
+    days = weekdays(400)
+    series = [wiggle(i) for i in range(400)]
+    broken = {3: float("nan"), 60: 0.0, 120: -1.0, 301: float("inf")}
+    usable = {i: broken.get(i, p) for i, p in enumerate(series)}
+    calendar = cal.trading_calendar(market_of(spark, days, lambda i: {40: 0.0, 41: float("nan")}.get(i, 100.0 + (i * 7) % 13)))
+    market = [{40: 0.0, 41: float("nan")}.get(i, 100.0 + (i * 7) % 13) for i in range(400)]
+    good = lambda a: 0 < a < math.inf  # noqa: E731  false for NaN
+    back = lambda p, i: math.log(p[i] / p[i - 1]) if i and good(p[i]) and good(p[i - 1]) else None
+    ar = {i: back(usable, i) - back(market, i) for i in range(400) if back(usable, i) is not None and back(market, i) is not None}
+    assert len(ar) == 399 - 8 - 3
+    prices = prices_of(spark, [(1, d, usable[i]) for i, d in enumerate(days)] + [(2, d, None) for d in days])
+    events = [(t, 1, days[t]) for t in (280, 299, 300, 310, 350)] + [(9000, 2, days[300])]
+    got = {r.event_id: r for r in es.study_events(events_of(spark, events), prices, calendar, [(-5, 5), (-30, 30)]).collect()}
+    for t in (280, 299, 300, 310, 350):
+        est = [ar[i] for i in range(t - 250, t - 30) if i in ar]
+        mean = sum(est) / len(est)
+        assert got[t].sigma == pytest.approx(math.sqrt(sum((v - mean) ** 2 for v in est) / (len(est) - 1)), rel=1e-9)
+        for low, high in ((-5, 5), (-30, 30)):
+            own = [ar[i] for i in range(t + low, t + high + 1) if i in ar]
+            car = sum(own) if len(own) >= 0.9 * (high - low + 1) else None
+            assert got[t][f"car_{window_key((low, high))}"] == (None if car is None else pytest.approx(car, abs=1e-10))
+    assert got[9000].sigma is None and got[9000].car_m5_p5 is None
+
+
+def test_long_history_keeps_its_digits(spark):
+    days = [dt.date(1930, 1, 1) + dt.timedelta(days=i) for i in range(25_000)]
+    # a wild century before a calm end
+    series = [50.0 * math.exp((0.5 if i < 24_000 else 0.001) * ((i * 37) % 11 - 5)) for i in range(25_000)]
+    calendar = cal.trading_calendar(market_of(spark, days, lambda i: 100.0))
+    row = es.study_events(events_of(spark, [(1, 1, days[24_900])]), prices_of(spark, [(1, d, p) for d, p in zip(days, series)]), calendar, [(-5, 5)]).first()
+    est = [math.log(series[i] / series[i - 1]) for i in range(24_650, 24_870)]
+    mean = sum(est) / len(est)
+    assert row.sigma == pytest.approx(math.sqrt(sum((v - mean) ** 2 for v in est) / (len(est) - 1)), rel=1e-4)
+    assert row.car_m5_p5 == pytest.approx(math.log(series[24_905] / series[24_894]), abs=1e-8)
+
+
+def test_two_indexes_need_a_name(spark):
+    days = weekdays(5)
+    both = market_of(spark, days).withColumn("index_symbol", F.lit("A")).unionByName(
+        market_of(spark, days, lambda i: 7.0 + i).withColumn("index_symbol", F.lit("B")))
+    with pytest.raises(Exception, match="one row per date"):
+        cal.trading_calendar(both)
+    assert [r.adj_close for r in cal.trading_calendar(both, symbol="B").orderBy("idx").collect()] == [7.0, 8.0, 9.0, 10.0, 11.0]

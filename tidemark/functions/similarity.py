@@ -26,13 +26,17 @@ def _common_subsequence(a: str, b: str) -> int:
 
 
 @F.pandas_udf(T.IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+def _lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [None if x is None or y is None else _common_subsequence(x, y) for x, y in zip(a, b)],
         dtype="Int32",
     )
 
 
+# A filter on the score would otherwise be pushed below it and evaluate the function a second time.
+lcs_length = _lcs_length.asNondeterministic()
+
+
 def _tokens(col: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(col, r"(?U)\s+"), lambda t: t != "")))
 

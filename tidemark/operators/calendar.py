@@ -4,35 +4,39 @@ A calendar has one row per distinct date. The date type itself has about 3.7
 million values (years 1 to 9999), so a calendar stays below some 100 MB whatever
 the size of the price tables; a century of daily data has some 25,000 rows.
 That bound is why calendars, and only calendars, are broadcast unconditionally
-here, and why their running windows may run in a single task per index symbol.
+here, and why their running windows may run in a single task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tidemark.operators.returns import log_return
 from tidemark.session import settled
 
 REGIME_DAYS = 30
 REGIME_MIN_DAYS = 20
 
 
-def trading_calendar(market: DataFrame, settle: bool = True) -> DataFrame:
-    """``market(trade_date, adj_close)`` -> ``(trade_date, idx, adj_close, r_mkt)``.
+def trading_calendar(market: DataFrame, settle: bool = True, symbol: str | None = None) -> DataFrame:
+    """``market(trade_date, adj_close)`` -> ``(trade_date, idx, adj_close, r_mkt)``, of the index ``symbol`` if it is given.
+
+    A date that comes twice, as with two indexes in one table, is an error.
 
     ``idx`` is the 0-based position; ``r_mkt`` the log return, null on day 0.
     A study looks the calendar up several times, so by default it is written
     once to the shared folder and its source is read only once.
     """
-    order = W.partitionBy("index_symbol").orderBy("trade_date")
-    if "index_symbol" not in market.columns:
-        market = market.withColumn("index_symbol", F.lit("index"))
+    if symbol is not None:
+        market = market.where(F.col("index_symbol") == symbol)
+    order = W.orderBy("trade_date")
+    twice = F.lag("trade_date").over(order) == F.col("trade_date")
     close = F.col("adj_close").cast("double")
     calendar = (
-        market.select("index_symbol", "trade_date", close.alias("adj_close"))
+        market.select("trade_date", close.alias("adj_close"))
         .withColumn("idx", (F.row_number().over(order) - 1).cast("int"))
-        .withColumn("r_mkt", F.log(F.col("adj_close") / F.lag("adj_close").over(order)))
-        .drop("index_symbol")
+        .withColumn("r_mkt", log_return(F.col("adj_close"), F.lag("adj_close").over(order)))
+        .withColumn("r_mkt", F.when(twice, F.raise_error(F.lit("a calendar has one row per date; name the index"))).otherwise(F.col("r_mkt")))
     )
     return settled(calendar) if settle else calendar
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.cleaning import normalise_key
 from tidemark.functions.similarity import with_token_set_ratio
+from tidemark.session import settled
 
 # The admissible listings, thresholds and confidences.
 US_EXCHANGES = ("NMS", "NYQ", "NGM", "NCM", "ASE", "PCX", "BTS")
@@ -39,12 +40,15 @@ def _listed_name() -> Column:
     return F.coalesce(name, blank)
 
 
-def search_match(quotes: DataFrame) -> DataFrame:
+def search_match(quotes: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """``company_name, ticker, confidence``: best-ranked admissible search hit per name.
 
     Works on the search results alone (they carry the searched name), reduced to
-    one row per name before anything is joined.
+    one row per name before anything is joined. With ``names``, only the results of
+    those names are looked at, so a run costs what its pending names cost.
     """
+    if names is not None:
+        quotes = quotes.join(names.select("company_name"), "company_name", "left_semi")
     usable = (
         quotes.withColumn("__listed", _listed_name())
         .where((F.col("rank") <= MAX_SEARCH_RESULTS) & (F.col("quote_type") == EQUITY)
@@ -94,9 +98,11 @@ def resolve(names: DataFrame, overrides: DataFrame, quotes: DataFrame, securitie
     manual = override_match(names, overrides).select(
         "company_id", F.struct("ticker", F.lit("manual").alias("method"),
                                F.lit(MANUAL_CONFIDENCE).alias("confidence")).alias("manual"))
-    search = search_match(quotes).select(
+    curated = settled(names.join(manual, "company_id", "left"))
+    search = search_match(quotes, curated.where("manual is null")).select(
         "company_name", F.struct("ticker", F.lit("yf_search").alias("method"), "confidence").alias("search"))
-    left = names.join(manual, "company_id", "left").join(search, "company_name", "left")
+    # names with the curated hit stay without a search hit, as that tier comes first
+    left = settled(curated.join(search, "company_name", "left"))
     pending = left.where("manual is null and search is null").select("company_id", "company_name")
     direct = direct_match(pending, securities).select(
         "company_id", F.struct("ticker", F.lit("yf_direct").alias("method"),

@@ -20,7 +20,7 @@ from tidemark.functions.windows import (
     check_windows, window_key,
 )
 from tidemark.operators.calendar import align_forward
-from tidemark.operators.returns import abnormal_returns
+from tidemark.operators.returns import abnormal_returns, log_return
 
 _LAST_DATE = "date'9999-12-31'"
 
@@ -56,7 +56,8 @@ def _running_totals(events: DataFrame, prices: DataFrame, calendar: DataFrame,
     sweep = W.partitionBy("company_id").orderBy("trade_date", "kind")
     so_far = sweep.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = sweep.rowsBetween(W.unboundedPreceding, -1)
-    ar = F.log(F.col("adj_close") / F.last("adj_close", ignorenulls=True).over(before)) - F.col("r_mkt")
+    # a price that is no finite number above zero costs its own return and the next one, and no running total
+    ar = log_return(F.col("adj_close"), F.last("adj_close", ignorenulls=True).over(before)) - F.col("r_mkt")
     swept = (
         quotes.unionByName(probes)
         .withColumn("ar", ar)

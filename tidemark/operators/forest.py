@@ -18,9 +18,10 @@ from tidemark.session import settled
 
 # Fixed values of the study design.
 TREES, SEED, FOLDS, MIN_ROWS = 500, 42, 5, 30
-# Trees grown until every leaf is pure hold about as many nodes as there are rows,
-# which no driver can keep for 500 trees; depth is bounded instead (MLlib allows 30).
-MAX_DEPTH = 10
+MAX_DEPTH = 30  # as far as MLlib goes: trees grow until their leaves are pure
+# Trees grown to purity hold about as many nodes as there are rows, and the driver keeps 500 of them. So the labelled rows
+# of a fit are bounded; every row is scored.
+MAX_FIT_ROWS = 50_000
 
 
 def sign_label(df: DataFrame, car: str) -> DataFrame:
@@ -40,6 +41,15 @@ def with_weights(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(class_weights(df).select("label", "weight")), "label")
 
 
+def bounded_sample(df: DataFrame, rows: int = MAX_FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """All labelled rows, or about ``rows`` of them, drawn by a hash of the whole row."""
+    n = df.count()
+    if n <= rows:
+        return df
+    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 40)) / float(1 << 40)
+    return df.where(draw < rows / n)
+
+
 def encoder(categorical: Sequence[str] = CATEGORICAL_REGRESSORS) -> Pipeline:
     """One-hot encoding in which a category not seen in training becomes all zeros."""
     return Pipeline(stages=[
@@ -68,51 +78,57 @@ def fit_forest(df: DataFrame, car: str, **options) -> PipelineModel | None:
     size = labelled.agg(F.count("*").alias("n"), F.countDistinct("label").alias("k")).first()
     if size["n"] < MIN_ROWS or size["k"] < 2:
         return None
-    return forest(**options).fit(with_weights(labelled))
+    return forest(**options).fit(with_weights(bounded_sample(labelled)))
 
 
 def stratified_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS) -> DataFrame:
-    """``fold`` 0..k-1: within each label, consecutive blocks in row order, sizes as even as possible.
+    """``fold`` 0..k-1: within each label, consecutive blocks in row order.
 
-    A label may hold half of all rows, so its rows are numbered globally rather
-    than inside one window partition.
+    Block sizes come from dealing the positions of all labels, one label after the other in the order of their first
+    rows, to the folds in turn; so folds differ by one row at most. A label may hold half of all rows, so its rows are
+    numbered globally rather than inside one window partition.
     """
     placed = with_position(df, ["label", *order], "__pos")
-    spans = placed.groupBy("label").agg(F.min("__pos").alias("__from"), F.count("*").alias("__n"))
+    spans = placed.groupBy("label").agg(F.min("__pos").alias("__from"), F.count("*").alias("__n"), F.min(F.struct(*order)).alias("__first"))
+    # one row per label
+    before = W.orderBy("__first", "label").rowsBetween(W.unboundedPreceding, -1)
+    spans = spans.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    start, end = F.col("__start"), F.col("__start") + F.col("__n")
+    # positions up to x that fall to fold i
+    dealt = lambda x, i: F.floor((x - 1 - i + folds) / folds)
+    sizes = [dealt(end, i) - dealt(start, i) for i in range(folds)]
+    edges = F.array(*[sum(sizes[:i + 1], F.lit(0)) for i in range(folds - 1)])
     at = F.col("__pos") - F.col("__from")
-    small, extra = F.floor(F.col("__n") / folds), F.col("__n") % folds
-    edge = extra * (small + 1)  # the first `extra` folds hold one row more
-    fold = F.when(at < edge, F.floor(at / (small + 1))).otherwise(
-        extra + F.floor((at - edge) / F.greatest(small, F.lit(1))))
     return (
-        placed.join(F.broadcast(spans), "label")  # one row per label
-        .withColumn("fold", fold.cast("int")).drop("__pos", "__from", "__n")
+        placed.join(F.broadcast(spans.select("label", "__from", edges.alias("__edges"))), "label")
+        .withColumn("fold", F.size(F.filter("__edges", lambda e: at >= e)).cast("int")).drop("__pos", "__from", "__edges")
     )
 
 
 def cross_validate(df: DataFrame, car: str, order: Sequence[str] = ("company_id", "announcement_date", "event_id"),
                    folds: int = FOLDS, **options) -> DataFrame:
-    """``fold, n, accuracy, roc_auc``; class weights come from the training part only."""
+    """``fold, n, positives, accuracy, roc_auc``; class weights come from the training part only."""
     labelled = settled(stratified_folds(sign_label(df, car), order, folds))
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC")
 
-    def score(k: int) -> tuple[int, int, float, float]:
-        model = forest(**options).fit(with_weights(labelled.where(F.col("fold") != k)))
+    def score(k: int) -> tuple[int, int, int, float, float]:
+        model = forest(**options).fit(with_weights(bounded_sample(labelled.where(F.col("fold") != k))))
         scored = settled(model.transform(labelled.where(F.col("fold") == k)).select(
             "label", "prediction", "rawPrediction"))
-        return k, scored.count(), accuracy.evaluate(scored), auc.evaluate(scored)
+        n, positives = scored.agg(F.count("*"), F.count_if(F.col("label") > 0)).first()
+        return k, n, positives, accuracy.evaluate(scored), auc.evaluate(scored)
 
     # the folds are independent jobs; submitting them together keeps the cluster busy
     with ThreadPool(folds) as pool:
         rows = pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds))
-    return df.sparkSession.createDataFrame(rows, "fold int, n long, accuracy double, roc_auc double")
+    return df.sparkSession.createDataFrame(rows, "fold int, n long, positives long, accuracy double, roc_auc double")
 
 
 def cv_metrics(folds: DataFrame) -> DataFrame:
-    """Mean and population deviation of the fold scores."""
+    """Share of positive labels; mean and population deviation of the fold scores."""
     return folds.agg(
-        F.sum("n").alias("n_obs"),
+        F.sum("n").alias("n_obs"), (F.sum("positives") / F.sum("n")).alias("pos_rate"),
         F.avg("accuracy").alias("cv_accuracy_mean"), F.stddev_pop("accuracy").alias("cv_accuracy_std"),
         F.avg("roc_auc").alias("cv_roc_auc_mean"), F.stddev_pop("roc_auc").alias("cv_roc_auc_std"),
     )

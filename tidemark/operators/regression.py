@@ -32,8 +32,11 @@ class Design:
     columns: list[Column] = field(repr=False)
 
     def frame(self, df: DataFrame, y: str, keep: Sequence[str] = ()) -> DataFrame:
+        """The rows in which the outcome and every term have a number."""
         x = F.array(*[c.cast("double") for c in self.columns])
-        return df.where(F.col(y).isNotNull()).select(F.col(y).cast("double").alias("y"), x.alias("x"), *keep)
+        number = lambda v: v.isNotNull() & ~F.isnan(v)
+        rows = df.select(F.col(y).cast("double").alias("y"), x.alias("x"), *keep)
+        return rows.where(number(F.col("y")) & F.forall("x", number))
 
 
 def design(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> Design:

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+
+def log_return(now: Column, before: Column) -> Column:
+    """Log return of two prices; null where either is missing, not a finite number or not above zero."""
+    usable = lambda p: (p > 0) & (p < F.lit(float("inf")))  # noqa: E731  NaN is above every number
+    return F.when(usable(now) & usable(before), F.log(F.try_divide(now, before)))
 
 
 def stock_returns(prices: DataFrame) -> DataFrame:
@@ -14,7 +20,7 @@ def stock_returns(prices: DataFrame) -> DataFrame:
     order = W.partitionBy("company_id").orderBy("trade_date")
     close = F.col("adj_close").cast("double")
     return prices.select("company_id", "trade_date", close.alias("adj_close")).withColumn(
-        "r_stock", F.log(F.col("adj_close") / F.lag("adj_close").over(order))
+        "r_stock", log_return(F.col("adj_close"), F.lag("adj_close").over(order))
     )
 
 

@@ -537,17 +537,24 @@ def _(spark, folder):
 
 
 @query("T13_stratified_folds", "event_id:l label:l fold:l", statement(
-    """SELECT event_id, label, ntile(5) OVER (
-              PARTITION BY label ORDER BY company_id, announcement_date, event_id) - 1 AS fold
-       FROM (SELECT s.event_id, s.company_id, s.announcement_date, CASE WHEN h.car > 0 THEN 1 ELSE 0 END AS label
-             FROM study s JOIN headline h USING (event_id) WHERE h.car IS NOT NULL)"""))
+    """SELECT event_id, label, fold FROM (WITH labelled AS (
+           SELECT s.event_id, s.company_id, s.announcement_date, CASE WHEN h.car > 0 THEN 1 ELSE 0 END AS label
+           FROM study s JOIN headline h USING (event_id) WHERE h.car IS NOT NULL),
+       numbered AS (
+           SELECT *, row_number() OVER (PARTITION BY label ORDER BY company_id, announcement_date, event_id) - 1 AS nth,
+                  row_number() OVER (ORDER BY company_id, announcement_date, event_id) AS place FROM labelled),
+       dealt AS (
+           SELECT label, (row_number() OVER (ORDER BY first_place, nth) - 1) % 5 AS fold
+           FROM (SELECT *, min(place) OVER (PARTITION BY label) AS first_place FROM numbered)),
+       blocks AS (SELECT label, fold, row_number() OVER (PARTITION BY label ORDER BY fold) - 1 AS nth FROM dealt)
+       SELECT event_id, label, fold FROM numbered JOIN blocks USING (label, nth))"""))
 def _(spark, folder):
     events = wh.study_events(spark, folder).select("event_id", "announcement_date")
     labelled = rf.sign_label(headline(spark, folder), "car").join(events, "event_id")
     return rf.stratified_folds(labelled, ["company_id", "announcement_date", "event_id"])
 
 
-@query("T13_cross_validation", "n_obs:l cv_accuracy_mean:f cv_accuracy_std:f cv_roc_auc_mean:f cv_roc_auc_std:f")
+@query("T13_cross_validation", "n_obs:l pos_rate:f cv_accuracy_mean:f cv_accuracy_std:f cv_roc_auc_mean:f cv_roc_auc_std:f")
 def _(spark, folder):
     return rf.cv_metrics(rf.cross_validate(model_frame(spark, folder), "car_m5_p5"))
 
