@@ -20,6 +20,7 @@ HEADLINE = (
     "A1_dedupe_most_complete", "A2_first_non_null", "A9_kde", "A10_box_stats", "S2_insert_only",
     "S3_upsert_fill_nulls", "S4_surrogate_key", "S10_constraint_check", "E3_search_match", "E7_ticker_claim",
     "T1_summary_stats", "T3_bootstrap_ci", "T5_welch_ttest", "T8_ols_hc3", "T9_ols_diagnostics",
+    "T10_rf_classifier", "T13_cross_validation",
 )
 
 
@@ -29,7 +30,7 @@ def main() -> None:
     # workers must find the package whatever folder the bench is started from
     os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.get("PYTHONPATH")]))
     from tidemark.plans import all_queries
-    from tidemark.session import local_session
+    from tidemark.session import local_session, release_scratch
 
     spark = local_session("tidemark-bench", cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,6 +42,7 @@ def main() -> None:
         start = time.perf_counter()
         known[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        release_scratch(spark)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": Path(folder).name.removeprefix("sf"),

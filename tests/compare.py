@@ -56,7 +56,7 @@ def difference(spark, con, folder, build, sql) -> str | None:
 
 def main(folder: str, names: list[str]) -> None:
     from tidemark.plans import all_checks, all_queries
-    from tidemark.session import local_session
+    from tidemark.session import local_session, release_scratch
 
     spark = local_session(cpus=8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,6 +72,7 @@ def main(folder: str, names: list[str]) -> None:
                 verdict = f"rows {len(build(spark, folder).collect())}"
         except Exception as error:  # report and go on with the next query
             verdict = f"ERROR {str(error)[:600]}"
+        release_scratch(spark)
         print(f"{name:28s} {time.time() - start:6.1f}s {verdict}", flush=True)
 
 

@@ -152,6 +152,10 @@ def test_lookup_and_cascade(spark):
     child = spark.createDataFrame([(1,), (1,), (2,)], "company_id long")
     left, children = mg.cascade_delete(dim, dim, "company_id", {"events": child})
     assert left.count() == 0 and children["events"].count() == 1
+    events = spark.createDataFrame([(10, 1), (11, 2)], "event_id long, company_id long")
+    windows = spark.createDataFrame([(10, -1), (10, 0), (11, -1)], "event_id long, low int")
+    _, children = mg.cascade_delete(dim, dim, "company_id", {"events": events}, {"windows": ("events", "event_id", windows)})
+    assert [tuple(r) for r in children["windows"].collect()] == [(11, -1)]
 
 
 def test_constraints(spark):
@@ -197,11 +201,13 @@ def test_price_feeds(spark):
         rd.require_rows(feed.limit(0), "feed")
 
 
-def test_coverage_flags(spark):
-    companies = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, None)], "company_id long, ticker_symbol string")
-    prices = spark.range(300).select(F.when(F.col("id") < 200, 1).otherwise(2).cast("long").alias("company_id"))
-    got = {r.company_id: (r.days, r.status, r.flag) for r in rep.price_coverage(companies, prices).collect()}
-    assert got == {1: (200, "ok", None), 2: (100, "ok", "LOW-COVERAGE"), 3: (0, "empty", None)}
+def test_coverage_counts_every_delivered_day(spark):
+    companies = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, None), (5, "E")], "company_id long, ticker_symbol string")
+    days = [("A", 1.0)] * 199 + [("A", float("nan"))] + [("B", 2.0)] * 99 + [("B", None)] + [("E", 0.0)] * 250 + [("Z", 1.0)]
+    coverage = rep.price_coverage(companies, spark.createDataFrame(days, "ticker string, adj_close double"))
+    got = {r.company_id: tuple(r)[2:] for r in coverage.collect()}
+    assert got == {1: (200, 199, 1, "ok", None), 2: (100, 99, 1, "ok", "LOW-COVERAGE"), 3: (0, 0, 0, "empty", None), 5: (250, 0, 250, "ok", None)}
+    assert tuple(rep.coverage_totals(coverage).first()) == (3, 1, 1, 298, 252)
 
 
 def test_missing_csv_is_an_error(spark, tmp_path):
@@ -297,3 +303,16 @@ def test_chain_and_claims(spark):
     }
     assert out.where("ticker_symbol is not null").groupBy("ticker_symbol").count().where("count > 1").isEmpty()
     assert en.unmatched(out).isEmpty()
+
+
+def test_scratch_is_released(spark):
+    import os
+
+    from tidemark.session import release_scratch, scratch_path, settled, shared_folder
+
+    release_scratch(spark)
+    frame = settled(spark.range(5))
+    folder = f"{shared_folder(spark)}/tidemark".removeprefix("file:")
+    assert frame.count() == 5 and len(os.listdir(folder)) == 1
+    scratch_path(spark, "never-written")
+    assert release_scratch(spark) == 2 and not os.listdir(folder)

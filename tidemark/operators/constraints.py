@@ -51,6 +51,7 @@ def split_valid(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 def event_checks() -> dict[str, Column]:
     pct = F.col("percentage_laid_off")
     return {
+        "company_present": F.col("company_id").isNotNull(),
         "date_present": F.col("announcement_date").isNotNull(),
         "employees_not_negative": F.col("employees_laid_off") >= 0,
         "percentage_range": (pct >= 0) & (pct <= 100),

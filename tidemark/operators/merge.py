@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidemark.functions.cleaning import normalise_key
 from tidemark.operators.dedupe import first_non_null
 from tidemark.operators.positions import with_position
+from tidemark.session import settled
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -24,11 +25,12 @@ def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     """Incoming rows whose key is not stored yet, one per key (first by ``order``)."""
     keys = list(keys)
     rank = [F.asc_nulls_first(c) for c in (order or [c for c in incoming.columns if c not in keys] or keys)]
-    one_each = (
+    # the batch is read once; the stored table is only narrowed to its keys
+    one_each = settled(
         incoming.withColumn("__rank", F.row_number().over(W.partitionBy(*keys).orderBy(*rank)))
         .where("__rank = 1").drop("__rank")
     )
-    stored = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi").distinct()
+    stored = existing.select(*keys).join(one_each.select(*keys), keys, "left_semi").distinct()
     return one_each.join(stored, keys, "left_anti")
 
 
@@ -46,7 +48,7 @@ def upsert_fill_nulls(existing: DataFrame, incoming: DataFrame, keys: Sequence[s
     value per column, in ``order``.
     """
     keys, columns = list(keys), list(columns)
-    folded = first_non_null(incoming, keys, columns, order or [F.col(c) for c in columns])
+    folded = settled(first_non_null(incoming, keys, columns, order or [F.col(c) for c in columns]))
     update = folded.withColumnsRenamed({c: f"__{c}" for c in columns})
     kept = (
         existing.join(update, keys, "left")
@@ -78,11 +80,16 @@ def lookup_key(rows: DataFrame, name_col: str, dimension: DataFrame, dimension_n
     return keyed.join(names, "__key", "left").drop("__key")
 
 
-def cascade_delete(parent: DataFrame, doomed: DataFrame, key: str,
-                   children: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Remove ``doomed`` keys from the parent and from every child that refers to them."""
+def cascade_delete(parent: DataFrame, doomed: DataFrame, key: str, children: dict[str, DataFrame],
+                   below: dict[str, tuple[str, str, DataFrame]] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Remove ``doomed`` keys from the parent, from every child that refers to them, and from what refers to those.
+
+    ``below``: name -> (name of the table it refers to, the key of that, rows); a table may refer to one named before it.
+    """
     gone = doomed.select(key).distinct()
-    return (
-        parent.join(gone, key, "left_anti"),
-        {name: child.join(gone, key, "left_anti") for name, child in children.items()},
-    )
+    removed = {name: child.join(gone, key, "left_semi") for name, child in children.items()}
+    left = {name: child.join(gone, key, "left_anti") for name, child in children.items()}
+    for name, (above, by, rows) in (below or {}).items():
+        lost = removed[above].select(by).distinct()
+        removed[name], left[name] = rows.join(lost, by, "left_semi"), rows.join(lost, by, "left_anti")
+    return parent.join(gone, key, "left_anti"), left

@@ -139,19 +139,34 @@ def mean_by_window(windows: DataFrame) -> DataFrame:
         F.count("car").alias("n"), stored_mean("car").alias("mean_car"))
 
 
-def price_coverage(companies: DataFrame, prices: DataFrame, low: int = LOW_COVERAGE_DAYS) -> DataFrame:
-    """Price days per listed company with a status and a low-coverage flag."""
-    days = prices.groupBy("company_id").agg(F.count("*").alias("days"))
+def price_coverage(companies: DataFrame, feed: DataFrame, low: int = LOW_COVERAGE_DAYS) -> DataFrame:
+    """What a raw feed (``ticker``, ``adj_close``) holds for each listed company.
+
+    ``days`` are all days that were delivered, ``attempted`` those with a usable price and ``skipped_invalid`` the others;
+    status and low-coverage flag go by the delivered days.
+    """
+    usable = F.coalesce((F.col("adj_close") > 0) & ~F.isnan("adj_close"), F.lit(False))
+    days = feed.groupBy(F.col("ticker").alias("ticker_symbol")).agg(
+        F.count("*").alias("days"), F.count_if(usable).alias("attempted"), F.count_if(~usable).alias("skipped_invalid"))
     n = F.coalesce("days", F.lit(0))
     return (
         companies.where("ticker_symbol is not null")
-        .join(days, "company_id", "left")
+        .join(days, "ticker_symbol", "left")
         .select("company_id", "ticker_symbol", n.cast("long").alias("days"),
+                *[F.coalesce(c, F.lit(0)).alias(c) for c in ("attempted", "skipped_invalid")],
                 F.when(n > 0, "ok").otherwise("empty").alias("status"),
                 F.when((n > 0) & (n < low), "LOW-COVERAGE").alias("flag"))
     )
 
 
+def coverage_totals(coverage: DataFrame) -> DataFrame:
+    """One row over ``price_coverage``: companies with and without data, with little of it, and rows by their fate."""
+    return coverage.agg(
+        F.count_if(F.col("status") == "ok").alias("with_data"), F.count_if(F.col("status") == "empty").alias("empty"),
+        F.count_if(F.col("flag").isNotNull()).alias("low_coverage"), F.coalesce(F.sum("attempted"), F.lit(0)).alias("attempted"),
+        F.coalesce(F.sum("skipped_invalid"), F.lit(0)).alias("skipped_invalid"))
+
+
 def match_by_method(companies: DataFrame) -> DataFrame:
     return companies.groupBy("match_method").agg(F.count("*").alias("n"))
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.constraints import event_checks, flag_violations, split_valid
 from tidemark.operators.dedupe import completeness, first_non_null
-from tidemark.operators.merge import assign_ids, lookup_key, new_rows, upsert_fill_nulls
+from tidemark.operators.merge import lookup_key, new_rows, upsert_fill_nulls
+from tidemark.operators.positions import with_position
+from tidemark.session import settled
 from tidemark.sources.readers import event_columns
 
 COMPANY_ATTRIBUTES = ("company", "industry", "location", "country")
@@ -29,8 +31,10 @@ def load_companies(companies: DataFrame, clean: DataFrame) -> DataFrame:
         F.col("company").alias("company_name"), "industry", F.col("location").alias("headquarters"), "country",
         F.lit(False).alias("is_public"))
     new = new_rows(companies, batch, ["company_name"])
-    ids = assign_ids(companies, batch, ["company_name"], "company_id")
-    return companies.unionByName(new.join(ids, "company_name"), allowMissingColumns=True)
+    top = companies.agg(F.coalesce(F.max("company_id"), F.lit(0)).alias("top")).scalar()
+    numbered = with_position(new, ["company_name"], "__pos").withColumn(
+        "company_id", (top + 1 + F.col("__pos")).cast("long")).drop("__pos")
+    return companies.unionByName(numbered, allowMissingColumns=True)
 
 
 def load_events(events: DataFrame, companies: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -42,6 +46,19 @@ def load_events(events: DataFrame, companies: DataFrame, clean: DataFrame) -> tu
     unknown = rows.where("company_id is null")
     known = rows.where("company_id is not null").select(*EVENT_KEY, *EVENT_ATTRIBUTES)
     valid, rejected = split_valid(flag_violations(known, event_checks()))
-    ids = assign_ids(events, valid, EVENT_KEY, "event_id")
-    merged = upsert_fill_nulls(events.drop("event_id"), valid, EVENT_KEY, EVENT_ATTRIBUTES)
-    return merged.join(ids, list(EVENT_KEY)), rejected, unknown
+    valid = settled(valid)
+    merged = upsert_fill_nulls(events, valid, EVENT_KEY, EVENT_ATTRIBUTES)
+    # stored rows keep their ids; only the new ones are numbered
+    top = events.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("top")).scalar()
+    new = with_position(merged.where("event_id is null"), EVENT_KEY, "__pos").withColumn(
+        "event_id", (top + 1 + F.col("__pos")).cast("long")).drop("__pos")
+    return merged.where("event_id is not null").unionByName(new), rejected, unknown
+
+
+def load_counters(events: DataFrame, loaded: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """One row after ``load_events``: rows inserted, rejected by a rule, and of unknown companies."""
+    after, rejected, unknown = loaded
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    old = count(events, "stored")
+    return count(after, "now").join(old).join(count(rejected, "rejected")).join(count(unknown, "unknown_company")).select(
+        (F.col("now") - F.col("stored")).alias("inserted"), "rejected", "unknown_company")  # one row each

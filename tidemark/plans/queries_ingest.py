@@ -409,15 +409,33 @@ def _(spark, folder):
     return rd.normalise_index(rd.require_rows(feed, "the benchmark feed"))
 
 
-@query("S8_price_coverage", "company_id:l ticker_symbol:s days:l status:s flag:s", statement(
-    """SELECT c.company_id, c.ticker_symbol, count(f.adj_close) AS days,
-              CASE WHEN count(f.adj_close) > 0 THEN 'ok' ELSE 'empty' END AS status,
-              CASE WHEN count(f.adj_close) BETWEEN 1 AND 199 THEN 'LOW-COVERAGE' END AS flag
-       FROM companies c LEFT JOIN (SELECT * FROM feed WHERE adj_close > 0) f USING (company_id)
-       WHERE c.ticker_symbol IS NOT NULL GROUP BY ALL""", FEED))
+_COVERAGE = """SELECT c.company_id, c.ticker_symbol, count(f.company_id) AS days, count(*) FILTER (WHERE f.adj_close > 0) AS attempted,
+              count(f.company_id) - count(*) FILTER (WHERE f.adj_close > 0) AS skipped_invalid,
+              CASE WHEN count(f.company_id) > 0 THEN 'ok' ELSE 'empty' END AS status,
+              CASE WHEN count(f.company_id) BETWEEN 1 AND 199 THEN 'LOW-COVERAGE' END AS flag
+       FROM companies c LEFT JOIN feed f USING (company_id)
+       WHERE c.ticker_symbol IS NOT NULL GROUP BY ALL"""
+
+
+@query("S8_price_coverage", "company_id:l ticker_symbol:s days:l attempted:l skipped_invalid:l status:s flag:s", statement(_COVERAGE, FEED))
 def _(spark, folder):
-    companies = wh.companies(spark, folder)
-    return rep.price_coverage(companies, rd.normalise_prices(price_feed(spark, folder), companies))
+    return rep.price_coverage(wh.companies(spark, folder), price_feed(spark, folder))
+
+
+@query("S8_coverage_totals", "with_data:l empty:l low_coverage:l attempted:l skipped_invalid:l", statement(
+    f"""SELECT count(*) FILTER (WHERE status = 'ok') AS with_data, count(*) FILTER (WHERE status = 'empty') AS empty,
+              count(flag) AS low_coverage, sum(attempted) AS attempted, sum(skipped_invalid) AS skipped_invalid
+       FROM ({_COVERAGE})""", FEED))
+def _(spark, folder):
+    return rep.coverage_totals(rep.price_coverage(wh.companies(spark, folder), price_feed(spark, folder)))
+
+
+@query("A15_cleaning_counters", "raw_rows:l bad_dates:l before_folding:l after_folding:l", statement(
+    """SELECT count(*) AS raw_rows, count(*) FILTER (WHERE date IS NULL) AS bad_dates,
+              count(*) FILTER (WHERE date IS NOT NULL AND company IS NOT NULL) AS before_folding,
+              (SELECT count(*) FROM clean) AS after_folding FROM typed""", RAW))
+def _(spark, folder):
+    return rd.cleaning_counters(raw_events(spark, folder))
 
 
 @query("S9_load_study_inputs", "kind:s company_id:l date:s value:f", statement(
@@ -456,17 +474,48 @@ def _(spark, folder):
     return flagged.withColumn("violations", F.array_join("violations", ","))
 
 
+@query("S10_other_rules", "kind:s rule:s n:l", statement(
+    """SELECT 'price' AS kind, 'price_positive' AS rule, count(*) AS n FROM feed WHERE NOT coalesce(adj_close > 0, false) UNION ALL
+       SELECT 'price', 'price_company_known', count(*) FROM feed f
+       WHERE NOT EXISTS (SELECT 1 FROM companies c WHERE c.company_id = f.company_id AND ticker_symbol IS NOT NULL) UNION ALL
+       SELECT 'window', 'window_order', count(*) FROM lineitem WHERE l_linenumber - 4 >= CAST(l_quantity AS INT) % 5 - 2 UNION ALL
+       SELECT 'match', 'match_complete', count(*) FROM supplier WHERE (s_suppkey % 5 = 0) <> (s_suppkey % 7 = 0) UNION ALL
+       SELECT 'match', 'match_method_known', count(*) FROM supplier WHERE s_suppkey % 5 = 1 UNION ALL
+       SELECT 'match', 'name_unique', count(*) - count(DISTINCT s_nationkey) FROM supplier""", FEED))
+def _(spark, folder):
+    """The rules of prices, windows and matches, each over rows that break some of them."""
+    def broken(kind: str, flagged: DataFrame) -> DataFrame:
+        return flagged.select(F.lit(kind).alias("kind"), F.explode("violations").alias("rule"))
+
+    companies = wh.companies(spark, folder).where("ticker_symbol is not null")
+    feed = price_feed(spark, folder).withColumn("company_id", F.substring("ticker", 2, 20).cast("long"))
+    windows = wh.table(spark, folder, "lineitem").select(
+        (F.col("l_linenumber") - 4).alias("window_start_offset"), (F.col("l_quantity").cast("int") % 5 - 2).alias("window_end_offset"))
+    key = F.col("s_suppkey")
+    matches = wh.table(spark, folder, "supplier").select(
+        key.alias("company_id"), F.col("s_nationkey").alias("company_name"),
+        F.when(key % 5 == 0, F.lit(None).cast("string")).when(key % 5 == 1, "guess").otherwise("manual").alias("match_method"),
+        F.when(key % 7 != 0, 100.0).alias("match_confidence"))
+    found = (
+        broken("price", con.flag_violations(feed, con.price_checks(), references={"price_company_known": ("company_id", companies, "company_id")}))
+        .unionByName(broken("window", con.flag_violations(windows, con.window_checks())))
+        .unionByName(broken("match", con.flag_violations(matches, con.match_checks(), "company_id", {"name_unique": ["company_name"]}))))
+    return found.groupBy("kind", "rule").agg(F.count("*").alias("n"))
+
+
 @query("S11_cascade_delete", "kind:s company_id:l n:l", statement(
     """SELECT 'company' AS kind, company_id, count(*) AS n FROM companies
        WHERE ticker_symbol IS NOT NULL GROUP BY company_id UNION ALL
        SELECT 'event', company_id, count(*) FROM study GROUP BY company_id UNION ALL
+       SELECT 'window', company_id, 2 * count(*) FROM study GROUP BY company_id UNION ALL
        SELECT 'price', company_id, count(*) FROM prices JOIN companies USING (company_id)
        WHERE ticker_symbol IS NOT NULL GROUP BY company_id"""))
 def _(spark, folder):
-    companies = wh.companies(spark, folder)
+    companies, events = wh.companies(spark, folder), wh.events(spark, folder)
+    windows = events.select("event_id", "company_id", F.explode(F.array(F.lit(-1), F.lit(0))).alias("window_start_offset"))
     kept, children = mg.cascade_delete(
-        companies, companies.where("ticker_symbol is null"), "company_id",
-        {"event": wh.events(spark, folder), "price": wh.prices(spark, folder)})
+        companies, companies.where("ticker_symbol is null"), "company_id", {"event": events, "price": wh.prices(spark, folder)},
+        {"window": ("event", "event_id", windows)})
 
     def sizes(kind: str, df: DataFrame) -> DataFrame:
         return df.groupBy("company_id").agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind))
@@ -499,7 +548,7 @@ def _(spark, folder):
 # ---- reports over the stored windows
 
 def _stored_pct(spark: SparkSession, folder: str) -> DataFrame:
-    stored = rep.in_window(stored_windows(spark, folder), (-5, 5))
+    stored = rep.in_window(stored_windows(spark, folder, [(-5, 5)]), (-5, 5))
     return stored.select("event_id", (F.col("car").cast("double") * 100).alias("v")).where("v is not null")
 
 

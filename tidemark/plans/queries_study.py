@@ -32,8 +32,9 @@ def price_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
     return wh.prices(spark, folder, sums), cal.trading_calendar(wh.market(spark, folder, sums))
 
 
-def wide(spark: SparkSession, folder: str, windows=DEFAULT_WINDOWS) -> DataFrame:
-    return es.wide_results(wh.study_events(spark, folder), *price_inputs(spark, folder), windows)
+def wide(spark: SparkSession, folder: str, windows=DEFAULT_WINDOWS, events: DataFrame | None = None) -> DataFrame:
+    events = wh.study_events(spark, folder) if events is None else events
+    return es.wide_results(events, *price_inputs(spark, folder), windows)
 
 
 def headline(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,9 +43,9 @@ def headline(spark: SparkSession, folder: str) -> DataFrame:
         "event_id", "company_id", F.col("car_m5_p5").alias("car"), F.col("scar_m5_p5").alias("scar"))
 
 
-def stored_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """The event-window table as a report finds it: written, six decimals."""
-    return settled(es.long_results(wide(spark, folder), stored=True))
+def stored_windows(spark: SparkSession, folder: str, windows=DEFAULT_WINDOWS, events: DataFrame | None = None) -> DataFrame:
+    """The event-window table as a report finds it: written, six decimals; only the windows that the report reads."""
+    return settled(es.long_results(wide(spark, folder, windows, events), windows, stored=True))
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
@@ -345,8 +346,9 @@ _RANKED_PCT = """SELECT h.event_rank = 1 AS is_first, CAST(w.car AS DOUBLE) * 10
 
 def ranked_pct(spark: SparkSession, folder: str) -> DataFrame:
     """``is_first, grp, car_pct`` per event with a stored headline return."""
-    stored = stored_windows(spark, folder)
-    ranked = ft.event_history(wh.study_events(spark, folder)).select("event_id", "event_rank")
+    events = settled(wh.study_events(spark, folder))
+    stored = stored_windows(spark, folder, [HEAD], events)
+    ranked = ft.event_history(events).select("event_id", "event_rank")
     hits = rep.events_with_returns(ranked, stored, HEAD)
     first = F.col("event_rank") == 1
     return hits.select(
@@ -388,8 +390,9 @@ def _regression_sql(source: str, label: str) -> str:
 
 def size_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id, x_size, x_share, y``: log employees and share laid off against the return in percent."""
-    stored = stored_windows(spark, folder)
-    hits = rep.events_with_returns(wh.study_events(spark, folder), stored, HEAD)
+    events = settled(wh.study_events(spark, folder))
+    stored = stored_windows(spark, folder, [HEAD], events)
+    hits = rep.events_with_returns(events, stored, HEAD)
     return hits.select(
         "event_id",
         F.when(F.col("employees_laid_off") > 0, F.log1p("employees_laid_off")).alias("x_size"),

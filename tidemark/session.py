@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,13 +39,50 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, until ``release_scratch``."""
+    path = f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """How many scratch paths there are, for ``scratch_since``."""
+    return len(_made)
+
+
+def scratch_since(mark: int) -> list[str]:
+    """The scratch paths named since a mark."""
+    return _made[mark:]
+
+
+def release_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some scratch tables, for when every result that reads them is written; empties the list."""
+    conf = spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+        if name in _made:
+            _made.remove(name)
+    del paths[:]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables of this process; returns how many.
+
+    Deletes only what ``scratch_path`` named, so runs that share the folder don't touch each other.
+    """
+    made = list(_made)
+    release_paths(spark, list(made))
+    return len(made)
 
 
 def settled(df: DataFrame) -> DataFrame:

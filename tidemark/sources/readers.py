@@ -55,6 +55,15 @@ def clean_events(raw: DataFrame) -> DataFrame:
     return df.withColumn("company_normalized", normalise_key(F.col("company")))
 
 
+def cleaning_counters(raw: DataFrame) -> DataFrame:
+    """One row: raw rows, rows without a readable date, rows that have one and a company, and what folding leaves of them."""
+    df = raw.transform(normalise_columns).transform(clean_strings).select("company", parse_date(F.col("date")).alias("date"))
+    usable = F.col("date").isNotNull() & F.col("company").isNotNull()
+    kept = df.where(usable).distinct().agg(F.count("*").alias("after_folding"))
+    return df.agg(F.count("*").alias("raw_rows"), F.count_if(F.col("date").isNull()).alias("bad_dates"),
+                  F.count_if(usable).alias("before_folding")).join(kept)  # one row each
+
+
 def event_columns(clean: DataFrame) -> DataFrame:
     """Cleaned rows under the names of the stored event table."""
     def optional(name: str) -> Column:

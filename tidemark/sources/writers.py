@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.merge import new_rows
 
@@ -15,9 +15,17 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def append_new(spark: SparkSession, path: str, schema: str, incoming: DataFrame, keys: Sequence[str]) -> None:
-    """Insert-only load: append the rows whose key is not stored; the stored files stay as they are."""
-    new_rows(read_table(spark, path, schema), incoming, keys).write.mode("append").parquet(path)
+def append_new(spark: SparkSession, path: str, schema: str, incoming: DataFrame, keys: Sequence[str], within: str | None = None) -> None:
+    """Insert-only load: append the rows whose key is not stored; the stored files stay as they are.
+
+    ``within``: a column of the key by which the table grows, such as a date. Only stored rows between the batch's smallest
+    and largest value are compared, which files and row groups outside that range are skipped for.
+    """
+    stored = read_table(spark, path, schema)
+    if within is not None:
+        low, high = incoming.agg(F.min(within), F.max(within)).first()
+        stored = stored.where(F.col(within).between(F.lit(low), F.lit(high)))
+    new_rows(stored, incoming, keys).write.mode("append").parquet(path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -17,10 +17,10 @@ from tidemark.sources.writers import append_new
 
 
 def stream_inserts(stream: DataFrame, table: str, schema: str, keys: Sequence[str],
-                   checkpoint: str) -> StreamingQuery:
+                   checkpoint: str, within: str | None = None) -> StreamingQuery:
     """Append the stream's rows whose key is new; processes what has landed, then stops."""
     def load(batch: DataFrame, _: int) -> None:
-        append_new(batch.sparkSession, table, schema, batch, keys)
+        append_new(batch.sparkSession, table, schema, batch, keys, within)
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -35,4 +35,4 @@ def stream_prices(spark: SparkSession, landing: str, companies: DataFrame, table
     """Load price files as they land into the keyed price table."""
     feed = spark.readStream.schema(RAW_PRICES).parquet(landing)
     return stream_inserts(normalise_prices(feed, companies), table, DAILY_PRICES,
-                          ["company_id", "trade_date"], checkpoint)
+                          ["company_id", "trade_date"], checkpoint, within="trade_date")
