@@ -99,17 +99,31 @@ def _counted(total: Counter) -> pa.RecordBatch:
 
 
 def lattice(units: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """The units with ``edges``: their substrings that are pieces, and every single character (id null without a piece)."""
+    """The units with ``edges``: their substrings that are pieces, each one number of 20 bits each for the place of the
+    piece in the order of scores, best first, and for the edge's start and end."""
     spark = units.sparkSession
-    table = spark.createDataFrame(vocab.pieces, "piece string, id int, score double")
+    table = spark.createDataFrame([(p, k) for k, (p, _, _) in enumerate(_by_score(vocab))], "piece string, place long")
     size = F.char_length("unit")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.transform(
-        F.sequence(i + 1, F.least(i + vocab.longest, size)), lambda j: F.struct(i.alias("start"), j.alias("end")))))
-    # the grouped columns lead, so the rows stay in the places that counting them chose
-    parts = units.select(*units.columns, F.explode(spans).alias("s")).select(
-        *units.columns, "s.start", "s.end", F.expr("substring(unit, s.start + 1, s.end - s.start)").alias("piece"))
-    edges = parts.join(F.broadcast(table), "piece", "left").where("id is not null or end = start + 1")
-    return edges.groupBy(*units.columns).agg(F.collect_list(F.struct("score", "start", "end", "id", "piece")).alias("edges"))
+    parts = units.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start")).select(
+        "unit", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + vocab.longest, size))).alias("end")).select(
+        "unit", (F.col("start").cast("long") * _SHIFT + F.col("end")).alias("span"),
+        F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"))
+    edges = parts.join(F.broadcast(table), "piece").select("unit", (F.col("place") * _SHIFT * _SHIFT + F.col("span")).alias("edge"))
+    found = edges.groupBy("unit").agg(F.collect_list("edge").alias("edges"))
+    # a unit without any piece keeps its place; both sides are already dealt by unit
+    return units.join(found, "unit", "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<long>")))
+
+
+_SHIFT = 1 << 20
+
+
+def _by_score(vocab: Vocabulary) -> list[tuple[str, int, float]]:
+    return sorted(vocab.pieces, key=lambda p: (-p[2], p[1]))
+
+
+def _parts(edge: Column) -> tuple[Column, Column, Column]:
+    """Place of the piece, start and end."""
+    return F.shiftright(edge, 40), F.shiftright(edge, 20).bitwiseAND(_SHIFT - 1).cast("int"), edge.bitwiseAND(_SHIFT - 1).cast("int")
 
 
 def _bytes(piece: Column, vocab: Vocabulary) -> Column:
@@ -119,41 +133,50 @@ def _bytes(piece: Column, vocab: Vocabulary) -> Column:
                        lambda i: F.element_at(ids, F.conv(code.substr(i, F.lit(2)), 16, 10).cast("int") + 1))
 
 
+def _right(x: Column, by: Column) -> Column:
+    return F.call_function("shiftright", x, by)
+
+
+def _left(x: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", x, by)
+
+
 def _merge_by_mask(edges: Column, size: Column) -> Column:
     """Whether each place of a short unit is a bound between symbols after all merges: a bit mask."""
     one = F.lit(1).cast("long")
 
-    def step(mask: Column, e: Column) -> Column:
-        inner = F.call_function("shiftright", mask, e["start"] + 1).bitwiseAND(
-            F.call_function("shiftleft", one, e["end"] - e["start"] - 1) - 1)
-        bound = lambda at: F.call_function("shiftright", mask, at).bitwiseAND(one) == 1
-        joins = (inner != 0) & (inner.bitwiseAND(inner - 1) == 0) & bound(e["start"]) & bound(e["end"])
-        return F.when(joins, mask.bitwiseXOR(F.call_function("shiftleft", inner, e["start"] + 1))).otherwise(mask)
+    def step(mask: Column, edge: Column) -> Column:
+        _, start, end = _parts(edge)
+        inner = _right(mask, start + 1).bitwiseAND(_left(one, end - start - 1) - 1)
+        ends = _left(one, start).bitwiseOR(_left(one, end))
+        joins = (inner != 0) & (inner.bitwiseAND(inner - 1) == 0) & (mask.bitwiseAND(ends) == ends)
+        return F.when(joins, mask.bitwiseXOR(_left(inner, start + 1))).otherwise(mask)
 
-    return F.aggregate(edges, F.call_function("shiftleft", one, size + 1) - 1, step)
+    return F.aggregate(edges, _left(one, size + 1) - 1, step)
 
 
 def _merge_by_array(edges: Column, size: Column) -> Column:
     """As above for any length: the array of the bounds."""
 
-    def step(bounds: Column, e: Column) -> Column:
-        inner = F.filter(bounds, lambda b: (b > e["start"]) & (b < e["end"]))
-        joins = (F.size(inner) == 1) & F.array_contains(bounds, e["start"]) & F.array_contains(bounds, e["end"])
+    def step(bounds: Column, edge: Column) -> Column:
+        _, start, end = _parts(edge)
+        inner = F.filter(bounds, lambda b: (b > start) & (b < end))
+        joins = (F.size(inner) == 1) & F.array_contains(bounds, start) & F.array_contains(bounds, end)
         return F.when(joins, F.array_except(bounds, inner)).otherwise(bounds)
 
     return F.aggregate(edges, F.sequence(F.lit(0), size), step)
 
 
-def _viterbi(edges: Column, size: Column, unknown: float) -> Column:
-    """The bounds of the path with the best sum of scores; the first found of equal ones, ends and starts ascending."""
+def _viterbi(edges: Column, size: Column, scores: Column, unknown: float) -> Column:
+    """The bounds of the path with the best sum of scores. ``edges``: by end and start, those without a piece negative."""
     best = F.transform(F.sequence(F.lit(0), size), lambda i: F.struct(
         F.when(i == 0, F.lit(0.0)).otherwise(F.lit(float("-inf"))).alias("sum"), F.array(F.lit(0)).alias("path")))
 
-    def step(state: Column, e: Column) -> Column:
-        before = F.element_at(state, e["start"] + 1)
-        total = before["sum"] + F.coalesce(e["score"], F.lit(unknown))
-        return F.transform(state, lambda x, i: F.when((i == e["end"]) & (total > x["sum"]), F.struct(
-            total.alias("sum"), F.concat(before["path"], F.array(e["end"])).alias("path"))).otherwise(x))
+    def step(state: Column, edge: Column) -> Column:
+        before = F.element_at(state, edge["start"] + 1)
+        total = before["sum"] + F.when(edge["place"] < 0, F.lit(unknown)).otherwise(F.element_at(scores, edge["place"] + 1))
+        return F.transform(state, lambda x, i: F.when((i == edge["end"]) & (total > x["sum"]), F.struct(
+            total.alias("sum"), F.concat(before["path"], F.array(edge["end"])).alias("path"))).otherwise(x))
 
     return F.element_at(F.aggregate(edges, best, step), -1)["path"]
 
@@ -161,28 +184,39 @@ def _viterbi(edges: Column, size: Column, unknown: float) -> Column:
 def encode_units(units: DataFrame, vocab: Vocabulary, kind: str = "bpe") -> DataFrame:
     """The units with their ``ids``."""
     size = F.char_length("unit")
-    edge = F.struct
+    ordered = _by_score(vocab)
+    text = lambda values: F.split(F.lit(",".join(map(str, values))), ",")
+    ids_of = text([i for _, i, _ in ordered]).cast("array<int>")
     cut = lattice(units, vocab)
     if kind == "bpe":
-        ranked = F.array_sort(F.transform(F.filter("edges", lambda e: e["end"] > e["start"] + 1), lambda e: edge(
-            (-e["score"]).alias("rank"), e["start"].alias("start"), e["end"].alias("end"))))
-        cut = cut.withColumn("ranked", ranked)
-        # the mask is folded once a unit, before its bits are read
-        cut = cut.withColumn("mask", F.when(size <= _MASKED, _merge_by_mask(F.col("ranked"), size)))
-        bounds = F.when(F.col("mask").isNotNull(), F.filter(F.sequence(F.lit(0), size), lambda b: F.call_function(
-            "shiftright", F.col("mask"), b).bitwiseAND(F.lit(1).cast("long")) == 1)).otherwise(_merge_by_array(F.col("ranked"), size))
+        cut = cut.withColumn("edges", F.sort_array("edges"))
+        cut = cut.withColumn("mask", F.when(size <= _MASKED, _merge_by_mask(F.col("edges"), size)))
+        set_bits = F.filter(F.sequence(F.lit(0), size), lambda b: _right(F.col("mask"), b).bitwiseAND(F.lit(1).cast("long")) == 1)
+        bounds = F.when(F.col("mask").isNotNull(), set_bits).otherwise(_merge_by_array(F.col("edges"), size))
     elif kind == "unigram":
         worst = min(s for _, _, s in vocab.pieces) - 10  # of a character without a piece
-        by_end = F.array_sort("edges", lambda a, b: F.when(a["end"] != b["end"], a["end"] - b["end"]).otherwise(a["start"] - b["start"]))
-        bounds = _viterbi(by_end, size, worst)
+        edge = lambda place, start, end: F.struct(end.alias("end"), start.alias("start"), place.cast("int").alias("place"))
+        known = F.transform("edges", lambda e: edge(*_parts(e)))
+        starts = F.transform("edges", lambda e: F.when(_parts(e)[2] == _parts(e)[1] + 1, _parts(e)[1]))
+        bare = F.transform(F.array_except(F.sequence(F.lit(0), size - 1), starts), lambda i: edge(F.lit(-1), i, i + 1))
+        scores = text([s for _, _, s in ordered]).cast("array<double>")
+        bounds = _viterbi(F.array_sort(F.concat(known, bare)), size, scores, worst)
     else:
         raise ValueError(f"no such kind of model: {kind}")
     cut = cut.withColumn("bounds", bounds)
-    inside = F.filter("edges", lambda e: F.array_contains("bounds", e["start"]) & (
-        F.element_at("bounds", F.array_position("bounds", e["start"]).cast("int") + 1) == e["end"]))
-    path = F.array_sort(inside, lambda a, b: a["start"] - b["start"])
-    ids = F.flatten(F.transform(path, lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(_bytes(e["piece"], vocab))))
-    return cut.select(*units.columns, ids.alias("ids"))
+    # the pieces between neighbouring bounds: every span of the path, and the place of its piece where it has one
+    spans = F.zip_with(F.slice("bounds", 1, F.size("bounds") - 1), F.slice("bounds", 2, F.size("bounds") - 1),
+                       lambda a, b: a.cast("long") * _SHIFT + b)
+    cut = cut.withColumn("spans", spans)
+    used = F.filter("edges", lambda e: F.array_contains("spans", e.bitwiseAND(_SHIFT * _SHIFT - 1)))
+    cut = cut.withColumn("used", F.map_from_entries(F.array_distinct(F.transform(used, lambda e: F.struct(
+        e.bitwiseAND(_SHIFT * _SHIFT - 1), F.element_at(ids_of, F.shiftright(e, 40).cast("int") + 1))))))
+    own = F.transform("spans", lambda s: F.element_at("used", s))
+    cut = cut.withColumn("own", own)
+    plain = ~F.exists("own", lambda i: i.isNull())
+    whole = F.flatten(F.transform("spans", lambda s: F.when(F.element_at("used", s).isNotNull(), F.array(F.element_at("used", s))).otherwise(
+        _bytes(F.substring("unit", F.shiftright(s, 20).cast("int") + 1, F.lit(1)), vocab))))
+    return cut.select(*units.columns, F.when(plain, F.col("own")).otherwise(whole).alias("ids"))
 
 
 _JOINED = "doc_id long, text string, ids array<int>"
