@@ -7,11 +7,14 @@ that loses passages keeps its row; a document that the mix takes several times h
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import minhash, mixing, pieces, quality, substring
-from tidemark.session import settled
+from tidemark.llm.text import bounded_batches
+from tidemark.session import release_paths, scratch_mark, scratch_since, settled
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +46,27 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
 
+_made: list[str] = []  # scratch tables of the stage before, whose result is written when the next one starts
+
+
+def _bounded(stage):
+    """The stage, with batches of bounded size to Python workers and without the scratch tables of the stage before."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        release_paths(spark, _made)
+        mark = scratch_mark()
+        out = stage(spark, docs, sf_dir)
+        _made[:] = scratch_since(mark)
+        return out
+
+    return run_stage
+
+
 STAGES = [("quality_classifier", good_quality), ("minhash_dedup", near_dedup), ("substring_dedup", substring_dedup),
           ("mixing", mixture), ("sentencepiece", encoding)]
+STAGES = [(name, _bounded(stage)) for name, stage in STAGES]
 
 ORACLE_SQL = None  # learned scores, drawn samples and knapsacks are beyond SQL; tests hold stages against brute force
 

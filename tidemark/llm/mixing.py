@@ -138,15 +138,15 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents with all their columns, as often as the mix takes them."""
     key = ["doc_id", "source", "tkey"]
-    taken = mix(docs, **how).groupBy(*key).agg(F.sum("repeats").alias("times"), F.count("*").alias("rows"))
-    taken = settled(taken.where("times > 0").select(*[F.col(c).alias(f"__{c}") for c in key], "times", "rows"))
+    taken = mix(docs, **how).groupBy(*key).agg(F.sum("repeats").alias("__times"), F.count("*").alias("__rows"))
+    taken = settled(taken.where("__times > 0").select(*[F.col(c).alias(f"__{c}") for c in key], "__times", "__rows"))
     own = docs.withColumn("__text", F.xxhash64("text"))
     found = own.join(taken, own["doc_id"].eqNullSafe(taken["__doc_id"]) & own["source"].eqNullSafe(taken["__source"])
                      & (own["__text"] == taken["__tkey"]))
     # equal rows share their copies; only they are ranked
     nth = F.row_number().over(W.partitionBy("__doc_id", "__source", "__tkey").orderBy("__tkey"))
-    several = found.where("rows > 1").withColumn("__nth", nth)
-    each = F.floor(F.col("times") / F.col("rows")) + (F.col("__nth") <= F.col("times") % F.col("rows")).cast("long")
-    copies = found.where("rows = 1").select(*docs.columns, F.col("times").alias("__copies")).unionAll(
+    several = found.where("__rows > 1").withColumn("__nth", nth)
+    each = F.floor(F.col("__times") / F.col("__rows")) + (F.col("__nth") <= F.col("__times") % F.col("__rows")).cast("long")
+    copies = found.where("__rows = 1").select(*docs.columns, F.col("__times").alias("__copies")).unionAll(
         several.select(*docs.columns, each.alias("__copies")))
     return copies.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

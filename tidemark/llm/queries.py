@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import public_tokenizers
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
+from tidemark.llm.text import bounded_batches
 from tidemark.session import scratch_path
 
 QUERIES = {}
@@ -16,8 +18,13 @@ CHECKS: dict[str, str] = {}
 
 
 def _query(build):
-    QUERIES[build.__name__] = build
-    return build
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

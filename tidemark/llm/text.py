@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE = 1 << 19
 _PIECE = 1 << 16
@@ -23,6 +24,11 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _OTHER = 0xD1342543DE82EF95
 
 
+def bounded_batches(spark: SparkSession, size: int = 32 << 20) -> None:
+    """Let no more than about ``size`` bytes of rows travel to a Python worker at once, however long texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
     h = h ^ (h >> np.uint64(32))
