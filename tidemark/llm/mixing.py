@@ -23,6 +23,7 @@ from tidemark.session import settled
 
 _CELLS = 1024  # parts of a length's documents, by hash: only the part at the cut is ranked
 _RESERVE = 1 << 16  # words left to the knapsack
+_WHOLE = 1 << 18  # budgets up to this are fitted whole where the first fit falls short
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -66,19 +67,27 @@ def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         more = min(int(counts[i] - taken[i]), max(0, (left - _RESERVE // 2) // int(lengths[i])))
         taken[i] += more
         left -= more * int(lengths[i])
-    if left <= 0:
-        return taken
+    short = left - _knapsack(lengths, counts, taken, left)
+    if short and budget <= _WHOLE:  # a small budget is fitted whole, without what was filled in proportion
+        fresh = np.zeros_like(counts)
+        if budget - _knapsack(lengths, counts, fresh, budget) < short:
+            return fresh
+    return taken
+
+
+def _knapsack(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int) -> int:
+    """Add documents to ``taken``, up to ``counts``, for the largest sum of lengths up to the budget; returns that sum."""
     # which[r]: the length that first reached the sum r; its predecessor was reached by other lengths
-    which = np.full(left + 1, -1, np.int64)
-    used = np.zeros(left + 1, np.int64)
-    reached = np.zeros(left + 1, bool)
+    which = np.full(budget + 1, -1, np.int64)
+    used = np.zeros(budget + 1, np.int64)
+    reached = np.zeros(budget + 1, bool)
     reached[0] = True
-    for i in order:
+    for i in np.argsort(-lengths):
         step, room = int(lengths[i]), int(counts[i] - taken[i])
-        if step > left or not room:
+        if step > budget or not room:
             continue
         front = reached.copy()
-        for n in range(1, min(room, left // step) + 1):
+        for n in range(1, min(room, budget // step) + 1):
             moved = np.zeros_like(reached)
             moved[step:] = front[:-step]
             front = moved & ~reached
@@ -86,14 +95,14 @@ def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
                 break
             which[front], used[front] = i, n
             reached |= front
-        if reached[left]:
+        if reached[budget]:
             break
-    r = int(np.flatnonzero(reached)[-1])
+    r = best = int(np.flatnonzero(reached)[-1])
     while r:
         i, n = which[r], used[r]
         taken[i] += n
         r -= int(n * lengths[i])
-    return taken
+    return best
 
 
 def _fit(hist: pd.DataFrame) -> pd.DataFrame:
