@@ -153,8 +153,11 @@ def repeated_passages(keyed: DataFrame, window: int = 50) -> DataFrame:
     shared = occurrences.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h")
     found = settled(occurrences.join(shared, "h"))
     firsts = found.groupBy("h", "c").agg(F.min(F.struct("id", "tkey", "place")).alias("first"))
+    firsts = settled(firsts)
     several = firsts.groupBy("h").agg((F.count("*") > 1).alias("several"))
-    placed = settled(found.join(firsts, ["h", "c"]).join(several, "h"))
+    # an anchor that a third of all texts share is one hot key of plain joins, whose partitions Spark can split
+    firsts = settled(firsts.join(several, "h"))
+    placed = settled(found.join(firsts, ["h", "c"]))
     low, high = F.greatest(F.col("place") - reach, F.lit(0)), F.col("place") + window
     o = F.col("first.place")
     by_context = placed.where("first.id < id").select(
