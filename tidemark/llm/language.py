@@ -77,8 +77,12 @@ def fit(learnable: DataFrame, per_language: int = 400, landmarks: int = 256, rid
     def packed(texts: pa.Array) -> pa.Array:
         return _packed(texts)
 
+    # the hash thins each language to about twice the rows needed before any is moved; the smallest hashes of those stay
+    counts = learnable.groupBy("lang").agg(F.count("*").alias("rows"))
+    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
     drawn = F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))
-    sample = (learnable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    sample = (learnable.select("doc_id", "lang", "text", chance.alias("draw")).join(counts, "lang")
+              .where(F.col("draw") * F.col("rows") < 2 * per_language)
               .withColumn("n", drawn).where(F.col("n") <= per_language)
               .select("lang", "draw", packed("text").alias("x")).collect())  # 2 kB a row
     if not sample:
