@@ -21,7 +21,7 @@ TREES, SEED, FOLDS, MIN_ROWS = 500, 42, 5, 30
 MAX_DEPTH = 30  # as far as MLlib goes: trees grow until their leaves are pure
 # Trees grown to purity hold about as many nodes as there are rows, and the driver keeps 500 of them. So the labelled rows
 # of a fit are bounded; every row is scored.
-MAX_FIT_ROWS = 2_000
+MAX_FIT_ROWS = 1_000
 
 
 def sign_label(df: DataFrame, car: str) -> DataFrame:

@@ -475,13 +475,13 @@ def _(spark, folder):
 
 
 @query("S10_other_rules", "kind:s rule:s n:l", statement(
-    """SELECT 'price' AS kind, 'price_positive' AS rule, count(*) AS n FROM feed WHERE NOT coalesce(adj_close > 0, false) UNION ALL
+    """SELECT * FROM (SELECT 'price' AS kind, 'price_positive' AS rule, count(*) AS n FROM feed WHERE NOT coalesce(adj_close > 0, false) UNION ALL
        SELECT 'price', 'price_company_known', count(*) FROM feed f
        WHERE NOT EXISTS (SELECT 1 FROM companies c WHERE c.company_id = f.company_id AND ticker_symbol IS NOT NULL) UNION ALL
        SELECT 'window', 'window_order', count(*) FROM lineitem WHERE l_linenumber - 4 >= CAST(l_quantity AS INT) % 5 - 2 UNION ALL
        SELECT 'match', 'match_complete', count(*) FROM supplier WHERE (s_suppkey % 5 = 0) <> (s_suppkey % 7 = 0) UNION ALL
        SELECT 'match', 'match_method_known', count(*) FROM supplier WHERE s_suppkey % 5 = 1 UNION ALL
-       SELECT 'match', 'name_unique', count(*) - count(DISTINCT s_nationkey) FROM supplier""", FEED))
+       SELECT 'match', 'name_unique', count(*) - count(DISTINCT s_nationkey) FROM supplier) WHERE n > 0""", FEED))
 def _(spark, folder):
     """The rules of prices, windows and matches, each over rows that break some of them."""
     def broken(kind: str, flagged: DataFrame) -> DataFrame:
