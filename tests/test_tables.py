@@ -308,11 +308,12 @@ def test_chain_and_claims(spark):
 def test_scratch_is_released(spark):
     import os
 
-    from tidemark.session import release_scratch, scratch_path, settled, shared_folder
+    from tidemark.session import release_paths, scratch_mark, scratch_path, scratch_since, settled
 
-    release_scratch(spark)
+    mark = scratch_mark()
     frame = settled(spark.range(5))
-    folder = f"{shared_folder(spark)}/tidemark".removeprefix("file:")
-    assert frame.count() == 5 and len(os.listdir(folder)) == 1
     scratch_path(spark, "never-written")
-    assert release_scratch(spark) == 2 and not os.listdir(folder)
+    made = scratch_since(mark)
+    assert frame.count() == 5 and len(made) == 2 and os.path.isdir(made[0].removeprefix("file:"))
+    release_paths(spark, made)
+    assert made == [] and scratch_mark() == mark
