@@ -7,9 +7,9 @@ has the same size (2**20 numbers) for any corpus. Improved consistent weighted s
 of each text; texts with a band in common are candidates and are verified on all their elements: linked if their weighted
 Jaccard similarity is at least ``threshold``.
 
-Equal texts are one node. In a band's bucket every text is first compared with the bucket's smallest; only texts that are
-not in one component after that are compared with each other, so a bucket of copies costs one comparison a text and no
-link between components is left out. The draws depend on a seed only.
+Equal texts are one node. In a band's bucket every text is first compared with the bucket's smallest, then, where it is in
+another component, with the likeliest of some drawn ones; only texts that are not in one component after that are compared with each other, by their samples first and in blocks, so a bucket of copies
+costs one comparison a text. The draws depend on a seed only.
 
 Nulls: null texts, and those without a word, are compared with none and are a class of their own each. A null id takes
 part, and its class is the smallest id that is there. Ties, repeated rows: equal texts share a class. An empty table
@@ -18,6 +18,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import WORD, Texts, mixed, owned, run_hashes, run_starts, slices, stretch_hashes, word_hashes
+from tidemark.llm.text import WORD, Texts, mixed, run_hashes, run_starts, slices, sorted_groups, stretch_hashes, word_hashes
 from tidemark.session import settled
 
 SHINGLE = 5
 FEATURES = 1 << 20
 _BLOCK = 1 << 14
 _TABLE = 1 << 16  # prepared draws
+_TURNS = 5  # drawn leads that texts in other components meet before the rest of a bucket is compared
+_TOGETHER = 2048  # texts of a bucket that are compared at once
 _MASK = np.uint64(FEATURES - 1)
+_BITS = 16  # of a weight as a whole number
+_UNIT = 1 << (_BITS - 1)
 
 
 def elements(t: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -98,16 +103,21 @@ def element_weights(docs: DataFrame) -> np.ndarray:
     return (1 + np.log((1 + n) / (1 + np.minimum(df, n))) / np.log(1 + n)).astype(np.float32)
 
 
+def _whole(weights: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(weights.astype(np.float64) * _UNIT), 2**_BITS - 1).astype(np.uint64)
+
+
 class Sampler:
     """Improved consistent weighted sampling with prepared gamma and uniform draws."""
 
     def __init__(self, weights: np.ndarray, bands: int, rows: int, seed: int):
-        self.bands, self.rows, self.log_weight = bands, rows, np.log(weights)
+        self.bands, self.rows = bands, rows
+        self.whole, self.log_weight = _whole(weights), np.log(_whole(weights) / _UNIT).astype(np.float32)
         rng = np.random.default_rng(seed)
         r = rng.gamma(2, 1, _TABLE)
         beta, c = rng.random(_TABLE), rng.gamma(2, 1, _TABLE)
         self.r, self.inverse, self.beta = (x.astype(np.float32) for x in (r, 1 / r, beta))
-        self.rest = (np.log(c) - r + r * beta).astype(np.float32)
+        self.rest = (np.log(c) - r + r * beta + 64).astype(np.float32)  # moved above zero, where floats sort as integers
         self.turns = rng.integers(1 << 62, size=bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def samples(self, e: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -116,64 +126,124 @@ class Sampler:
         name = e >> np.uint64(32)
         out = np.empty((len(starts), len(self.turns)), np.uint32)
         for j, turn in enumerate(self.turns):
-            k = ((e * turn) >> np.uint64(48)).astype(np.uint16)
-            r = self.r.take(k)
-            level = np.floor(lw * self.inverse.take(k) + self.beta.take(k))
-            value = np.maximum(self.rest.take(k) - r * level + np.float32(64), np.float32(0))
+            k = ((e * turn) >> np.uint64(48)).astype(np.intp)
+            draw = lambda table: table.take(k, mode="clip")  # noqa: E731, B023
+            level = draw(self.inverse)
+            level *= lw
+            level += draw(self.beta)
+            np.floor(level, out=level)
+            level *= draw(self.r)
+            value = draw(self.rest)
+            value -= level
+            np.maximum(value, 0, out=value)
             key = (value.view(np.uint32).astype(np.uint64) << np.uint64(32)) | name
             out[:, j] = np.minimum.reduceat(key, starts).astype(np.uint32)
         return out
 
-    def band_keys(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """The texts with elements, and their band keys."""
+    def band_keys(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts with elements, their band keys and their samples."""
         e, bounds = elements(t)
         some = np.flatnonzero(np.diff(bounds))
         if not len(some):
-            return some, np.zeros((0, self.bands), np.int64)
-        s = self.samples(e, bounds[some]).astype(np.uint64).reshape(len(some), self.bands, self.rows)
+            return some, np.zeros((0, self.bands), np.int64), np.zeros((0, self.bands * self.rows), np.uint32)
+        samples = self.samples(e, bounds[some])
+        s = samples.astype(np.uint64).reshape(len(some), self.bands, self.rows)
         key = np.broadcast_to(np.arange(1, self.bands + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25), s.shape[:2])
         for j in range(self.rows):
             key = mixed(key + s[:, :, j] * np.uint64(0x8CB92BA72F3D8DD7))
-        return some, key.view(np.int64)
+        return some, key.view(np.int64), samples
 
 
 def _signed(texts: pa.Array, sampler: Sampler) -> pa.Array:
-    out: list[np.ndarray | None] = [None] * len(texts)
+    bands: list[np.ndarray | None] = [None] * len(texts)
+    samples: list[bytes | None] = [None] * len(texts)
     for t in slices(texts):
-        some, keys = sampler.band_keys(t)
-        for i, k in zip(some, keys):
-            out[t.first + i] = k
-    return pa.array(out, pa.list_(pa.int64()))
-
-
-def _vectors(texts: pa.Array) -> pa.Array:
+        for i, k, s in zip(*sampler.band_keys(t)):
+            bands[t.first + i], samples[t.first + i] = k, s.tobytes()
+    return pa.StructArray.from_arrays([pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.binary())], ["bands", "samples"])
+
+
+def _least_agreeing(n: int, threshold: float) -> int:
+    return math.ceil(n * (threshold - 2.5 * math.sqrt(threshold * (1 - threshold) / n)))
+
+
+def _other_leads(labelled: DataFrame, samples: DataFrame, turn: int, least: int) -> DataFrame:
+    """For each text of a bucket with several components, the drawn texts of its buckets that are in another component
+    than itself: of these, the one whose samples agree most. One pair a text and turn at most."""
+
+    @F.arrow_udf("int")
+    def agree(first: pa.Array, second: pa.Array) -> pa.Array:
+        read = lambda x: np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(len(x), -1)
+        return pa.array((read(first) == read(second)).sum(1).astype(np.int32)) if len(first) else pa.array([], pa.int32())
+
+    leads = labelled.groupBy("bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"),
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "component")).alias("lead")).where("x < y")
+    pairs = labelled.join(leads.select("bucket", "lead"), "bucket").where("component <> lead.component").select(
+        F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+    met = (pairs.join(samples.withColumnsRenamed({"node": "a", "samples": "sa"}), "a")
+           .join(samples.withColumnsRenamed({"node": "b", "samples": "sb"}), "b").select("a", "b", agree("sa", "sb").alias("agree")))
+    return met.where(F.col("agree") >= least).groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+
+
+def _across(labelled: DataFrame, samples: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
+    """Pairs of texts in one bucket but not in one component whose samples agree as often as those of linked texts do.
+
+    Buckets are compared in blocks; a pair leaves the first bucket that it shares, and only if it may be a link: at least
+    ``threshold`` less 2.5 standard deviations of its samples agree.
+    """
+    n = bands * rows
+    least = _least_agreeing(n, threshold)
+    sizes = labelled.groupBy("bucket").agg(F.ceil(F.count("*") / _TOGETHER).cast("int").alias("blocks"))
+    placed = labelled.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", "band", "node", F.xxhash64("component").alias("component"), F.least("block", "with").alias("x"),
+        F.greatest("block", "with").alias("y"), (F.col("block") <= F.col("with")).alias("in_x"), (F.col("block") >= F.col("with")).alias("in_y"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_groups(batches, ["bucket", "x", "y"]):
+            s = np.frombuffer(b"".join(g["samples"].to_pylist()), np.uint32).reshape(-1, n)
+            left, right = (np.flatnonzero(g[c].to_numpy()) for c in ("in_x", "in_y"))
+            component, node, band = g["component"].to_numpy(), g["node"].to_pylist(), g["band"][0].as_py()
+            agree = np.zeros((len(left), len(right)), np.uint8 if n < 256 else np.uint16)
+            for j in range(n):
+                agree += s[left, j][:, None] == s[right, j][None, :]
+            agree[component[left][:, None] == component[right][None, :]] = 0
+            i, k = np.nonzero(agree >= least)
+            i, k = left[i], right[k]
+            if g["x"][0].as_py() == g["y"][0].as_py():
+                i, k = i[i < k], k[i < k]
+            same = (s[i] == s[k]).reshape(len(i), bands, rows).all(2)
+            new = same.argmax(1) == band
+            pairs = [sorted((node[u], node[v])) for u, v in zip(i[new], k[new])]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
+
+    keys = ["bucket", "x", "y"]
+    columns = [*keys, "band", "node", "component", "in_x", "in_y", "samples"]
+    return (met.join(samples, "node").select(*columns).repartition(*keys).sortWithinPartitions(*keys, "node")
+            .mapInArrow(compare, "a binary, b binary").distinct())
+
+
+def _vectors(texts: pa.Array, sampler: Sampler) -> pa.Array:
+    """The elements of each text as whole numbers that end with their weight."""
     out = []
     for t in slices(texts):
         e, bounds = elements(t)
-        out += [e[bounds[k]:bounds[k + 1]].tobytes() for k in range(t.n)]
-    return pa.array(out, pa.binary())
-
-
-def similarity(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two sorted arrays of elements."""
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    weight = lambda x: float(weights[(x & _MASK).astype(np.int64)].sum(dtype=np.float64))
-    both = weight(a[b[at] == a])
-    whole = weight(a) + weight(b) - both
-    return both / whole if whole else 0.0
-
-
-def _verified(pairs: DataFrame, vectors: DataFrame, weights, threshold: float) -> DataFrame:
-    """The pairs of texts that are similar."""
+        feature = (e & _MASK).astype(np.int64)
+        e = ((e >> np.uint64(20)) << np.uint64(_BITS)) | sampler.whole[feature]
+        out += [e[bounds[k]:bounds[k + 1]].view(np.int64) for k in range(t.n)]
+    return pa.array(out, pa.list_(pa.int64()))
 
-    @F.arrow_udf("double")
-    def of(first: pa.Array, second: pa.Array) -> pa.Array:
-        read = lambda x: np.frombuffer(x.as_buffer(), np.uint64)
-        return pa.array([similarity(read(a), read(b), weights.value) for a, b in zip(first, second)], pa.float64())
 
-    return (pairs.join(vectors.withColumnsRenamed({"node": "a", "vector": "va"}), "a")
-            .join(vectors.withColumnsRenamed({"node": "b", "vector": "vb"}), "b")
-            .select("a", "b", of("va", "vb").alias("similarity")).where(F.col("similarity") >= threshold))
+def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of texts whose weighted Jaccard similarity is at least the threshold."""
+    weight = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda s, e: s + e.bitwiseAND(F.lit(2**_BITS - 1)))
+    weighed = vectors.select("node", "vector", weight("vector").alias("weight"))
+    met = (pairs.join(weighed.withColumnsRenamed({"node": "a", "vector": "va", "weight": "wa"}), "a")
+           .join(weighed.withColumnsRenamed({"node": "b", "vector": "vb", "weight": "wb"}), "b"))
+    alike = met.where(F.least("wa", "wb") >= threshold * F.greatest("wa", "wb")).select(
+        "a", "b", weight(F.array_intersect("va", "vb")).alias("both"), (F.col("wa") + F.col("wb")).alias("sum"))
+    return alike.where(F.col("both") >= threshold * (F.col("sum") - F.col("both")))
 
 
 def text_key(text: str = "text"):
@@ -181,39 +251,47 @@ def text_key(text: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 20, rows: int = 5, seed: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 5, seed: int = 5) -> DataFrame:
     """``doc_id, node, component, class_id`` of every document: the smallest id of the texts it is linked to, directly or through others."""
     spark: SparkSession = docs.sparkSession
     table = docs.select("doc_id", "text")
-    weights = element_weights(table)
-    sampler, shared = spark.sparkContext.broadcast(Sampler(weights, bands, rows, seed)), spark.sparkContext.broadcast(weights)
+    sampler = spark.sparkContext.broadcast(Sampler(element_weights(table), bands, rows, seed))
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("struct<bands: array<long>, samples: binary>")
     def band_keys(texts: pa.Array) -> pa.Array:
         return _signed(texts, sampler.value)
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("array<long>")
     def vector(texts: pa.Array) -> pa.Array:
-        return _vectors(texts)
+        return _vectors(texts, sampler.value)
 
-    signed = settled(table.select("doc_id", text_key().alias("node"), band_keys("text").alias("bands")))
-    texts = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"))
-    members = texts.select("node", F.explode("bands").alias("bucket"))
+    signed = settled(table.select("doc_id", text_key().alias("node"), band_keys("text").alias("s")).select("doc_id", "node", "s.*"))
+    # equal texts have equal bands: members and samples are told apart by the node alone
+    members = signed.where("bands is not null").select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
     buckets = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
     members = settled(members.join(buckets.select("bucket", "lead"), "bucket"))
+    samples = signed.where("samples is not null").select("node", "samples").distinct()
     chosen = members.select("node").distinct()
     vectors = settled(table.select(text_key().alias("node"), "text").join(chosen, "node").select("node", vector("text").alias("vector"))
-                      .groupBy("node").agg(F.min("vector").alias("vector")))
+                      .groupBy("node").agg(F.first("vector").alias("vector")))
     first = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = settled(_verified(first, vectors, shared, threshold).select("a", "b"))
+    links = settled(_verified(first, vectors, threshold).select("a", "b"))
     found = components(links)
-    labelled = settled(members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
+    labelled = None
+    for turn in range(_TURNS):
+        labelled = settled(members.join(found, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
+        more = settled(_verified(_other_leads(labelled, samples, turn, _least_agreeing(bands * rows, threshold)), vectors, threshold).select("a", "b"))
+        if more.isEmpty():
+            break
+        links = settled(links.unionAll(more))
+        found = components(links)
+        labelled = None
+    if labelled is None:
+        labelled = settled(members.join(found, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    labelled = labelled.join(mixed_buckets, "bucket")
-    left, right = (labelled.select("bucket", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-    across = left.join(right, "bucket").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    across = _across(labelled.join(mixed_buckets, "bucket"), samples, bands, rows, threshold)
     across = across.join(first, ["a", "b"], "left_anti")
-    more = settled(_verified(across, vectors, shared, threshold).select("a", "b"))
+    more = settled(_verified(across, vectors, threshold).select("a", "b"))
     whole = components(links.unionAll(more))
     nodes = signed.join(whole, "node", "left").select(
         "doc_id", "node", F.when(F.col("bands").isNotNull(), F.coalesce("component", "node")).alias("component"))

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark.llm.graph import components
+from tidemark.llm.text import sorted_groups
 from tidemark.session import settled
 
 _BESIDE = 16  # rows on either side that a node meets in a table
@@ -41,33 +42,6 @@ def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x @ y.T) / np.outer(lengths(x), lengths(y))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The runs of equal keys in rows that are sorted by them; a run may span batches."""
-    held: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        cols = [table[k].to_numpy() for k in keys]
-        change = np.zeros(len(cols[0]), bool)
-        for c in cols:
-            change[1:] |= c[1:] != c[:-1]
-        now = tuple(c[0] for c in cols)
-        if held and now != last:
-            yield pa.concat_tables(held).combine_chunks()
-            held = []
-        cuts = [0, *np.flatnonzero(change), table.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a:
-                yield pa.concat_tables(held).combine_chunks()
-                held = []
-            held.append(table.slice(a, b - a))
-        last = tuple(c[-1] for c in cols)
-    if held:
-        yield pa.concat_tables(held).combine_chunks()
-
-
 def distinct_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``node, label, dim, v, copies, least`` of the vectors that can link, and all rows with their node or null."""
     good = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
@@ -156,7 +130,7 @@ def descend(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
     links = -1
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["v0", "part"]):
+        for group in sorted_groups(batches, ["v0", "part"]):
             if group.num_rows < 2:
                 continue
             x = _matrix(group["v"].combine_chunks(), group["dim"][0].as_py())
@@ -199,7 +173,7 @@ def count_links(nodes: DataFrame, member: DataFrame, threshold: float) -> DataFr
     met = met.join(nodes.select("node", "dim", "v", "copies"), "node")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, ["component", "x", "y"]):
+        for g in sorted_groups(batches, ["component", "x", "y"]):
             vectors = _matrix(g["v"].combine_chunks(), g["dim"][0].as_py())
             in_x, in_y = (np.flatnonzero(g[c].to_numpy()) for c in ("in_x", "in_y"))
             copies, names = g["copies"].to_numpy(), g["node"].to_numpy()

@@ -180,3 +180,30 @@ def sliding(pick, x: np.ndarray, width: int) -> np.ndarray:
         x = pick(x[:-step], x[step:]) if len(x) > step else x[:0]
         done += step
     return x
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The runs of equal keys in rows that are sorted by them; a run may span batches."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        cols = [table[k].to_numpy() for k in keys]
+        change = np.zeros(len(cols[0]), bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        now = tuple(c[0] for c in cols)
+        if held and now != last:
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
+        cuts = [0, *np.flatnonzero(change), table.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a:
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+            held.append(table.slice(a, b - a))
+        last = tuple(c[-1] for c in cols)
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
