@@ -183,6 +183,56 @@ def test_judged_rows(docs, no_docs, small_docs):
     assert perplexity.judge(no_docs).count() == 0
 
 
+def test_word_probabilities_match_their_definition(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdef", [9, 7, 4, 2, 1, 1], k=rng.randint(1, 30))) for _ in range(40)] + ["漢字 漢Ab"] * 2
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    keyed = perplexity._keyed(docs).join(docs.select("text", "doc_id"), "text").select("key", "fold", "text").distinct().collect()
+    rates = {r.key: r.rate for r in perplexity.log_probabilities(docs).collect()}
+    split = lambda t: ["漢", "字", "漢", "ab"] if "漢" in t else t.split()
+    fold, grams = {r.text: r.fold for r in keyed}, lambda t: list(zip(["<"] * 2 + split(t), ["<"] + split(t), split(t)))
+    vocabulary = len({w for t in texts for w in split(t)})
+    for f in range(perplexity.FOLDS):
+        tables = [Counter(g for t in texts if fold[t] != f for g in grams(t))]
+        for _ in range(2):
+            tables.insert(0, Counter(g[1:] for g in tables[0]))
+
+        def p(g):
+            if not g:
+                return 1 / (vocabulary + 1)
+            table = tables[len(g) - 1]
+            d = perplexity._discounts(np.array(list(table.values())))
+            own = {w: n for w, n in table.items() if w[:-1] == g[:-1]}
+            if not own:
+                return p(g[1:])
+            cut = lambda n: d[min(n, 3) - 1]
+            return ((own[g] - cut(own[g]) if g in own else 0) + sum(map(cut, own.values())) * p(g[1:])) / sum(own.values())
+
+        for r in keyed:
+            if r.fold == f:
+                assert math.isclose(rates[r.key], np.mean([math.log(p(g)) for g in grams(r.text)]), rel_tol=1e-9), r.text
+
+
+def test_shuffled_words_and_foreign_gibberish_are_rejected(spark):
+    rng = random.Random(9)
+    cast, rows = [f"{a}{b}a" for a in "bcdfghklmn" for b in "aeiou"], []
+    wide = [chr(0x4E00 + k) for k in range(200)]
+
+    def walk(pool, n):  # every word has three that may follow
+        at, out = rng.randrange(len(pool)), []
+        for _ in range(n):
+            out.append(pool[at])
+            at = (7 * at + rng.randrange(3) + 1) % len(pool)
+        return out
+
+    rows += [(i, " ".join(walk(cast, 200)), "en") for i in range(150)] + [(1000 + i, "".join(walk(wide, 200)) + " x" * 25, "zh") for i in range(150)]
+    rows += [(500 + i, " ".join(rng.sample(w := walk(cast, 200), len(w))), "en") for i in range(4)]
+    rows += [(1500 + i, "".join(rng.sample(w := walk(wide, 200), len(w))) + " x" * 25, "zh") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    bad = {r.doc_id for r in perplexity.judge(docs, most_repeated=100).collect() if not r.kept}
+    assert {i for i, *_ in rows if i % 1000 >= 500} <= bad and len(bad) <= 8 + 15
+
+
 def targets(sizes, weights, most):
     """By resharing what capped sources leave over until none is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
