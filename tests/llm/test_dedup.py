@@ -167,3 +167,28 @@ def test_links_match_all_pairs(spark):
     want = Counter((r[0], links[k], least[group[k]], r[0] == least[group[k]]) for k, r in enumerate(rows))
     assert got == want
     assert neighbours.link_vectors(frame.where("vec_id < 0")).count() == 0
+
+
+def test_dense_groups_beside_each_other_are_one_component(spark):
+    rng = np.random.default_rng(3)
+    left, right = np.zeros(32), np.zeros(32)
+    left[0], right[:2] = 1, (0.987, math.sqrt(1 - 0.987**2))
+    rows = [(i, [float(x) for x in (left if i < 80 else right) + 0.002 * rng.standard_normal(32)], 0) for i in range(160)]
+    rows += [(i, [float(x) for x in rng.standard_normal(32)], 0) for i in range(200, 1200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    x = np.array([v for _, v, _ in rows])
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    want = (x @ x.T >= 0.98).sum(1) - 1
+    got = {r.vec_id: r for r in neighbours.link_vectors(frame).collect()}
+    assert want[:160].min() >= 100
+    assert [got[i].n_links for i, *_ in rows] == want.tolist()
+    assert {got[i].component_id for i in range(160)} == {0}
+
+
+def test_links_that_stay_too_few_are_an_error(spark, monkeypatch):
+    rows = [(i, [1.0, 0.001 * i], 0) for i in range(40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(neighbours, "_ATTEMPTS", 1, raising=False)
+    monkeypatch.setattr(neighbours, "audit", lambda *a: 0.5)
+    with pytest.raises(RuntimeError, match="0.5000"):
+        neighbours.link_vectors(frame)

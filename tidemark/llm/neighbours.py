@@ -7,8 +7,11 @@ neighbours of a common node are compared, better ones enter the lists, and a lis
 Edges that cannot lead to a link over a common neighbour (below ``2 threshold^2 - 1``) are not followed.
 
 A list is enlarged up to ``widest``; nodes with more links than that are counted exactly, as are all others: inside each
-component the vectors are compared in blocks, and only counts leave a block. An audit compares drawn vectors with all of
-their label by brute force; while too few links were found, more tables are added.
+component the vectors are compared in blocks, and only counts leave a block. Components do not hang on the lists: every
+link that was ever found counts, also those that no list holds, and components are then compared in blocks, to the last
+pair, where nodes of both lie in one crowded bucket of a sign table or a known edge below the threshold joins them; one
+link of a pair of components leaves a block. An audit compares drawn vectors with all of their label by brute force; while
+too few links were found or the descent was still adding some, more tables are added, and after ``_ATTEMPTS`` it is an error.
 
 Nulls: rows with a null id, label or vector, and vectors that are zero or hold a null or a non-finite component, link
 with nothing and are a component of their own. Vectors of different length don't link. Repeated rows link with each other.
@@ -31,6 +34,7 @@ from tidemark.session import settled
 _BESIDE = 16  # rows on either side that a node meets in a table
 _PART = 64  # members of a neighbourhood that are compared at once
 _BLOCK = 512  # nodes of a component that are compared at once
+_ATTEMPTS = 6
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -62,8 +66,8 @@ def distinct_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return settled(nodes.select("node", "label", F.size("embedding").alias("dim"), raw("embedding").alias("v"), "copies", "least")), rows.select("vec_id", "node")
 
 
-def table_pairs(nodes: DataFrame, tables: int, bits: int, floor: float, seed: int) -> DataFrame:
-    """``node, other, sim`` of nodes that lie side by side in sign tables and are at least ``floor`` alike."""
+def _signed(nodes: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
+    """The place of each node in each sign table."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,6 +84,13 @@ def table_pairs(nodes: DataFrame, tables: int, bits: int, floor: float, seed: in
                          pa.array(along), rows.column("node"), rows.column("v")],
                         names=["t", "label", "dim", "signs", "along", "node", "v"])
 
+    return nodes.select("node", "label", "dim", "v").mapInArrow(
+        sign, "t int, label int, dim int, signs long, along double, node long, v binary")
+
+
+def table_pairs(nodes: DataFrame, tables: int, bits: int, floor: float, seed: int) -> DataFrame:
+    """``node, other, sim`` of nodes that lie side by side in sign tables and are at least ``floor`` alike."""
+
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail: pa.Table | None = None
         for batch in batches:
@@ -103,9 +114,7 @@ def table_pairs(nodes: DataFrame, tables: int, bits: int, floor: float, seed: in
                                                          names=["node", "other", "sim"])
 
     order = ["t", "label", "dim", "signs", "along"]
-    signed = nodes.select("node", "label", "dim", "v").mapInArrow(
-        sign, "t int, label int, dim int, signs long, along double, node long, v binary")
-    pairs = signed.repartitionByRange(*order).sortWithinPartitions(*order, "node").mapInArrow(beside, "node long, other long, sim double")
+    pairs = _signed(nodes, tables, bits, seed).repartitionByRange(*order).sortWithinPartitions(*order, "node").mapInArrow(beside, "node long, other long, sim double")
     return pairs.groupBy("node", "other").agg(F.max("sim").alias("sim"))
 
 
@@ -121,10 +130,14 @@ def _best(candidates: DataFrame, widths: DataFrame, k: int) -> DataFrame:
             .where(F.col("place") <= F.coalesce("width", F.lit(k))).select("node", "other", "sim"))
 
 
-def descend(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float, k: int, widest: int, rounds: int) -> DataFrame:
-    """Refine ``node, other, sim`` until a round adds no link and no list that is full of links can grow."""
+def descend(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float, k: int, widest: int, rounds: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Refine ``node, other, sim`` until a round adds no link and no list that is full of links can grow. Returns the graph,
+    ``a, b`` of all links that were ever found, and whether that end was reached within the rounds."""
     spark = nodes.sparkSession
     widths = spark.createDataFrame([], "node long, width int")
+    graph, ended = settled(graph), False
+    linked = lambda pairs: pairs.where(F.col("sim") >= threshold).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    ever = linked(graph)
     graph = settled(_best(_both_ways(graph), widths, k))
     vectors = nodes.select(F.col("node").alias("member"), "dim", "v")
     links = -1
@@ -148,6 +161,7 @@ def descend(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
         full = (F.col("n") >= F.col("width")) & (F.col("worst") >= threshold) & (F.col("width") < widest)
         now, growing = state.agg(F.sum("links"), F.sum(full.cast("int"))).first()
         if now is None or (now == links and not growing):
+            ended = True
             break
         links = now
         widths = settled(state.select("node", F.when(full, F.least(2 * F.col("width"), F.lit(widest))).otherwise(F.col("width")).cast("int").alias("width")))
@@ -157,10 +171,49 @@ def descend(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
         sizes = around.groupBy("v0").agg(F.ceil(F.count("*") / _PART).alias("parts"))
         around = (around.join(sizes, "v0").withColumn("part", F.pmod(F.xxhash64("member", F.lit(turn)), F.col("parts")).cast("int"))
                   .join(bounds, "member").join(vectors, "member"))
-        found = (around.select("v0", "part", "member", "dim", "v", "bound").repartition("v0", "part").sortWithinPartitions("v0", "part", "member")
+        found = settled(around.select("v0", "part", "member", "dim", "v", "bound").repartition("v0", "part").sortWithinPartitions("v0", "part", "member")
                  .mapInArrow(compare, "node long, other long, sim double").groupBy("node", "other").agg(F.max("sim").alias("sim")))
+        ever = ever.unionByName(linked(found))
         graph = settled(_best(graph.unionByName(_both_ways(found)), widths, k))
-    return graph
+    return graph, ever.distinct(), ended
+
+
+def links_across(nodes: DataFrame, member: DataFrame, edges: DataFrame, tables: int, bits: int, threshold: float, seed: int) -> DataFrame:
+    """``a, b``: a link of each two components that have one between nodes of one crowded bucket (other buckets are met as
+    they are), or at all if one of ``edges`` (``node, other``) is between them."""
+    own = settled(nodes.select("node").join(member, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    crowded = (_signed(nodes, tables, bits, seed).select(F.xxhash64("t", "label", "dim", "signs").alias("cell"), "node").join(own, "node"))
+    several = crowded.groupBy("cell").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where(
+        (F.col("x") < F.col("y")) & (F.col("n") > _BESIDE + 1))
+    cells = crowded.join(several.select("cell"), "cell").select("cell", "node", "component")
+    of = lambda c, to: own.select(F.col("node").alias(c), F.col("component").alias(to))
+    joined = edges.join(of("node", "cx"), "node").join(of("other", "cy"), "other").where("cx <> cy").select(
+        F.least("cx", "cy").alias("x"), F.greatest("cx", "cy").alias("y")).distinct()
+    # two single nodes were compared when their edge was found
+    sizes = own.groupBy("component").agg(F.count("*").alias("n"))
+    size = lambda c, to: sizes.select(F.col("component").alias(c), F.col("n").alias(to))
+    joined = joined.join(size("x", "nx"), "x").join(size("y", "ny"), "y").where("nx + ny > 2").select(
+        F.xxhash64("x", "y").alias("cell"), F.explode(F.array("x", "y")).alias("component"))
+    cells = settled(cells.unionByName(joined.join(own, "component").select("cell", "node", "component")))
+    blocks = cells.groupBy("cell").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    placed = cells.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cell", "node", "component", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"))
+    met = met.join(nodes.select("node", "label", "dim", "v"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_groups(batches, ["cell", "x", "y", "label", "dim"]):
+            vectors = _matrix(g["v"].combine_chunks(), g["dim"][0].as_py())
+            component, names = g["component"].to_numpy(), g["node"].to_numpy()
+            i, j = np.nonzero(np.triu((_cosines(vectors, vectors) >= threshold) & (component[:, None] != component[None, :]), 1))
+            if len(i):
+                two = np.sort(np.stack([component[i], component[j]], 1), 1)
+                first = np.unique(two, axis=0, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(names[i[first]]), pa.array(names[j[first]])], names=["a", "b"])
+
+    keys = ["cell", "x", "y"]
+    return (met.select(*keys, "label", "dim", "node", "component", "v").repartition(*keys).sortWithinPartitions(*keys, "label", "dim", "node")
+            .mapInArrow(compare, "a long, b long").distinct())
 
 
 def count_links(nodes: DataFrame, member: DataFrame, threshold: float) -> DataFrame:
@@ -226,14 +279,24 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, k: int = 10, wides
     bits = min(40, max(1, math.ceil(math.log2(largest / _BESIDE))))
     together = (1 - math.acos(threshold) / math.pi) ** bits  # chance that the least alike link falls into one bucket
     tables = min(64, max(6, math.ceil(math.log(1 - recall) / math.log(1 - together))))
-    pairs = table_pairs(nodes, tables, bits, floor, seed)
-    for attempt in range(1, 4):
-        graph = descend(nodes, pairs, threshold, floor, k, widest, rounds)
-        member = settled(components(graph.where(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("other").alias("b"))))
+    pairs = settled(table_pairs(nodes, tables, bits, floor, seed))
+    ever = None
+    for attempt in range(1, _ATTEMPTS + 1):
+        graph, found, ended = descend(nodes, pairs, threshold, floor, k, widest, rounds)
+        ever = settled(found if ever is None else ever.unionByName(found).distinct())
+        member = settled(components(ever))
+        edges = pairs.select("node", "other").unionByName(graph.select("node", "other"))
+        more = settled(links_across(nodes, member, edges, tables, bits, threshold, seed + attempt - 1))
+        if not more.isEmpty():
+            ever = settled(ever.unionByName(more).distinct())
+            member = settled(components(ever))
         counted = settled(count_links(nodes, member, threshold))
-        if audit(nodes, counted, threshold, queries, seed) >= recall:
+        found = audit(nodes, counted, threshold, queries, seed)
+        if ended and found >= recall:
             break
-        pairs = graph.unionByName(table_pairs(nodes, tables, bits, floor, seed + attempt))
+        pairs = settled(graph.unionByName(table_pairs(nodes, tables, bits, floor, seed + attempt)))
+    else:
+        raise RuntimeError(f"{found:.4f} of the links found after {_ATTEMPTS} attempts, wanted {recall}, descent ended: {ended}")
     member = nodes.select("node", "copies", "least").join(member, "node", "left").join(counted, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"), "least",
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
