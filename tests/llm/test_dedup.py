@@ -1,6 +1,7 @@
 """Near-duplicates, repeated passages and embeddings against brute force."""
 
 import hashlib
+import inspect
 import math
 import re
 from collections import Counter
@@ -92,6 +93,19 @@ def test_samples_agree_as_often_as_sets_are_alike():
     assert abs((s[0] == s[1]).mean() - alike) < 4 * math.sqrt(alike * (1 - alike) / s.shape[1])
 
 
+def test_pairs_of_a_bucket_link_whatever_their_samples(spark):
+    weigh = lambda ids: np.sort(np.array(ids, np.int64) << minhash._BITS | minhash._UNIT)
+    # in one bucket, all in components of their own: a and b are 0.8 alike, c is less alike to both
+    sets = {b"a": range(1, 91), b"b": range(11, 101), b"c": range(31, 121)}
+    rows = [(1, 0, k, k) for k in sets]
+    labelled = spark.createDataFrame(rows, "bucket long, band int, node binary, component binary")
+    vectors = spark.createDataFrame([(k, weigh(v).tolist()) for k, v in sets.items()], "node binary, vector array<long>")
+    for threshold, want in ((0.8, {(b"a", b"b")}), (0.81, set())):
+        got = minhash._across(labelled, vectors, threshold).collect()
+        assert {(bytes(r.a), bytes(r.b)) for r in got} == want
+    assert inspect.signature(minhash.near_duplicates).parameters["bands"].default == 20
+
+
 def brute_removal(rows, window):
     first = {}
     key = lambda r: math.inf if r[0] is None else r[0]

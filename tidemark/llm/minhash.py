@@ -8,8 +8,9 @@ of each text; texts with a band in common are candidates and are verified on all
 Jaccard similarity is at least ``threshold``.
 
 Equal texts are one node. In a band's bucket every text is first compared with the bucket's smallest, then, where it is in
-another component, with the likeliest of some drawn ones; only texts that are not in one component after that are compared with each other, by their samples first and in blocks, so a bucket of copies
-costs one comparison a text. The draws depend on a seed only.
+another component, with the likeliest of some drawn ones; all texts that are not in one
+component after that are compared with each other on all elements, in blocks, so a bucket of copies costs one comparison a
+text and no pair of a bucket is left out for its samples. The draws depend on a seed only.
 
 Nulls: null texts, and those without a word, are compared with none and are a class of their own each. A null id takes
 part, and its class is the smallest id that is there. Ties, repeated rows: equal texts share a class. An empty table
@@ -186,42 +187,51 @@ def _other_leads(labelled: DataFrame, samples: DataFrame, turn: int, least: int)
     return met.where(F.col("agree") >= least).groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
 
-def _across(labelled: DataFrame, samples: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
-    """Pairs of texts in one bucket but not in one component whose samples agree as often as those of linked texts do.
-
-    Buckets are compared in blocks; a pair leaves the first bucket that it shares, and only if it may be a link: at least
-    ``threshold`` less 2.5 standard deviations of its samples agree.
-    """
-    n = bands * rows
-    least = _least_agreeing(n, threshold)
+def _alike(elements: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the left texts with the right ones whose weighted Jaccard similarity is at least the threshold."""
+    low = np.int64(2**_BITS - 1)
+    weight = np.array([int((e & low).sum()) for e in elements], np.float64)
+    sizes = np.array([len(elements[k]) for k in right])
+    flat = np.concatenate([elements[k] for k in right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(right)), sizes)[order]
+    for i in left:
+        e = elements[i]
+        first, last = np.searchsorted(flat, e), np.searchsorted(flat, e, "right")
+        n = last - first
+        at = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        both = np.bincount(owner[at], np.repeat((e & low).astype(np.float64), n), len(right))
+        yield i, np.flatnonzero(both >= threshold * (weight[i] + weight[right] - both))
+
+
+def _across(labelled: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: a link of each two components that have one between texts of one bucket. Every pair of texts in one bucket
+    but not in one component is compared on all elements, in blocks; only links leave a block."""
     sizes = labelled.groupBy("bucket").agg(F.ceil(F.count("*") / _TOGETHER).cast("int").alias("blocks"))
     placed = labelled.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "band", "node", F.xxhash64("component").alias("component"), F.least("block", "with").alias("x"),
+        "bucket", "node", F.xxhash64("component").alias("component"), F.least("block", "with").alias("x"),
         F.greatest("block", "with").alias("y"), (F.col("block") <= F.col("with")).alias("in_x"), (F.col("block") >= F.col("with")).alias("in_y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in sorted_groups(batches, ["bucket", "x", "y"]):
-            s = np.frombuffer(b"".join(g["samples"].to_pylist()), np.uint32).reshape(-1, n)
+            held = g["vector"].combine_chunks()
+            flat, ends = held.flatten().to_numpy(), np.r_[0, np.cumsum(held.value_lengths().to_numpy())]
+            own = [flat[p:q] for p, q in zip(ends[:-1], ends[1:])]
             left, right = (np.flatnonzero(g[c].to_numpy()) for c in ("in_x", "in_y"))
-            component, node, band = g["component"].to_numpy(), g["node"].to_pylist(), g["band"][0].as_py()
-            agree = np.zeros((len(left), len(right)), np.uint8 if n < 256 else np.uint16)
-            for j in range(n):
-                agree += s[left, j][:, None] == s[right, j][None, :]
-            agree[component[left][:, None] == component[right][None, :]] = 0
-            i, k = np.nonzero(agree >= least)
-            i, k = left[i], right[k]
-            if g["x"][0].as_py() == g["y"][0].as_py():
-                i, k = i[i < k], k[i < k]
-            same = (s[i] == s[k]).reshape(len(i), bands, rows).all(2)
-            new = same.argmax(1) == band
-            pairs = [sorted((node[u], node[v])) for u, v in zip(i[new], k[new])]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
+            if not len(left) or not len(right):
+                continue
+            component, node = g["component"].to_numpy(), g["node"].to_pylist()
+            links: dict[tuple[int, int], list[bytes]] = {}
+            for i, met_here in _alike(own, left, right, threshold):
+                for k in right[met_here]:
+                    if component[i] != component[k]:
+                        links.setdefault(tuple(sorted((component[i], component[k]))), sorted((node[i], node[k])))
+            yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in links.values()], pa.binary()) for c in (0, 1)], names=["a", "b"])
 
     keys = ["bucket", "x", "y"]
-    columns = [*keys, "band", "node", "component", "in_x", "in_y", "samples"]
-    return (met.join(samples, "node").select(*columns).repartition(*keys).sortWithinPartitions(*keys, "node")
-            .mapInArrow(compare, "a binary, b binary").distinct())
+    return (met.join(vectors, "node").select(*keys, "node", "component", "in_x", "in_y", "vector").repartition(*keys)
+            .sortWithinPartitions(*keys, "node").mapInArrow(compare, "a binary, b binary").distinct())
 
 
 def _vectors(texts: pa.Array, sampler: Sampler) -> pa.Array:
@@ -251,7 +261,7 @@ def text_key(text: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 5, seed: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 20, rows: int = 5, seed: int = 5) -> DataFrame:
     """``doc_id, node, component, class_id`` of every document: the smallest id of the texts it is linked to, directly or through others."""
     spark: SparkSession = docs.sparkSession
     table = docs.select("doc_id", "text")
@@ -289,9 +299,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     if labelled is None:
         labelled = settled(members.join(found, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    across = _across(labelled.join(mixed_buckets, "bucket"), samples, bands, rows, threshold)
-    across = across.join(first, ["a", "b"], "left_anti")
-    more = settled(_verified(across, vectors, threshold).select("a", "b"))
+    more = settled(_across(labelled.join(mixed_buckets, "bucket"), vectors, threshold))
     whole = components(links.unionAll(more))
     nodes = signed.join(whole, "node", "left").select(
         "doc_id", "node", F.when(F.col("bands").isNotNull(), F.coalesce("component", "node")).alias("component"))
