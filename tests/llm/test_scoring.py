@@ -304,6 +304,17 @@ def test_subsets_reach_the_budget():
     assert (big * np.arange(1, 3000)).sum() == 1_234_567_891
 
 
+def test_few_long_documents_reach_large_budgets():
+    taken = mixing.fit_subset(np.array([300_000, 400_000, 500_000]), np.ones(3, int), 700_000)
+    assert taken.tolist() == [1, 1, 0]
+    assert mixing.fit_subset(np.array([3_000_001, 4_000_000, 5_000_000]), np.ones(3, int), 7_000_001).tolist() == [1, 1, 0]
+    rng = np.random.default_rng(4)
+    lengths = np.unique(rng.integers(200_000, 400_000, size=40))
+    budget = int(lengths[rng.permutation(len(lengths))[:15]].sum())
+    taken = mixing.fit_subset(lengths, np.ones(len(lengths), int), budget)
+    assert (taken * lengths).sum() == budget and taken.max() == 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_return_every_row(spark, name):
     table, key = ("embeddings", "vec_id") if name.startswith("op7") else ("documents", "doc_id")

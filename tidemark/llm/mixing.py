@@ -3,7 +3,9 @@
 Every source gets a target number of words by weight, at most ``max_repeats`` times what it has; what a capped source
 leaves over goes to the others by weight (a water level: target = min(cap, level x weight)). Whole passes over a source
 are taken first. For the rest, documents are counted by exact length; most of the budget is filled in proportion to the
-counts, and a bounded knapsack over the lengths hits what remains to the word where any subset does. Within a length,
+counts, and a bounded knapsack over the lengths hits what remains to the word where any subset does. While it falls short,
+filled documents are given back and the knapsack gets twice the words, up to the whole budget, at any size; its memory
+grows with those words, or with the number of subsets where there are few documents. Within a length,
 documents are picked in the order of a seeded hash of their id, so reruns agree.
 
 Nulls: a null text has length 0, a null source is a source of its own (the last), a null id is hashed like a value.
@@ -23,7 +25,7 @@ from tidemark.session import settled
 
 _CELLS = 1024  # parts of a length's documents, by hash: only the part at the cut is ranked
 _RESERVE = 1 << 16  # words left to the knapsack
-_WHOLE = 1 << 18  # budgets up to this are fitted whole where the first fit falls short
+_SUBSETS = 1 << 20  # up to so many subsets are summed one by one
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -58,28 +60,54 @@ def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     budget = max(0, min(int(budget), total))
     if budget == total:
         return counts.copy()
-    taken = (counts * (budget / total)).astype(np.int64) if total else counts * 0
+    unit = int(np.gcd.reduce(lengths[counts > 0]))
+    lengths, budget = lengths // unit, budget // unit
+    if np.log2(counts + 1.0).sum() <= np.log2(_SUBSETS):
+        return _all_subsets(lengths, counts, budget)
+    reserve, best, least = _RESERVE, None, budget + 1
+    while True:
+        taken, left = _filled(lengths, counts, budget, reserve if best is not None else 0, reserve)
+        short = left - _knapsack(lengths, counts, taken, left)
+        if short < least:
+            best, least = taken, short
+        if not least or left == budget:  # met, or the whole budget was the knapsack's
+            return best
+        reserve *= 2
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, budget: int, back: int, reserve: int) -> tuple[np.ndarray, int]:
+    """Documents for ``budget`` less ``back`` in proportion to the counts, then long ones first, and what is left of the
+    budget for the knapsack."""
+    taken = (counts * (max(0, budget - back) / int((lengths * counts).sum()))).astype(np.int64)
     left = budget - int((taken * lengths).sum())
-    order = np.argsort(-lengths)
-    for i in order:  # long ones first, down to what the knapsack is to fit
-        if left <= _RESERVE:
+    for i in np.argsort(-lengths) if back < budget else ():
+        if left <= reserve:
             break
-        more = min(int(counts[i] - taken[i]), max(0, (left - _RESERVE // 2) // int(lengths[i])))
+        more = min(int(counts[i] - taken[i]), max(0, (left - reserve // 2) // int(lengths[i])))
         taken[i] += more
         left -= more * int(lengths[i])
-    short = left - _knapsack(lengths, counts, taken, left)
-    if short and budget <= _WHOLE:  # a small budget is fitted whole, without what was filled in proportion
-        fresh = np.zeros_like(counts)
-        if budget - _knapsack(lengths, counts, fresh, budget) < short:
-            return fresh
+    return taken, left
+
+
+def _all_subsets(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """The best subset of few documents, whatever their lengths: all sums up to the budget, length by length."""
+    sums = [np.zeros(1, np.int64)]
+    for step, n in zip(lengths, counts):
+        more = np.unique(sums[-1][:, None] + step * np.arange(n + 1))
+        sums.append(more[more <= budget])
+    taken, r = np.zeros_like(counts), int(sums[-1][-1])
+    for i in range(len(lengths) - 1, -1, -1):
+        before = r - lengths[i] * np.arange(counts[i] + 1)
+        taken[i] = int(np.flatnonzero(np.isin(before, sums[i]))[0])
+        r = int(before[taken[i]])
     return taken
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int) -> int:
     """Add documents to ``taken``, up to ``counts``, for the largest sum of lengths up to the budget; returns that sum."""
     # which[r]: the length that first reached the sum r; its predecessor was reached by other lengths
-    which = np.full(budget + 1, -1, np.int64)
-    used = np.zeros(budget + 1, np.int64)
+    which = np.full(budget + 1, -1, np.int32)
+    used = np.zeros(budget + 1, np.int32)
     reached = np.zeros(budget + 1, bool)
     reached[0] = True
     for i in np.argsort(-lengths):
