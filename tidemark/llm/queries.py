@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
+from tidemark.llm import exact, language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
 from tidemark.llm.text import bounded_batches
 from tidemark.session import scratch_path
 
@@ -102,3 +102,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without the 50-word windows of smaller documents."""
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents; the largest id of a group stays."""
+    return exact.exact_copies(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+CHECKS["op13_exact_dedup"] = f"""
+with t as (select doc_id, sha256(translate(coalesce(text, ''), '{exact._UPPER}', '{exact._LOWER}')) as text_sha256 from documents)
+select doc_id, first_value(doc_id) over o as keep_id, count(*) over (partition by text_sha256) as group_size,
+  row_number() over o = 1 as kept, text_sha256
+from t window o as (partition by text_sha256 order by doc_id desc nulls last)"""
