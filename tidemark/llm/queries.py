@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
+from tidemark.llm import divergence, exact, language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
 from tidemark.llm.text import bounded_batches
 from tidemark.session import scratch_path
 
@@ -116,3 +116,34 @@ with t as (select doc_id, sha256(translate(coalesce(text, ''), '{exact._UPPER}',
 select doc_id, first_value(doc_id) over o as keep_id, count(*) over (partition by text_sha256) as group_size,
   row_number() over o = 1 as kept, text_sha256
 from t window o as (partition by text_sha256 order by doc_id desc nulls last)"""
+
+
+@_query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language lie apart, over all documents, and the terms that set each one off."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+CHECKS["op12_source_divergence"] = f"""
+with d as (select coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    row_number() over () as id from documents),
+w as (select lang, source, id, unnest(regexp_extract_all(translate(text, '{exact._UPPER}', '{exact._LOWER}'),
+    '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d),
+k as (select lang, term, count(*) as n from w group by all having count(distinct id) >= {divergence.MIN_DOCS}),
+l as (select lang, sum(n) as total, count(*) as v from k group by all),
+g as (select distinct lang, source from d),
+c as (select w.lang, w.source, w.term, count(*) as n from w join k using (lang, term) group by all),
+s as (select lang, source, sum(n) as total from c group by all),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 2)::hugeint // (coalesce(s.total, 0) + 2 * l.v)::hugeint as p,
+    1 + 1000000000 * (k.n + 2)::hugeint // (l.total + 2 * l.v)::hugeint as q
+  from g join k using (lang) join l using (lang) left join c using (lang, source, term) left join s using (lang, source)),
+f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+r as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+  union all select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from p where n > 0 and p > q),
+o as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from r)
+select lang, source, part, item, value::bigint as value, rank::int as rank from o
+where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
