@@ -9,7 +9,9 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import divergence, exact, language, minhash, mixing, neighbours, perplexity, pieces, quality, substring, token_counts, token_files
+from tidemark.llm import (
+    divergence, exact, language, minhash, mixing, neighbours, perplexity, pieces, prefix_trie, quality, substring, token_counts, token_files,
+)
 from tidemark.llm.text import bounded_batches
 from tidemark.session import scratch_path
 
@@ -147,3 +149,33 @@ r as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.valu
 o as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from r)
 select lang, source, part, item, value::bigint as value, rank::int as rank from o
 where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the prefixes of all conversations, with what sharing a prefix saves."""
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+# crc32 of a decimal number, bit by bit; a prefix is the list of its turns, and an ancestor is a shorter list at its front
+CHECKS["op11_prefix_trie"] = """
+with recursive c as (select distinct conv_id as c from conversations where conv_id is not null),
+h as (select c, xor(4294967295, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda r, i: xor(r >> 1, 3988292384 * (r & 1))))) % 9 as h from c),
+t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place
+  from conversations where conv_id is not null),
+s as (select h.c, list(struct_pack(role := t.role, text := t.text) order by t.part, t.place) filter (t.place is not null) as turns
+  from h left join (select c, 1 as part, place, role, text, c as own from t union all select null, 0, place, role, text, c from t) t
+    on (t.part = 1 and t.c = h.c and t.place > h.h) or (t.part = 0 and t.own = h.c - h.c % 5 and t.place <= h.h) group by h.c),
+p as (select c, d as depth, turns[1:d] as prefix, len(turns) = d as ends from (select c, coalesce(turns, []) as turns from s), range(len(turns) + 1) r(d)),
+n as (select depth, prefix, min(c) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256 from p group by depth, prefix),
+x as (select n.*, u.conv_id as parent_conv_id, case when n.depth = 0 then 0 else (n_convs - 1) * strlen(n.prefix[n.depth].text) end as own
+  from n left join (select conv_id, depth, prefix from n) u on u.depth = n.depth - 1 and u.prefix = n.prefix[1:n.depth - 1]),
+k as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n from x where depth > 0 group by all),
+y as (select x.*, coalesce(k.n, 0) as n_children from x left join k using (conv_id, depth)),
+a as (select y.conv_id, y.depth, y.n_children, y.own, unnest(range(y.depth + 1)) as up, prefix from y),
+z as (select v.conv_id, v.depth, count(*) filter (a.n_children = 0) as n_leaves, sum(a.own) as saved_tokens
+  from a join n v on v.depth = a.up and v.prefix = a.prefix[1:a.up] group by v.conv_id, v.depth)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256 from y join z using (conv_id, depth)"""
