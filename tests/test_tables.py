@@ -108,15 +108,16 @@ def test_ingest_twice_changes_nothing(spark, clean):
         *[F.col(c) if c in ("company_id", "company_name") else F.lit(None).cast(t).alias(c)
           for c, t in (x.strip().split(" ") for x in schemas.COMPANIES.split(", "))])
     events = spark.createDataFrame([], schemas.EVENTS)
-    for _ in range(2):
+    for created in (2, 0):
         companies = ing.load_companies(companies, clean).cache()
-        events, rejected, unknown = ing.load_events(events, companies, clean)
+        events, rejected, unknown, counters = ing.load_events(events, companies, clean)
         events = events.cache()
         assert {(r.company_id, r.company_name) for r in companies.collect()} == {(7, "Old"), (8, "Gamma"), (9, "Meta")}
         got = {(r.event_id, r.company_id, r.announcement_date, r.employees_laid_off) for r in events.collect()}
         assert got == {(1, 9, D(2022, 11, 9), 11000), (2, 9, D(2023, 3, 14), 10000)}
         assert [r.violations for r in rejected.collect()] == [["employees_not_negative"]]
         assert unknown.count() == 0
+        assert counters.first().asDict() == {"inserted": 2, "created": created, "skipped": 0, "failed": 1}
 
 
 def test_upsert_fills_but_never_overwrites(spark):

@@ -6,6 +6,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import settled
+
+# Keys that tables promise to be unique: rule -> columns.
+COMPANY_KEYS = {"name_unique": ["company_name"], "ticker_unique": ["ticker_symbol"]}
+PRICE_KEYS = {"price_day_unique": ["company_id", "trade_date"]}
+WINDOW_KEYS = {"window_unique": ["event_id", "window_start_offset", "window_end_offset"]}
+
+
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Rows numbered for ``flag_violations`` where a table has no id of its own; written, so that the numbers stay."""
+    return settled(df.withColumn(name, F.monotonically_increasing_id()))
+
 
 def flag_violations(df: DataFrame, checks: Mapping[str, Column], id_col: str | None = None,
                     unique: Mapping[str, Sequence[str]] | None = None,
@@ -62,6 +74,10 @@ def price_checks() -> dict[str, Column]:
     return {"price_positive": F.coalesce(F.col("adj_close") > 0, F.lit(False))}
 
 
+def market_checks() -> dict[str, Column]:
+    return {"market_price_positive": F.coalesce(F.col("adj_close") > 0, F.lit(False))}
+
+
 def window_checks() -> dict[str, Column]:
     return {"window_order": F.col("window_start_offset") < F.col("window_end_offset")}
 

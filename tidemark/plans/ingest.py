@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.constraints import event_checks, flag_violations, split_valid
@@ -37,28 +39,36 @@ def load_companies(companies: DataFrame, clean: DataFrame) -> DataFrame:
     return companies.unionByName(numbered, allowMissingColumns=True)
 
 
-def load_events(events: DataFrame, companies: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(event table, rejected rows, rows of unknown companies)`` after the batch.
+class EventLoad(NamedTuple):
+    """The event table after a batch, what was left out of it, and one row of counters.
+
+    ``counters``: ``inserted`` rows written, new or known; ``created`` events that were not stored before; ``skipped`` rows of
+    unknown companies; ``failed`` rows that break a rule.
+    """
+
+    events: DataFrame
+    rejected: DataFrame
+    unknown: DataFrame
+    counters: DataFrame
+
+
+def load_events(events: DataFrame, companies: DataFrame, clean: DataFrame) -> EventLoad:
+    """The event table after the batch. Known events only gain values they lacked.
 
-    Known events only gain values they lacked.
+    The batch is read and judged once, and written; rows, rejects and counters all come from that table.
     """
     rows = lookup_key(event_columns(clean), "company", companies, "company_name", "company_id")
-    unknown = rows.where("company_id is null")
-    known = rows.where("company_id is not null").select(*EVENT_KEY, *EVENT_ATTRIBUTES)
-    valid, rejected = split_valid(flag_violations(known, event_checks()))
-    valid = settled(valid)
-    merged = upsert_fill_nulls(events, valid, EVENT_KEY, EVENT_ATTRIBUTES)
+    judged = settled(flag_violations(rows, {"company_known": F.col("company_id").isNotNull()} | event_checks()))
+    is_unknown = F.array_contains("violations", "company_known")
+    unknown = judged.where(is_unknown).drop("violations")
+    valid, rejected = split_valid(judged.where(~is_unknown).select(*EVENT_KEY, *EVENT_ATTRIBUTES, "violations"))
+    merged = settled(upsert_fill_nulls(events, valid, EVENT_KEY, EVENT_ATTRIBUTES))
     # stored rows keep their ids; only the new ones are numbered
     top = events.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("top")).scalar()
-    new = with_position(merged.where("event_id is null"), EVENT_KEY, "__pos").withColumn(
+    created = merged.where("event_id is null")
+    new = with_position(created, EVENT_KEY, "__pos").withColumn(
         "event_id", (top + 1 + F.col("__pos")).cast("long")).drop("__pos")
-    return merged.where("event_id is not null").unionByName(new), rejected, unknown
-
-
-def load_counters(events: DataFrame, loaded: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
-    """One row after ``load_events``: rows inserted, rejected by a rule, and of unknown companies."""
-    after, rejected, unknown = loaded
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    old = count(events, "stored")
-    return count(after, "now").join(old).join(count(rejected, "rejected")).join(count(unknown, "unknown_company")).select(
-        (F.col("now") - F.col("stored")).alias("inserted"), "rejected", "unknown_company")  # one row each
+    counters = judged.agg(F.count_if(F.size("violations") == 0).alias("inserted"), F.count_if(is_unknown).alias("skipped"),
+                          F.count_if(~is_unknown & (F.size("violations") > 0)).alias("failed"))
+    counters = counters.select("inserted", created.agg(F.count("*")).scalar().alias("created"), "skipped", "failed")
+    return EventLoad(merged.where("event_id is not null").unionByName(new), rejected, unknown, counters)

@@ -347,9 +347,9 @@ def _(spark, folder):
 
 
 @query("S5_key_lookup", "source:s company_id:l", statement(
-    """SELECT r.source, c.company_id FROM raw_text r
+    f"""SELECT r.source, c.company_id FROM raw_text r
        LEFT JOIN (SELECT * FROM companies WHERE ticker_symbol IS NOT NULL) c
-         ON lower(trim(r.company)) = lower(trim(c.company_name))""", RAW))
+         ON lower(trim(r.company, {_SQL_PAD})) = lower(trim(c.company_name, {_SQL_PAD}))""", RAW))
 def _(spark, folder):
     raw = raw_events(spark, folder).transform(rd.normalise_columns)
     return mg.lookup_key(raw, "company", wh.companies(spark, folder).where("ticker_symbol is not null"),
@@ -438,6 +438,29 @@ def _(spark, folder):
     return rd.cleaning_counters(raw_events(spark, folder))
 
 
+_LOAD = {
+    **RAW,
+    "landed": """SELECT company, date, percentage_laid_off * 1.5 AS pct, c.company_id FROM clean r
+        LEFT JOIN (SELECT lower(company_name) AS name, min(company_id) AS company_id FROM companies
+                   WHERE ticker_symbol IS NOT NULL GROUP BY 1) c ON c.name = lower(r.company)""",
+}
+
+
+@query("A15_load_counters", "inserted:l created:l skipped:l failed:l", statement(
+    """SELECT count(*) FILTER (WHERE company_id IS NOT NULL AND NOT coalesce(pct > 100, false)) AS inserted,
+              (SELECT count(*) FROM (
+                   SELECT DISTINCT company_id, date FROM landed WHERE company_id IS NOT NULL AND NOT coalesce(pct > 100, false)
+                   EXCEPT SELECT company_id, announcement_date FROM all_events WHERE announcement_date < DATE '1995-01-01')) AS created,
+              count(*) FILTER (WHERE company_id IS NULL) AS skipped,
+              count(*) FILTER (WHERE company_id IS NOT NULL AND pct > 100) AS failed FROM landed""", _LOAD))
+def _(spark, folder):
+    """A load of all announcements, some with shares beyond 100 %, into the events before 1995."""
+    listed = wh.companies(spark, folder).where("ticker_symbol is not null")
+    batch = clean(spark, folder).withColumn("percentage_laid_off", F.col("percentage_laid_off") * 1.5)
+    stored = wh.events(spark, folder).where("announcement_date < date'1995-01-01'").withColumn("source_url", F.lit(None).cast("string"))
+    return ing.load_events(stored, listed, batch).counters
+
+
 @query("S9_load_study_inputs", "kind:s company_id:l date:s value:f", statement(
     """SELECT 'event' AS kind, company_id, announcement_date AS date, event_id AS value FROM study UNION ALL
        SELECT 'price', company_id, trade_date, adj_close FROM prices UNION ALL
@@ -481,9 +504,13 @@ def _(spark, folder):
        SELECT 'window', 'window_order', count(*) FROM lineitem WHERE l_linenumber - 4 >= CAST(l_quantity AS INT) % 5 - 2 UNION ALL
        SELECT 'match', 'match_complete', count(*) FROM supplier WHERE (s_suppkey % 5 = 0) <> (s_suppkey % 7 = 0) UNION ALL
        SELECT 'match', 'match_method_known', count(*) FROM supplier WHERE s_suppkey % 5 = 1 UNION ALL
-       SELECT 'match', 'name_unique', count(*) - count(DISTINCT s_nationkey) FROM supplier) WHERE n > 0""", FEED))
+       SELECT 'match', 'name_unique', count(*) - count(DISTINCT s_nationkey) FROM supplier UNION ALL
+       SELECT 'match', 'ticker_unique', count(t) - count(DISTINCT t) FROM (SELECT CASE WHEN s_acctbal >= 0 THEN s_suppkey // 2 END AS t FROM supplier) UNION ALL
+       SELECT 'price_day', 'price_day_unique', count(*) - count(DISTINCT (l_suppkey, CAST(l_shipdate AS DATE))) FROM lineitem UNION ALL
+       SELECT 'stored_window', 'window_unique', count(*) - count(DISTINCT (l_orderkey, l_linenumber % 3, l_quantity)) FROM lineitem UNION ALL
+       SELECT 'market', 'market_price_positive', count(*) FROM market WHERE NOT coalesce(adj_close - 1350 > 0, false)) WHERE n > 0""", FEED))
 def _(spark, folder):
-    """The rules of prices, windows and matches, each over rows that break some of them."""
+    """The rules of prices, windows, matches and the index, each over rows that break some of them."""
     def broken(kind: str, flagged: DataFrame) -> DataFrame:
         return flagged.select(F.lit(kind).alias("kind"), F.explode("violations").alias("rule"))
 
@@ -495,11 +522,20 @@ def _(spark, folder):
     matches = wh.table(spark, folder, "supplier").select(
         key.alias("company_id"), F.col("s_nationkey").alias("company_name"),
         F.when(key % 5 == 0, F.lit(None).cast("string")).when(key % 5 == 1, "guess").otherwise("manual").alias("match_method"),
-        F.when(key % 7 != 0, 100.0).alias("match_confidence"))
+        F.when(key % 7 != 0, 100.0).alias("match_confidence"),
+        F.when(F.col("s_acctbal") >= 0, F.floor(key / 2)).alias("ticker_symbol"))
+    lines = wh.table(spark, folder, "lineitem")
+    days = con.with_row_id(lines.select(F.col("l_suppkey").alias("company_id"), F.col("l_shipdate").cast("date").alias("trade_date")))
+    stored = con.with_row_id(lines.select(F.col("l_orderkey").alias("event_id"), (F.col("l_linenumber") % 3).alias("window_start_offset"),
+                                          F.col("l_quantity").alias("window_end_offset")))
+    index = wh.market(spark, folder).withColumn("adj_close", F.col("adj_close") - 1350)
     found = (
         broken("price", con.flag_violations(feed, con.price_checks(), references={"price_company_known": ("company_id", companies, "company_id")}))
         .unionByName(broken("window", con.flag_violations(windows, con.window_checks())))
-        .unionByName(broken("match", con.flag_violations(matches, con.match_checks(), "company_id", {"name_unique": ["company_name"]}))))
+        .unionByName(broken("match", con.flag_violations(matches, con.match_checks(), "company_id", con.COMPANY_KEYS)))
+        .unionByName(broken("price_day", con.flag_violations(days, {}, "row_id", con.PRICE_KEYS)))
+        .unionByName(broken("stored_window", con.flag_violations(stored, {}, "row_id", con.WINDOW_KEYS)))
+        .unionByName(broken("market", con.flag_violations(index, con.market_checks()))))
     return found.groupBy("kind", "rule").agg(F.count("*").alias("n"))
 
 

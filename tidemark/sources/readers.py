@@ -56,12 +56,16 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
 
 def cleaning_counters(raw: DataFrame) -> DataFrame:
-    """One row: raw rows, rows without a readable date, rows that have one and a company, and what folding leaves of them."""
+    """One row: raw rows, rows without a readable date, rows that have one and a company, and what folding leaves of them.
+
+    One pass: rows are counted by company and date first, and the groups are summed up.
+    """
     df = raw.transform(normalise_columns).transform(clean_strings).select("company", parse_date(F.col("date")).alias("date"))
     usable = F.col("date").isNotNull() & F.col("company").isNotNull()
-    kept = df.where(usable).distinct().agg(F.count("*").alias("after_folding"))
-    return df.agg(F.count("*").alias("raw_rows"), F.count_if(F.col("date").isNull()).alias("bad_dates"),
-                  F.count_if(usable).alias("before_folding")).join(kept)  # one row each
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return df.groupBy("company", "date").agg(F.count("*").alias("n")).agg(
+        total("n").alias("raw_rows"), total(F.when(F.col("date").isNull(), F.col("n"))).alias("bad_dates"),
+        total(F.when(usable, F.col("n"))).alias("before_folding"), F.count_if(usable).alias("after_folding"))
 
 
 def event_columns(clean: DataFrame) -> DataFrame:
