@@ -42,9 +42,10 @@ def test_outputs(spark, study, tmp_path):
                    per_event=study.per_event, timeline=study.timeline, model=study.forest)
     assert spark.read.json(f"{folder}/analysis_summary").count() == 1
     assert spark.read.option("header", True).csv(f"{folder}/regression_coefficients").count() == len(study.ols.terms)
-    from pyspark.ml import PipelineModel
-    again = PipelineModel.load(f"{folder}/rf_model")
-    assert again.stages[-1].getNumTrees == FEW["trees"]
+    again = rf.Forest.load(spark, f"{folder}/rf_model")
+    rows = rf.sign_label(study.features, "car_m5_p5")
+    score = lambda m: {r.event_id: r.probability for r in m.transform(rows).collect()}
+    assert again.trees == FEW["trees"] and score(again) == pytest.approx(score(study.forest))
 
 
 def test_unseen_category_is_all_zeros(spark):
@@ -74,11 +75,103 @@ def test_folds_differ_by_one_row_at_most(spark):
     assert sizes == [7, 7, 6, 6, 6]
 
 
-def test_fit_rows_are_bounded(spark):
-    df = spark.range(5000).withColumn("label", (F.col("id") % 2).cast("double"))
-    assert rf.bounded_sample(df, 5000).count() == 5000
-    drawn = rf.bounded_sample(df, 500)
-    assert 400 < drawn.count() < 600 and drawn.count() == rf.bounded_sample(df.repartition(3), 500).count()
+def grown(nodes):
+    """Nodes of all trees as nested tuples, wherever they were grown."""
+    at = {(r.tree, r.top, r.node): r for r in nodes.collect()}
+
+    def below(tree, top, node):
+        if (tree, top, -1) in at and node == 0:
+            r = at[tree, top, -1]
+            return ("leaf", round(r.p, 9)) if r.feature < 0 else (r.feature, r.cut, below(tree, r.left, 0), below(tree, r.right, 0))
+        r = at[tree, top, node]
+        return ("leaf", round(r.p, 9)) if r.feature < 0 else (r.feature, r.cut, below(tree, top, r.left), below(tree, top, r.right))
+
+    return {tree: below(tree, 1, 0) for tree in {r.tree for r in at.values()}}
+
+
+def noisy(spark, n, columns=4):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(n, columns)).round(1)
+    y = (x[:, 0] + rng.normal(size=n) > 0).astype(float)
+    rows = [(*map(float, r), "ab"[i % 2], float(v)) for i, (r, v) in enumerate(zip(x, y))]
+    names = [f"x{i}" for i in range(columns)]
+    return names, rf.with_weights(spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names) + ", c string, label double"))
+
+
+def test_one_tree_equals_a_plain_recursive_one(spark):
+    names, df = noisy(spark, 300)
+    forest = rf.grow_forest(df, names, ["c"], trees=3, max_depth=3)
+    rows = rf._coded(df, forest.coder).toPandas()
+    codes = np.frombuffer(b"".join(map(bytes, rows["codes"])), np.uint8).reshape(len(rows), -1)
+    ids = rows["row"].to_numpy().view(np.uint64)
+
+    def plain(tree, order_of, mine, w, y, level, node):
+        one, total = (w * y)[mine].sum(), w[mine].sum()
+        leaf = ("leaf", round(one / total, 9))
+        if level == 3 or one == 0 or (w * y)[mine].min() > 0:
+            return leaf
+        gini = lambda r: ((w * y)[r].sum() ** 2 + (w * (1 - y))[r].sum() ** 2) / w[r].sum()
+        order = order_of(node)
+        for k in range(0, 6, 2):
+            cuts = [(round(gini(mine[codes[mine, f] <= c]) + gini(mine[codes[mine, f] > c]) - gini(mine), 9), -i, -int(c), int(f))
+                    for i, f in enumerate(order[k:k + 2]) for c in np.unique(codes[mine, f])[:-1]]
+            if cuts:
+                _, _, c, f = max(cuts)
+                return f, -c, mine[codes[mine, f] <= -c], mine[codes[mine, f] > -c]
+        return leaf
+
+    got = grown(forest.nodes)
+    for tree in range(3):
+        times = rf._times(ids, rf.SEED, tree)
+        w, y = times * rows["weight"].to_numpy(), rows["one"].to_numpy()
+        root = plain(tree, lambda node: rf._order_of_columns(6, rf.SEED, tree, 1, np.array([node]))[0], np.flatnonzero(times > 0), w, y, 0, 0)
+        assert got[tree][:2] == root[:2]
+        for side, mine, node in ((got[tree][2], root[2], 1), (got[tree][3], root[3], 2)):
+            child = plain(tree, lambda n: rf._order_of_columns(6, rf.SEED, tree, 1, np.array([n]))[0], mine, w, y, 1, node)
+            assert side[:2] == child[:2]
+
+
+def test_leaves_are_pure_without_a_depth(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(b), float(a * b > 0)) for a, b in rng.normal(size=(400, 2))]
+    df = rf.with_weights(spark.createDataFrame(rows, "a double, b double, label double"))
+    forest = rf.grow_forest(df, ["a", "b"], [], trees=5, group=2)
+    leaves = forest.nodes.where("feature < 0").select("tree", "p").collect()
+    assert {r.tree for r in leaves} == set(range(5)) and all(r.p in (0.0, 1.0) for r in leaves)
+    scored = forest.transform(df)
+    assert scored.where("prediction = label").count() > 380
+
+
+@pytest.mark.parametrize("local_rows", [60, 5000])
+def test_large_nodes_are_split_across_tasks(spark, local_rows):
+    """Small tasks change who splits a node, and by which drawn columns, but neither counts nor quality."""
+    names, df = noisy(spark, 3000)
+    forest = rf.grow_forest(df.repartition(5), names, ["c"], trees=4, local_rows=local_rows)
+    large = forest.nodes.where("node < 0").count()
+    assert (large > 20) == (local_rows == 60)
+    scored = forest.transform(df)
+    assert scored.count() == 3000 and 0.75 < scored.where("prediction = label").count() / 3000 < 1
+    assert sum(r.importance_mean for r in rf.feature_importance(forest).collect()) == pytest.approx(1.0)
+    # every row of a tree ends in one leaf
+    rows = rf._coded(df, forest.coder)
+    ids = np.array([r.row for r in rows.select("row").collect()]).view(np.uint64)
+    assert all((rf._times(ids, rf.SEED, t) > 0).mean() == pytest.approx(1 - np.exp(-1), abs=0.03) for t in range(4))
+
+
+def test_rows_that_are_alike_make_a_large_leaf(spark):
+    df = rf.with_weights(spark.range(400).selectExpr("1.0D as a", "'k' as c", "double(id % 4 = 0) as label"))
+    forest = rf.grow_forest(df, ["a"], ["c"], trees=3, local_rows=50)
+    assert forest.nodes.where("node >= 0").count() == 0 and forest.nodes.count() == 3
+    assert all(0.3 < r.probability < 0.7 for r in forest.transform(df).collect())
+
+
+def test_nulls_and_unknown_categories_are_scored(spark):
+    names, df = noisy(spark, 200)
+    forest = rf.grow_forest(df, names, ["c"], trees=4, max_depth=5)
+    odd = spark.createDataFrame([(None, float("nan"), 1e9, -1e9, "never seen"), (None, None, None, None, None)],
+                                ", ".join(f"{c} double" for c in names) + ", c string")
+    assert all(0 <= r.probability <= 1 for r in forest.transform(odd).collect())
+    assert forest.transform(odd.where("x0 > 0")).count() == 0
 
 
 def test_forest_needs_two_classes(spark):

@@ -15,7 +15,8 @@ from tidemark.session import settled
 FOLDER = "/root/testdata/sf0.001"
 MODELS = {"T8_ols_hc3", "T8_ols_single_regressor", "T9_ols_diagnostics", "T9_residual_statistics",
           "T9_full_model_statistics",
-          "T10_rf_classifier", "T13_cross_validation", "T14_feature_importance"}  # results of finished jobs
+          "T10_rf_classifier", "T13_cross_validation", "T14_feature_importance", "T10_rf_contract", "T13_cv_contract",
+          "T14_importance_contract"}  # results of finished jobs
 
 
 def plan(df):

@@ -1,15 +1,33 @@
-"""A random forest for the sign of the event return, on MLlib."""
+"""A random forest for the sign of the event return, grown on all rows.
+
+Trees are grown in groups. Every numeric column is cut into at most 255 steps at its quantiles, every category is a column of
+its own; a row is then a few bytes. A tree sees each row as often as a Poisson draw says, a hash of the row and the tree,
+so a task that is run again draws the same.
+
+A node with more than ``local_rows`` rows is split across the cluster: tasks add up class weights by node, drawn column and
+step, Spark sums them and picks the split of least impurity; only splits travel, two numbers each. Below that size all rows
+of a node go to one task, which grows the rest of its tree, a level at a time. So a task holds ``local_rows`` rows at most, and the
+driver holds the splits of large nodes, at most 2 x rows x trees / ``local_rows``, and no tree. The nodes of a
+group are a written table; rows are scored where the nodes of their part of a tree are, and averaged.
+
+Trees grow until a leaf is pure or its rows are all alike. A null number lies below all others; a category that was not
+there in the fit is none of the columns.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.operators.features import CATEGORICAL_REGRESSORS, FOREST_NUMERICS
@@ -18,10 +36,12 @@ from tidemark.session import settled
 
 # Fixed values of the study design.
 TREES, SEED, FOLDS, MIN_ROWS = 500, 42, 5, 30
-MAX_DEPTH = 30  # as far as MLlib goes: trees grow until their leaves are pure
-# Trees grown to purity hold about as many nodes as there are rows, and the driver keeps 500 of them. So the labelled rows
-# of a fit are bounded; every row is scored.
-MAX_FIT_ROWS = 1_000
+GROUP = 125  # trees that are grown together
+LOCAL_ROWS = 1 << 18
+_STEPS = 255
+_BLOCK = 8  # whole trees that score rows together
+_FLUSH = 1 << 22  # cells of class weights that a task adds up before it passes them on
+NODES = "tree int, top long, node int, feature int, cut int, left long, right long, p double, gain double"
 
 
 def sign_label(df: DataFrame, car: str) -> DataFrame:
@@ -41,15 +61,6 @@ def with_weights(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(class_weights(df).select("label", "weight")), "label")
 
 
-def bounded_sample(df: DataFrame, rows: int = MAX_FIT_ROWS, seed: int = SEED) -> DataFrame:
-    """All labelled rows, or about ``rows`` of them, drawn by a hash of the whole row."""
-    n = df.count()
-    if n <= rows:
-        return df
-    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 40)) / float(1 << 40)
-    return df.where(draw < rows / n)
-
-
 def encoder(categorical: Sequence[str] = CATEGORICAL_REGRESSORS) -> Pipeline:
     """One-hot encoding in which a category not seen in training becomes all zeros."""
     return Pipeline(stages=[
@@ -60,25 +71,445 @@ def encoder(categorical: Sequence[str] = CATEGORICAL_REGRESSORS) -> Pipeline:
     ])
 
 
-def forest(numeric: Sequence[str] = FOREST_NUMERICS, categorical: Sequence[str] = CATEGORICAL_REGRESSORS,
-           trees: int = TREES, seed: int = SEED, max_depth: int = MAX_DEPTH) -> Pipeline:
-    return Pipeline(stages=[
-        *encoder(categorical).getStages(),
-        VectorAssembler(inputCols=[*numeric, *[f"{c}_hot" for c in categorical]], outputCol="features"),
-        RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                               weightCol="weight", minInstancesPerNode=1, maxMemoryInMB=512,
-                               # rows remember their node instead of re-walking a broadcast forest per level
-                               cacheNodeIds=True),
-    ])
+# ---- draws: hashes in place of a generator's state
+
+def _hash(*parts) -> np.ndarray:
+    """64 even bits of whole numbers, which are spread over each other's shape."""
+    h = np.full(1, 0x9E3779B97F4A7C15, np.uint64)
+    for part in parts:
+        h = h ^ (np.asarray(part).astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+        h = h ^ (h >> np.uint64(31))
+    return h
+
+
+_POISSON = np.cumsum([np.exp(-1.0) / float(np.prod(np.arange(1, k + 1))) for k in range(12)])
+
+
+def _times(rows: np.ndarray, seed: int, tree: int) -> np.ndarray:
+    """How often a tree sees each row: Poisson with mean 1."""
+    return np.searchsorted(_POISSON, (_hash(rows, seed, tree) >> np.uint64(11)) / float(1 << 53)).astype(np.float64)
+
+
+def _order_of_columns(n: int, seed: int, tree: int, top: int, nodes: np.ndarray) -> np.ndarray:
+    """For each node the order in which it tries the columns."""
+    return np.argsort(_hash(seed, tree, top, nodes[:, None], np.arange(n)[None, :]), axis=1)
+
+
+# ---- rows as bytes
 
+@dataclass
+class Coder:
+    """How rows become bytes: steps of numbers, columns of categories."""
 
-def fit_forest(df: DataFrame, car: str, **options) -> PipelineModel | None:
-    """Fit on all labelled rows; ``None`` below 30 rows or with a single class."""
+    numeric: list[str]
+    steps: list[list[float]]
+    categorical: list[str]
+    levels: list[list[str]]
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.numeric, *[f"{c}_{v}" for c, levels in zip(self.categorical, self.levels) for v in levels]]
+
+    def __call__(self, batch: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros((batch.num_rows, len(self.names)), np.uint8)
+        for k, (name, steps) in enumerate(zip(self.numeric, self.steps)):
+            values = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
+            out[:, k] = np.where(np.isnan(values), 0, 1 + np.searchsorted(np.asarray(steps), values))
+        at = len(self.numeric)
+        for name, levels in zip(self.categorical, self.levels):
+            place = {v: at + i for i, v in enumerate(levels)}
+            columns = np.array([place.get(v, -1) for v in batch.column(name).to_pylist()], np.int64)
+            rows = np.flatnonzero(columns >= 0)
+            out[rows, columns[rows]] = 1
+            at += len(levels)
+        return out
+
+    def select(self, df: DataFrame, *more) -> DataFrame:
+        return df.select(*more, *[F.col(c).cast("double").alias(c) for c in self.numeric], *self.categorical)
+
+
+def fit_coder(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Coder:
+    """Steps at quantiles (all distinct values where they are few) and the categories, in alphabetic order."""
+    marks = [k / _STEPS for k in range(1, _STEPS)]
+    # the categories are a fixed few: the largest fifteen and the stages
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), marks, 1 << 14).alias(c) for c in numeric],
+                 *[F.array_sort(F.collect_set(c)).alias(c) for c in categorical]).first()
+    return Coder(list(numeric), [sorted(set(row[c] or [])) for c in numeric], list(categorical), [list(row[c]) for c in categorical])
+
+
+# ---- the part of a tree below a node whose rows fit a task
+
+def _ordered(code: np.ndarray, node: np.ndarray, m: int) -> np.ndarray:
+    """Rows by node and then by code; small whole numbers are sorted by counting."""
+    order = np.argsort(code, kind="stable")
+    return order[np.argsort(node[order].astype(np.uint16 if m < 1 << 16 else np.int64), kind="stable")]
+
+
+def _split_level(codes, one, weight, node, m, columns, binary):
+    """The best split of each of m nodes over its given columns: column (-1: none), cut (left: up to it) and gain.
+
+    Gains are compared by nine digits, so that equal ones are ties in whatever order sums were made; the first column wins.
+    """
+    total, ones = np.bincount(node, weight, m), np.bincount(node, one, m)
+    two = lambda ones, total: (ones ** 2 + (total - ones) ** 2) / total
+    parent = two(ones, total)
+    best, cut, gain = np.full(m, -1), np.zeros(m, np.int64), np.full(m, -np.inf)
+    rows = np.arange(len(node))
+
+    def take(nodes, column, value, score):
+        better = score > gain[nodes]
+        where = nodes[better]
+        best[where], cut[where], gain[where] = column[where], value[better], score[better]
+
+    for k in range(columns.shape[1]):
+        column = columns[:, k]
+        code = codes[rows, column[node]]
+        # columns of two values: one count
+        flags = binary[column]
+        low = np.flatnonzero(flags[node] & (code == 0))
+        left, left_one, n_left = (np.bincount(node[low], v, m) for v in (weight[low], one[low], np.ones(len(low))))
+        mine = np.flatnonzero(flags & (n_left > 0) & (n_left < np.bincount(node, minlength=m)))
+        l, l1 = left[mine], left_one[mine]
+        take(mine, column, np.zeros(len(mine), np.int64), np.round(two(l1, l) + two(ones[mine] - l1, total[mine] - l) - parent[mine], 9))
+        # the others: rows in order of node and code, and a split wherever the code changes
+        mine = np.flatnonzero(~flags[node])
+        if not len(mine):
+            continue
+        order = mine[_ordered(code[mine], node[mine], m)]
+        at, value = node[order], code[order]
+        edge = np.flatnonzero((at[1:] == at[:-1]) & (value[1:] != value[:-1]))
+        if not len(edge):
+            continue
+        of = at[edge]
+        before = [np.cumsum(np.where(flags, 0, v)) - np.where(flags, 0, v) for v in (total, ones)]
+        left, left_one = np.cumsum(weight[order])[edge] - before[0][of], np.cumsum(one[order])[edge] - before[1][of]
+        score = np.round(two(left_one, left) + two(ones[of] - left_one, total[of] - left) - parent[of], 9)
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        top = np.maximum.reduceat(score, first)
+        hit = np.flatnonzero(score == np.repeat(top, np.diff(np.r_[first, len(of)])))
+        hit = hit[np.r_[True, of[hit[1:]] != of[hit[:-1]]]]
+        take(of[first], column, value[edge[hit]], top)
+    return best, cut, gain
+
+
+def _grow(codes, one, weight, seed: int, tree: int, top: int, depth: int | None) -> dict[str, np.ndarray]:
+    """All nodes of the tree over these rows: feature (-1: a leaf), cut, left, right, p, gain. Node 0 is its root."""
+    tries, binary = max(1, int(codes.shape[1] ** 0.5)), codes.max(axis=0) < 2
+    feature, cuts, left, right, share, gains = ([] for _ in range(6))
+    node, active, made, level = np.zeros(len(one), np.int64), np.array([0]), 1, 0
+    while len(active):
+        m = len(active)
+        total, ones = np.bincount(node, weight, m), np.bincount(node, one, m)
+        p = ones / total
+        best, cut, gain = np.full(m, -1), np.zeros(m, np.int64), np.zeros(m)
+        open_ = np.flatnonzero((np.bincount(node, one > 0, m) > 0) & (np.bincount(node, one == 0, m) > 0) & (depth is None or level < depth))
+        order = _order_of_columns(codes.shape[1], seed, tree, top, active[open_])
+        for k in range(0, codes.shape[1], tries):  # further columns where none of these tells the rows apart
+            if not len(open_):
+                break
+            place = np.full(m, -1)
+            place[open_] = np.arange(len(open_))
+            rows = np.flatnonzero(place[node] >= 0)
+            b, c, g = _split_level(codes[rows], one[rows], weight[rows], place[node[rows]], len(open_), order[:, k:k + tries], binary)
+            best[open_], cut[open_], gain[open_] = b, c, np.where(b >= 0, g, 0)
+            open_, order = open_[b < 0], order[b < 0]
+        splits = np.flatnonzero(best >= 0)
+        child = np.full(m, -1)
+        child[splits] = made + 2 * np.arange(len(splits))
+        for held, new in ((feature, best), (cuts, cut), (left, child), (right, np.where(child >= 0, child + 1, -1)), (share, p), (gains, gain)):
+            held.append(new)
+        rows = np.flatnonzero(best[node] >= 0)
+        codes, one, weight, node = codes[rows], one[rows], weight[rows], node[rows]
+        side = codes[np.arange(len(node)), best[node]] > cut[node]
+        place = np.full(m, -1)
+        place[splits] = np.arange(len(splits))
+        node = 2 * place[node] + side
+        active = made + np.arange(2 * len(splits))
+        made += 2 * len(splits)
+        level += 1
+    return dict(zip(("feature", "cut", "left", "right", "p", "gain"), map(np.concatenate, (feature, cuts, left, right, share, gains))))
+
+
+# ---- large nodes, split across the cluster
+
+def _routed(codes: np.ndarray, splits: dict) -> np.ndarray:
+    """The node of each row below the splits of one tree: ``{node: (column, cut)}``, root 1, children 2 i and 2 i + 1."""
+    at = np.ones(len(codes), np.int64)
+    todo = [1] if 1 in splits else []
+    while todo:
+        i = todo.pop()
+        column, cut = splits[i]
+        rows = np.flatnonzero(at == i)
+        at[rows] = 2 * i + (codes[rows, column] > cut)
+        todo += [c for c in (2 * i, 2 * i + 1) if c in splits]
+    return at
+
+
+def _weights_of_steps(coded: DataFrame, width: int, trees: Sequence[int], seed: int, splits: dict, todo: dict) -> DataFrame:
+    """``tree, top, feature, code, n, total, ones`` over the columns that ``todo[tree][top]`` lists."""
+
+    def add_up(batches):
+        held: dict[tuple[int, int], np.ndarray] = {}
+
+        def flush():
+            for (tree, top), cells in held.items():
+                columns = todo[tree][top]
+                k, code = np.nonzero(cells[:, :, 0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(k), tree, np.int32)), pa.array(np.full(len(k), top)), pa.array(np.asarray(columns, np.int32)[k]),
+                     pa.array(code.astype(np.int32)), *[pa.array(cells[k, code, i]) for i in range(3)]],
+                    ["tree", "top", "feature", "code", "n", "total", "ones"])
+            held.clear()
+
+        for batch in batches:
+            rows, codes, one, weight = _unpacked(batch, width)
+            for tree in trees:
+                if not todo.get(tree):
+                    continue
+                times = _times(rows, seed, tree)
+                at = _routed(codes, splits.get(tree, {}))
+                for top, columns in todo[tree].items():
+                    mine = np.flatnonzero((at == top) & (times > 0))
+                    cells = held.setdefault((tree, top), np.zeros((len(columns), 256, 3)))
+                    w = times[mine] * weight[mine]
+                    for k, column in enumerate(columns):
+                        for i, value in enumerate((np.ones(len(mine)), w, w * one[mine])):
+                            cells[k, :, i] += np.bincount(codes[mine, column], value, 256)
+            if sum(c.size for c in held.values()) > _FLUSH:
+                yield from flush()
+        yield from flush()
+
+    sums = coded.mapInArrow(add_up, "tree int, top long, feature int, code int, n double, total double, ones double")
+    return sums.groupBy("tree", "top", "feature", "code").agg(*[F.sum(c).alias(c) for c in ("n", "total", "ones")])
+
+
+def _best_splits(steps: DataFrame) -> DataFrame:
+    """Per tree and node: its rows, class weights, and the best of its columns' splits (null where there is none)."""
+    column = W.partitionBy("tree", "top", "feature")
+    upto = column.orderBy("code").rowsBetween(W.unboundedPreceding, 0)
+    run = steps.select("tree", "top", "feature", "code", *[F.sum(c).over(upto).alias(f"l_{c}") for c in ("n", "total", "ones")],
+                       *[F.sum(c).over(column).alias(c) for c in ("n", "total", "ones")])
+    two = lambda ones, total: (ones * ones + (total - ones) * (total - ones)) / total
+    left, left_one = F.col("l_total"), F.col("l_ones")
+    right, right_one = F.col("total") - left, F.col("ones") - left_one
+    gain = two(left_one, left) + two(right_one, right) - two(F.col("ones"), F.col("total"))
+    split = F.when(F.col("l_n") < F.col("n"), F.struct(F.round(gain, 9).alias("gain"), (-F.col("feature")).alias("f"), (-F.col("code")).alias("c"),
+                                                        F.col("l_n").alias("n_left")))
+    return run.select("tree", "top", "n", "total", "ones", split.alias("split")).groupBy("tree", "top").agg(
+        F.max("n").alias("n"), F.max("total").alias("total"), F.max("ones").alias("ones"), F.max("split").alias("split"))
+
+
+def _large_nodes(coded: DataFrame, n: int, width: int, trees: Sequence[int], seed: int, local_rows: int, depth: int | None):
+    """Splits ``{tree: {top: (column, cut)}}`` of all nodes with more than ``local_rows`` rows, and their node rows."""
+    splits: dict[int, dict[int, tuple[int, int]]] = {t: {} for t in trees}
+    rows, tries = [], max(1, int(width ** 0.5))
+    order = lambda t, top: _order_of_columns(width, seed, t, top, np.array([0]))[0]
+    # a tree sees about n rows; a margin keeps what might be more than fits off the tasks
+    open_ = {(t, 1): 0 for t in trees} if n + 6 * n ** 0.5 > local_rows and (depth is None or depth > 0) else {}
+    while open_:
+        todo: dict[int, dict[int, list[int]]] = {}
+        for (t, top), tried in open_.items():
+            todo.setdefault(t, {})[top] = [int(c) for c in order(t, top)[tried:tried + tries]]
+        found = _best_splits(_weights_of_steps(coded, width, trees, seed, splits, todo)).collect()  # a row per large node
+        last, open_ = open_, {}
+        for r in found:
+            t, top, p = r.tree, r.top, r.ones / r.total
+            pure = r.ones <= 0 or r.ones >= r.total
+            if r.split is None and not pure and last[t, top] + tries < width:
+                open_[t, top] = last[t, top] + tries
+            elif r.split is None or pure:  # its rows are alike: a leaf, however many they are
+                rows.append((t, top, -1, -1, 0, -1, -1, p, 0.0))
+            else:
+                column, cut = -r.split.f, -r.split.c
+                splits[t][top] = (column, cut)
+                rows.append((t, top, -1, column, cut, 2 * top, 2 * top + 1, p, r.split.gain))
+                for child, size in ((2 * top, r.split.n_left), (2 * top + 1, r.n - r.split.n_left)):
+                    if size > local_rows and (depth is None or child.bit_length() <= depth):
+                        open_[t, child] = 0
+    return splits, rows
+
+
+# ---- packing rows for the way through Spark
+
+def _unpacked(batch, width: int):
+    bytes_of = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint8)
+    return (np.asarray(batch.column("row").to_numpy(zero_copy_only=False)).astype(np.int64).view(np.uint64),
+            bytes_of(batch.column("codes")).reshape(-1, width), *[batch.column(c).to_numpy(zero_copy_only=False) for c in ("one", "weight")])
+
+
+def _coded(df: DataFrame, coder: Coder) -> DataFrame:
+    """``row (a hash), codes, one, weight`` of labelled rows, written once."""
+    width = len(coder.names)
+
+    def pack(batches):
+        for batch in batches:
+            codes = coder(batch)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column("one"), batch.column("weight")],
+                ["row", "codes", "one", "weight"])
+
+    rows = coder.select(df, F.xxhash64(*df.columns).alias("row"), F.col("label").alias("one"), "weight")
+    return settled(rows.mapInArrow(pack, "row long, codes binary, one double, weight double")) if width else rows
+
+
+def _blocks(coded: DataFrame, width: int, trees: Sequence[int], seed: int, splits: dict, leaves: set) -> DataFrame:
+    """The rows of a batch by tree and node, as often as the tree sees them: ``tree, top, codes, one, weight``, a blob each."""
+
+    def deal(batches):
+        for batch in batches:
+            rows, codes, one, weight = _unpacked(batch, width)
+            for tree in trees:
+                times = _times(rows, seed, tree)
+                seen = np.flatnonzero(times > 0)
+                at = _routed(codes[seen], splits.get(tree, {}))
+                out = [(tree, int(top), codes[mine].tobytes(), one[mine].tobytes(), (times[mine] * weight[mine]).tobytes())
+                       for top in np.unique(at) if (tree, top) not in leaves for mine in [seen[at == top]]]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), *[pa.binary()] * 3))],
+                                                     ["tree", "top", "codes", "one", "weight"])
+
+    return coded.mapInArrow(deal, "tree int, top long, codes binary, one binary, weight binary")
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _spread(blocks: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """A fixed number of partitions: the rows are few bytes for the work they cause, and would be put together by size."""
+    spark = blocks.sparkSession
+    return blocks.repartition(max(parts, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
+def _nodes(blocks: DataFrame, parts: int, width: int, seed: int, depth: int | None) -> DataFrame:
+    def grow(table: pa.Table) -> pa.Table:
+        tree, top = table["tree"][0].as_py(), table["top"][0].as_py()
+        codes = _joined(table["codes"], np.uint8).reshape(-1, width)
+        one, weight = (_joined(table[c], np.float64) for c in ("one", "weight"))
+        left = None if depth is None else depth - (int(top).bit_length() - 1)
+        n = _grow(codes, weight * one, weight, seed, tree, top, left)
+        m = len(n["p"])
+        return pa.table([np.full(m, tree, np.int32), np.full(m, top), np.arange(m, dtype=np.int32), n["feature"].astype(np.int32),
+                         n["cut"].astype(np.int32), n["left"], n["right"], n["p"], n["gain"]], schema=schema)
+
+    schema = pa.schema([(c, {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[t]) for c, t in (x.split() for x in NODES.split(", "))])
+    return _spread(blocks, parts, "tree", "top").groupBy("tree", "top").applyInArrow(grow, NODES)
+
+
+# ---- the fitted forest
+
+@dataclass
+class Forest:
+    """``nodes``: node 0 is the root of the part of a tree below ``top``; node -1 is a large node, its children are tops."""
+
+    coder: Coder
+    nodes: DataFrame
+    trees: int
+    splits: dict = field(default_factory=dict)
+    local_rows: int = LOCAL_ROWS
+
+    def probability(self, df: DataFrame) -> DataFrame:
+        """``row, probability`` of a positive sign; ``df`` has ``row``, a unique number."""
+        coder, splits, trees, salts = self.coder, self.splits, self.trees, max(1, -(-df.count() // self.local_rows))
+        # whole trees go together; with large nodes, the part of a tree below a node is a group of its own
+        block = 1 if splits else _BLOCK
+        fields = [("block", pa.int32()), ("top", pa.int64()), ("salt", pa.int32()), ("codes", pa.binary()), ("rows", pa.binary())]
+        kinds = pa.schema([("row", pa.int64()), ("p", pa.float64())])
+
+        def deal(batches):
+            for batch in batches:
+                codes, rows = coder(batch), batch.column("row").to_numpy()
+                salt = int(_hash(rows[:1])[0] % np.uint64(salts)) if len(rows) else 0
+                for b in range(-(-trees // block)):
+                    at = _routed(codes, splits.get(b, {}) if block == 1 else {})
+                    out = [(b, int(top), salt, codes[mine].tobytes(), rows[mine].tobytes())
+                           for top in np.unique(at) for mine in [np.flatnonzero(at == top)]]
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), fields)], [n for n, _ in fields])
+
+        def score(rows: pa.Table, nodes: pa.Table) -> pa.Table:
+            if not rows.num_rows or not nodes.num_rows:
+                return pa.Table.from_pylist([], kinds)
+            codes, ids = _joined(rows["codes"], np.uint8).reshape(-1, len(coder.names)), _joined(rows["rows"], np.int64)
+            nodes = nodes.sort_by([("tree", "ascending"), ("node", "ascending")])
+            tree, feature, cut, left, p = (nodes[c].to_numpy() for c in ("tree", "feature", "cut", "left", "p"))
+            sums = np.zeros(len(ids))
+            for root in np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]]):  # a large node that is a leaf is a root, too
+                at = np.full(len(ids), root)
+                todo = np.arange(len(ids)) if feature[root] >= 0 else np.arange(0)
+                while len(todo):
+                    now = at[todo]
+                    at[todo] = root + left[now] + (codes[todo, feature[now]] > cut[now])
+                    todo = todo[feature[at[todo]] >= 0]
+                sums += p[at]
+            return pa.table([ids, sums], schema=kinds)
+
+        dealt = coder.select(df, F.col("row").cast("long").alias("row")).mapInArrow(
+            deal, "block int, top long, salt int, codes binary, rows binary")
+        local = self.nodes.where("node >= 0 or feature < 0").select(
+            F.floor(F.col("tree") / block).cast("int").alias("block"), "top", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+            "tree", "node", "feature", "cut", "left", "p")
+        keys = ("block", "top", "salt")
+        parts = -(-trees // block) * salts
+        votes = _spread(dealt, parts, *keys).groupBy(*keys).cogroup(_spread(local, parts, *keys).groupBy(*keys)).applyInArrow(score, "row long, p double")
+        return votes.groupBy("row").agg((F.sum("p") / trees).alias("probability"))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability`` of a positive sign and ``prediction``, 1.0 or 0.0."""
+        rows = settled(df.withColumn("row", F.monotonically_increasing_id()))
+        scored = self.probability(rows)
+        return rows.join(scored, "row").drop("row").withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+
+    def save(self, path: str) -> None:
+        """Nodes, and the meaning of their columns, as tables."""
+        spark = self.nodes.sparkSession
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        meta = {"trees": self.trees, "local_rows": self.local_rows, "coder": vars(self.coder)}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Forest:
+        meta = json.loads(spark.read.parquet(f"{path}/meta").first().meta)
+        nodes = spark.read.parquet(f"{path}/nodes")
+        splits: dict[int, dict] = {}
+        for r in nodes.where("node < 0 and feature >= 0").collect():  # a row per large node
+            splits.setdefault(r.tree, {})[r.top] = r.feature, r.cut
+        return Forest(Coder(**meta["coder"]), nodes, meta["trees"], splits, meta["local_rows"])
+
+
+def grow_forest(df: DataFrame, numeric: Sequence[str] = FOREST_NUMERICS, categorical: Sequence[str] = CATEGORICAL_REGRESSORS,
+                trees: int = TREES, seed: int = SEED, max_depth: int | None = None, group: int = GROUP,
+                local_rows: int = LOCAL_ROWS) -> Forest:
+    """A forest over all rows of ``df`` (``label``, ``weight`` and the columns).
+
+    ``group`` trees are grown together: their rows, up to ``group`` times those of ``df``, go through one shuffle.
+    ``local_rows`` is the largest node that a task grows by itself.
+    """
+    df = settled(df)
+    coder = fit_coder(df, numeric, categorical)
+    coded, width, n = _coded(df, coder), len(coder.names), df.count()
+    splits, nodes = {}, None
+    for start in range(0, trees, group):
+        of = range(start, min(start + group, trees))
+        large, rows = _large_nodes(coded, n, width, of, seed, local_rows, max_depth)
+        leaves = {(r[0], r[1]) for r in rows if r[3] < 0}
+        grown = _nodes(_blocks(coded, width, of, seed, large, leaves), len(of), width, seed, max_depth)
+        if rows:
+            grown = grown.unionAll(df.sparkSession.createDataFrame(rows, NODES))
+        grown = settled(grown)
+        nodes = grown if nodes is None else nodes.unionAll(grown)
+        splits |= {t: s for t, s in large.items() if s}
+    return Forest(coder, nodes, trees, splits, local_rows)
+
+
+def fit_forest(df: DataFrame, car: str, **options) -> Forest | None:
+    """Grown on all labelled rows; ``None`` below 30 rows or with a single class. Options as of ``grow_forest``."""
     labelled = sign_label(df, car)
     size = labelled.agg(F.count("*").alias("n"), F.countDistinct("label").alias("k")).first()
     if size["n"] < MIN_ROWS or size["k"] < 2:
         return None
-    return forest(**options).fit(with_weights(bounded_sample(labelled)))
+    return grow_forest(with_weights(labelled), **options)
 
 
 def stratified_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS) -> DataFrame:
@@ -107,15 +538,15 @@ def stratified_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS) ->
 
 def cross_validate(df: DataFrame, car: str, order: Sequence[str] = ("company_id", "announcement_date", "event_id"),
                    folds: int = FOLDS, **options) -> DataFrame:
-    """``fold, n, positives, accuracy, roc_auc``; class weights come from the training part only."""
+    """``fold, n, positives, accuracy, roc_auc``; class weights come from the training part only. Options as of ``grow_forest``."""
     labelled = settled(stratified_folds(sign_label(df, car), order, folds))
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    auc = BinaryClassificationEvaluator(metricName="areaUnderROC", rawPredictionCol="votes", numBins=0)
 
     def score(k: int) -> tuple[int, int, int, float, float]:
-        model = forest(**options).fit(with_weights(bounded_sample(labelled.where(F.col("fold") != k))))
+        model = grow_forest(with_weights(labelled.where(F.col("fold") != k)), **options)
         scored = settled(model.transform(labelled.where(F.col("fold") == k)).select(
-            "label", "prediction", "rawPrediction"))
+            "label", "prediction", array_to_vector(F.array(1 - F.col("probability"), "probability")).alias("votes")))
         n, positives = scored.agg(F.count("*"), F.count_if(F.col("label") > 0)).first()
         return k, n, positives, accuracy.evaluate(scored), auc.evaluate(scored)
 
@@ -134,21 +565,16 @@ def cv_metrics(folds: DataFrame) -> DataFrame:
     )
 
 
-def feature_names(model: PipelineModel, numeric: Sequence[str] = FOREST_NUMERICS,
-                  categorical: Sequence[str] = CATEGORICAL_REGRESSORS) -> list[str]:
-    labels = model.stages[0].labelsArray
-    return [*numeric, *[f"{c}_{v}" for c, levels in zip(categorical, labels) for v in levels]]
-
-
-def feature_importance(model: PipelineModel, numeric: Sequence[str] = FOREST_NUMERICS,
-                       categorical: Sequence[str] = CATEGORICAL_REGRESSORS) -> DataFrame:
-    """``feature, importance_mean, importance_std`` over the trees; one row per model feature."""
-    trees = model.stages[-1]
-    per_tree = [t.featureImportances.toArray() for t in trees.trees]
-    count = len(per_tree)
-    mean = trees.featureImportances.toArray()
-    average = sum(per_tree) / count
-    spread = (sum((v - average) ** 2 for v in per_tree) / count) ** 0.5
-    rows = [(n, float(m), float(s)) for n, m, s in zip(feature_names(model, numeric, categorical), mean, spread)]
-    return SparkSession.active().createDataFrame(
-        rows, "feature string, importance_mean double, importance_std double")
+def feature_importance(model: Forest) -> DataFrame:
+    """``feature, importance_mean, importance_std`` over the trees; one row per model feature.
+
+    A tree's importances are its columns' shares of the impurity that its splits take away.
+    """
+    gains = model.nodes.where("feature >= 0").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
+    share = F.col("gain") / F.sum("gain").over(W.partitionBy("tree"))  # a row per column
+    per = gains.select("feature", share.alias("share")).groupBy("feature").agg(
+        F.sum("share").alias("total"), F.sum(F.col("share") * F.col("share")).alias("squares"))
+    names = model.nodes.sparkSession.createDataFrame(list(enumerate(model.coder.names)), "feature int, name string")
+    mean = F.coalesce("total", F.lit(0.0)) / model.trees
+    spread = F.sqrt(F.greatest(F.coalesce("squares", F.lit(0.0)) / model.trees - mean * mean, F.lit(0.0)))
+    return names.join(per, "feature", "left").select(F.col("name").alias("feature"), mean.alias("importance_mean"), spread.alias("importance_std"))

@@ -508,8 +508,7 @@ def _(spark, folder):
 def _(spark, folder):
     frame = model_frame(spark, folder)
     model = rf.fit_forest(frame, "car_m5_p5")
-    scored = model.transform(rf.with_weights(rf.sign_label(frame, "car_m5_p5")))
-    return scored.withColumn("probability", vector_to_array("probability")[1])
+    return model.transform(rf.sign_label(frame, "car_m5_p5"))
 
 
 @query("T11_onehot_ignore", "event_id:l industry_hot:l stage_hot:l", statement(
@@ -562,6 +561,48 @@ def _(spark, folder):
     return rf.cv_metrics(rf.cross_validate(model_frame(spark, folder), "car_m5_p5"))
 
 
+@query("T10_rf_contract", "event_id:l label:l scored:b agrees:b", statement(
+    """SELECT s.event_id, CASE WHEN h.car > 0 THEN 1 ELSE 0 END AS label, true AS scored, true AS agrees
+       FROM study s JOIN headline h USING (event_id) WHERE h.car IS NOT NULL"""))
+def _(spark, folder):
+    """Every labelled event is scored, by a share of votes that its prediction agrees with (fewer trees, all rows)."""
+    frame = model_frame(spark, folder)
+    scored = rf.fit_forest(frame, "car_m5_p5", trees=8).transform(rf.sign_label(frame, "car_m5_p5"))
+    share = F.col("probability")
+    return scored.select("event_id", "label", share.between(0, 1).alias("scored"), ((share > 0.5) == (F.col("prediction") == 1)).alias("agrees"))
+
+
+@query("T13_cv_contract", "fold:l n:l positives:l in_range:b", statement(
+    """WITH labelled AS (
+           SELECT s.event_id, s.company_id, s.announcement_date, CASE WHEN h.car > 0 THEN 1 ELSE 0 END AS label
+           FROM study s JOIN headline h USING (event_id) WHERE h.car IS NOT NULL),
+       numbered AS (
+           SELECT *, row_number() OVER (PARTITION BY label ORDER BY company_id, announcement_date, event_id) - 1 AS nth,
+                  row_number() OVER (ORDER BY company_id, announcement_date, event_id) AS place FROM labelled),
+       dealt AS (
+           SELECT label, (row_number() OVER (ORDER BY first_place, nth) - 1) % 5 AS fold
+           FROM (SELECT *, min(place) OVER (PARTITION BY label) AS first_place FROM numbered))
+       SELECT fold, count(*) AS n, sum(label) AS positives, true AS in_range FROM dealt GROUP BY fold""".replace("WITH labelled", "SELECT * FROM (WITH labelled") + ")"))
+def _(spark, folder):
+    """What the folds of the cross-validation scored, and that scores lie between 0 and 1 (fewer trees, all rows)."""
+    folds = rf.cross_validate(model_frame(spark, folder), "car_m5_p5", trees=8)
+    return folds.withColumn("in_range", F.col("accuracy").between(0, 1) & F.col("roc_auc").between(0, 1))
+
+
+@query("T14_importance_contract", "feature:s in_range:b total:f", statement(
+    """SELECT feature, true AS in_range, 1.0 AS total FROM (
+         SELECT unnest(['log_employees_laid_off', 'pct_laid_off_filled', 'has_pct', 'is_repeat', 'days_since_prior_layoff',
+                        'market_regime_30d', 'log_funds_raised', 'has_funds', 'event_year']) AS feature
+         UNION ALL SELECT DISTINCT 'industry_top15_' || industry_top15 FROM features JOIN headline USING (event_id) WHERE car IS NOT NULL
+         UNION ALL SELECT DISTINCT 'stage_clean_' || stage_clean FROM features JOIN headline USING (event_id) WHERE car IS NOT NULL)"""))
+def _(spark, folder):
+    """A row per feature of the model; the means are shares of one (fewer trees, all rows)."""
+    rows = rf.feature_importance(rf.fit_forest(model_frame(spark, folder), "car_m5_p5", trees=8))
+    mean, spread = F.col("importance_mean"), F.col("importance_std")
+    total = rows.agg(F.sum("importance_mean")).scalar()
+    return rows.select("feature", (mean.between(0, 1) & (spread >= 0)).alias("in_range"), total.alias("total"))
+
+
 @query("T14_feature_importance", "feature:s importance_mean:f importance_std:f")
 def _(spark, folder):
     model = rf.fit_forest(model_frame(spark, folder), "car_m5_p5")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.windows import (
@@ -13,6 +12,7 @@ from tidemark.functions.windows import (
 )
 from tidemark.operators import eventstudy, features, forest, inference, regression
 from tidemark.operators.calendar import trading_calendar
+from tidemark.operators.forest import Forest
 from tidemark.session import settled
 
 
@@ -45,7 +45,7 @@ class Study:
     summary: DataFrame
     features: DataFrame
     ols: regression.OlsFit | None
-    forest: PipelineModel | None
+    forest: Forest | None
     forest_folds: DataFrame | None
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.forest import Forest
 from tidemark.operators.merge import new_rows
 
 
@@ -42,14 +42,14 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def write_model(model: Forest, path: str) -> None:
+    model.save(path)
 
 
 def write_study(folder: str, *, summary: DataFrame | None = None, coefficients: DataFrame | None = None,
                 diagnostics: DataFrame | None = None, importance: DataFrame | None = None,
                 metrics: DataFrame | None = None, per_event: DataFrame | None = None,
-                timeline: DataFrame | None = None, model: PipelineModel | None = None) -> None:
+                timeline: DataFrame | None = None, model: Forest | None = None) -> None:
     """Everything a study produced, each result under its own name; absent results are skipped."""
     for name, df in (("analysis_summary", summary), ("regression_diagnostics", diagnostics),
                      ("rf_metrics", metrics)):
