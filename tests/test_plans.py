@@ -8,9 +8,11 @@ from tidemark.operators import dedupe as dd
 from tidemark.operators import eventstudy as es
 from tidemark.operators import merge as mg
 from tidemark.plans import all_queries
+from tidemark.plans import queries_ingest as qi
 from tidemark.plans import queries_study as qs
 from tidemark.plans import warehouse as wh
 from tidemark.session import settled
+from tidemark.sources import readers as rd
 
 FOLDER = "/root/testdata/sf0.001"
 MODELS = {"T8_ols_hc3", "T8_ols_single_regressor", "T9_ols_diagnostics", "T9_residual_statistics",
@@ -56,3 +58,11 @@ def test_scans_read_only_what_they_need(spark):
 def test_no_cross_joins(spark, name):
     text = plan(all_queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_a_raw_row_is_cleaned_and_parsed_once(spark):
+    text = plan(rd.clean_events(qi.raw_events(spark, FOLDER)))
+    dates = text.count("regexp_replace(") - text.count("(?U)")
+    assert dates == 1 and "Generate inline" in text
+    # a strip for each text column, and one more for each number
+    assert text.count("(?U)") == len(qi._HEADER) + 3 + 1

@@ -45,11 +45,20 @@ def clean_strings(df: DataFrame) -> DataFrame:
 _TYPED = {"total_laid_off": to_number, "percentage_laid_off": to_percent, "funds_raised": to_number}
 
 
+def _dated(raw: DataFrame) -> DataFrame:
+    return raw.transform(normalise_columns).transform(clean_strings).withColumn("date", parse_date(F.col("date")))
+
+
 def clean_events(raw: DataFrame) -> DataFrame:
-    """Raw announcements to typed rows with a date and a company, one per company and date."""
-    df = raw.transform(normalise_columns).transform(clean_strings)
-    df = df.withColumn("date", parse_date(F.col("date"))).where("date is not null and company is not null")
-    df = df.withColumns({c: parse(F.col(c)) for c, parse in _TYPED.items() if c in df.columns})
+    """Raw announcements to typed rows with a date and a company, one per company and date.
+
+    A row is cleaned and parsed once: it is one value until it has been judged. A plain filter would move below the columns
+    it looks at, and take copies of their expressions along.
+    """
+    df = _dated(raw)
+    typed = [(_TYPED[c](F.col(c)) if c in _TYPED else F.col(c)).alias(c) for c in df.columns]
+    usable = F.filter(F.array(F.struct(*typed)), lambda row: row["date"].isNotNull() & row["company"].isNotNull())
+    df = df.select(F.inline(usable))
     ties = [c for c in df.columns if c not in ("company", "date")]
     df = keep_most_complete(df, ["company", "date"], df.columns, ties)
     return df.withColumn("company_normalized", normalise_key(F.col("company")))
@@ -60,7 +69,7 @@ def cleaning_counters(raw: DataFrame) -> DataFrame:
 
     One pass: rows are counted by company and date first, and the groups are summed up.
     """
-    df = raw.transform(normalise_columns).transform(clean_strings).select("company", parse_date(F.col("date")).alias("date"))
+    df = _dated(raw).select("company", "date")
     usable = F.col("date").isNotNull() & F.col("company").isNotNull()
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return df.groupBy("company", "date").agg(F.count("*").alias("n")).agg(
