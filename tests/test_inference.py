@@ -228,3 +228,36 @@ def test_box_stats(spark):
     a = got["a"]
     assert (a.q1, a["median"], a.q3, a.whisker_lo, a.whisker_hi, a.outliers) == (2, 3, 4, 1, 4, 1)
     assert got["b"].whisker_hi == 5.0
+
+
+@pytest.mark.parametrize("few", [1, 4096])
+def test_quantiles_of_odd_values(spark, monkeypatch, few):
+    """All passes, or the first ones: ties, both infinities, NaN, both zeros, the smallest doubles, one row, no group name."""
+    from tidemark.operators import quantiles as qt
+
+    monkeypatch.setattr(qt, "_FEW", few)
+    rng = np.random.default_rng(3)
+    groups = {"tied": [2.5] * 6000 + [1.0, 9.0], "one": [-7.25], None: list(rng.normal(size=501) * 10.0 ** rng.integers(-300, 300, 501)),
+              "edges": [float("-inf"), -1e308, -5e-324, -0.0, 0.0, 5e-324, 1e308, float("inf")], "close": list(1 + np.arange(40) * 2.0 ** -52)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("nan", 1.0), ("nan", float("nan")), ("nan", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    got = {(r.g, r.p): r["quantile"] for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    assert {g for g, _ in got} == {*groups, "nan"}
+    for g, vs in groups.items():
+        ordered = sorted(vs)
+        for p in probs:
+            at = p * (len(vs) - 1)
+            low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+            want = low if low == high else low + (at - np.floor(at)) * (high - low)
+            assert np.array_equal(got[g, p], want, equal_nan=True), (g, p)
+    assert got["nan", 0.0] == 1.0 and np.isnan(got["nan", 1.0])
+
+
+def test_quantiles_sort_no_column(spark):
+    """Rows of a group are counted, and only the rows of small buckets are ever put side by side."""
+    df = spark.range(20000).selectExpr("double(id % 7) as v", "id % 2 as g")
+    got = {(r.g, r.p): r["quantile"] for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert got == {(0, 0.5): 3.0, (1, 0.5): 3.0}
+    plan = exact_quantiles(df, "v", [0.5], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "raise_error" not in plan

@@ -1,72 +1,86 @@
-"""Exact quantiles with linear interpolation that never gather a whole column.
+"""Exact quantiles with linear interpolation by radix selection: counting passes, no sort of a column.
 
-A mergeable sketch brackets the wanted ranks; one more pass counts the values
-below each bracket and the distinct values inside it. Only the bracket, about a
-thousandth of the rows and one row per distinct value, is sorted.
+A double becomes a whole number of 64 bits in the same order. Each pass counts the rows of a bucket by their next twelve
+bits and steps into the bucket that holds the wanted rank, for all groups and ranks at once; counts combine before the shuffle
+and are at most 4,096 a bucket, however many rows it has. Passes end when every bucket that is left holds few rows, which are
+then put in order, or one value; that is after six passes at the latest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-_ACCURACY = 10_000
-_MARGIN = 5.0 / _ACCURACY
-_SMALL = 2 * _ACCURACY  # groups up to this size are bracketed whole: a margin of a few ranks is not enough there
+from tidemark.session import settled
+
+_SHIFTS = (52, 40, 28, 16, 4, 0)
+_FEW = 4096  # rows of a bucket that are put in order instead of counted again
+
+
+@F.arrow_udf(T.LongType())
+def _ordered_bits(values: pa.Array) -> pa.Array:
+    """Whole numbers in the order of the doubles, NaN above all."""
+    bits = values.to_numpy(zero_copy_only=False).astype(np.float64).view(np.int64)
+    return pa.array(np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits))
+
+
+def _match(left: Sequence[str], right: Sequence[str]) -> list[Column]:
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+
+
+def _select(rows: DataFrame, groups: list[str], wanted: DataFrame) -> DataFrame:
+    """``wanted`` (groups, ``rank``: whole, from 0) with ``value``, the row of that rank. ``rows``: groups, ``v``, ``s`` in order."""
+    held = [f"{g}_of" for g in groups]
+    at = wanted.select(*[F.col(g).alias(h) for g, h in zip(groups, held)], "rank", F.col("rank").alias("rest"), F.lit(0).cast("long").alias("prefix"))
+    before = None
+    for shift in _SHIFTS:
+        inside = rows.withColumn("in", F.lit(0).cast("long") if before is None else F.shiftright("s", before))
+        if before is not None:
+            buckets = at.select(*held, "prefix").distinct()
+            inside = inside.join(buckets, [*_match(groups, held), F.col("in") == F.col("prefix")], "left_semi")
+        counts = inside.groupBy(*groups, "in", F.shiftright("s", shift).alias("digit")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(W.partitionBy(*groups, "in").orderBy("digit").rowsBetween(W.unboundedPreceding, 0))
+        counts = counts.withColumn("upto", upto)
+        found = at.join(counts, [*_match(held, groups), F.col("prefix") == F.col("in"),
+                                 F.col("rest") < F.col("upto"), F.col("rest") >= F.col("upto") - F.col("n")])
+        at = settled(found.select(*held, "rank", (F.col("rest") - F.col("upto") + F.col("n")).alias("rest"), F.col("digit").alias("prefix"), F.col("n").alias("size")))
+        before = shift
+        largest = at.agg(F.max("size")).first()[0] or 0
+        at = at.drop("size")
+        if largest <= _FEW:
+            break
+    inside = rows.withColumn("in", F.shiftright("s", before))
+    inside = inside.join(at.select(*held, "prefix").distinct(), [*_match(groups, held), F.col("in") == F.col("prefix")], "left_semi")
+    # with all bits looked at, the rows of a bucket are equal
+    values = F.sort_array(F.collect_list("v")) if before else F.array(F.min("v"))
+    last = inside.groupBy(*groups, "in").agg(values.alias("values"))
+    place = F.col("rest") + 1 if before else F.lit(1)
+    return at.join(last, [*_match(held, groups), F.col("prefix") == F.col("in")]).select(
+        *[F.col(h).alias(g) for g, h in zip(groups, held)], "rank", F.element_at("values", place.cast("int")).alias("value"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, p, quantile)``, one row per group and probability; nulls are ignored."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    number = F.col(value).cast("double")
-    values = df.select(*by, number.alias("__v")).where(F.col("__v").isNotNull())
-    ranks = [max(p - _MARGIN, 0.0) for p in probs] + [min(p + _MARGIN, 1.0) for p in probs]
-    sketch = values.groupBy(*by).agg(
-        F.count("*").alias("n"), F.percentile_approx("__v", ranks, _ACCURACY).alias("q"))
-    large = F.col("n") > _SMALL
-    brackets = F.array(*[
-        F.struct(
-            F.lit(p).alias("p"),
-            (F.lit(p) * (F.col("n") - 1)).alias("rank"),
-            F.when(large & F.lit(ranks[i] > 0.0), F.col("q")[i]).alias("low"),
-            F.when(large & F.lit(ranks[i + len(probs)] < 1.0), F.col("q")[i + len(probs)]).alias("high"),
-        )
-        for i, p in enumerate(probs)
-    ])
-    if by:
-        sketch = sketch.select(*[F.col(c).alias(f"__{c}") for c in by], brackets.alias("__b"))
-        match = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
-        probed = values.join(sketch, match).select(*by, "__v", F.explode("__b").alias("b"))
-    else:
-        probed = values.select("__v", F.explode(sketch.select(brackets.alias("b")).scalar()).alias("b"))
-
-    below = F.col("__v") < F.col("b.low")
-    counted = (
-        probed.where(F.col("b.high").isNull() | (F.col("__v") <= F.col("b.high")))
-        .groupBy(*by, F.col("b.p").alias("p"), F.col("b.rank").alias("rank"),
-                 F.when(~F.coalesce(below, F.lit(False)), F.col("__v")).alias("v"))
-        .agg(F.count("*").alias("k"))
-    )
-    up_to = W.partitionBy(*by, "p").orderBy(F.asc_nulls_first("v")).rowsBetween(W.unboundedPreceding, 0)
-    floor, ceil = F.floor("rank"), F.ceil("rank")
-    ends = (
-        counted.withColumn("seen", F.sum("k").over(up_to))
-        .groupBy(*by, "p", "rank")
-        .agg(
-            F.min(F.when(F.col("seen") > floor, F.col("v"))).alias("v0"),
-            F.min(F.when(F.col("seen") > ceil, F.col("v"))).alias("v1"),
-            F.max(F.when(F.col("v").isNull(), F.col("seen"))).alias("skipped"),
-        )
-    )
-    missed = F.col("v0").isNull() | F.col("v1").isNull() | (F.col("skipped") > floor)
-    blend = F.col("v0") + (F.col("rank") - floor) * (F.col("v1") - F.col("v0"))
-    return ends.select(
-        *by, "p",
-        F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        .otherwise(blend).alias("quantile"),
-    )
+    """``(*by, p, quantile)``, one row per group and probability; nulls are ignored, NaN is above all numbers."""
+    groups = [f"__g{i}" for i in range(max(len(by), 1))]
+    names = [F.col(c).alias(g) for c, g in zip(by, groups)] or [F.lit(0).alias(groups[0])]
+    rows = df.select(*names, (F.col(value).cast("double") + 0.0).alias("v")).where("v is not null")
+    rows = settled(rows.withColumn("s", _ordered_bits("v")))
+    ranks = rows.groupBy(*groups).agg(F.count("*").alias("n")).select(
+        *groups, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "n").withColumn("exact", F.col("p") * (F.col("n") - 1))
+    ends = ranks.select(*groups, "p", F.explode(F.array(F.floor("exact"), F.ceil("exact"))).alias("rank"), "exact").distinct()
+    found = _select(rows, groups, ends.select(*groups, "rank").distinct())
+    out = ends.join(found.withColumnsRenamed({g: f"{g}_at" for g in groups} | {"rank": "rank_at"}),
+                    [*_match(groups, [f"{g}_at" for g in groups]), F.col("rank") == F.col("rank_at")])
+    # one row where the rank is whole, two where it lies between rows
+    out = out.groupBy(*groups, "p").agg(*[f("value", "rank").alias(n) for f, n in ((F.min_by, "low"), (F.max_by, "high"))],
+                                        F.max("exact").alias("exact"))
+    part = F.col("exact") - F.floor("exact")
+    # equal ends are the value itself, also where it is infinite
+    blend = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + part * (F.col("high") - F.col("low")))
+    return out.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "p", blend.alias("quantile"))
 
 
 def exact_median(df: DataFrame, value: str):
