@@ -98,9 +98,28 @@ def test_bootstrap(spark):
     assert lo < values.mean() < hi
     assert hi - lo == pytest.approx(2 * 1.96 * values.std(ddof=1) / 20, rel=0.15)
     assert (lo, hi) == pytest.approx(tuple(inf.bootstrap_ci(df.repartition(9), "car", "event_id").first()), abs=1e-12)
-    weights = inf.bootstrap_weights(df, "event_id").groupBy("rep").agg(F.sum("w").alias("w")).agg(
-        F.avg("w"), F.stddev("w")).first()
-    assert weights[0] == pytest.approx(400, rel=0.01) and weights[1] == pytest.approx(20, rel=0.15)
+
+
+def test_bootstrap_weights_are_independent_draws():
+    w = inf.poisson_weights(np.arange(3000) * 8 + 1, np.arange(400), 42)
+    assert w.mean() == pytest.approx(1, abs=0.005) and w.var() == pytest.approx(1, abs=0.01)
+    shares = np.bincount(w.ravel(), minlength=6)[:6] / w.size
+    assert shares == pytest.approx([np.exp(-1) / k for k in (1, 1, 2, 6, 24, 120)], abs=0.003)
+    # neither neighbouring replicates nor neighbouring rows, at several distances, go together
+    for lag in (1, 2, 7, 64):
+        for a, b in ((w[:-lag], w[lag:]), (w[:, :-lag], w[:, lag:]), (w[:-lag, lag:], w[lag:, :-lag])):
+            assert abs(np.corrcoef(a.ravel(), b.ravel())[0, 1]) < 0.006
+    by_replicate, by_row = w.sum(axis=0), w.sum(axis=1)
+    assert by_replicate.std() == pytest.approx(3000 ** 0.5, rel=0.12) and by_row.std() == pytest.approx(20, rel=0.06)
+    assert not np.array_equal(w, inf.poisson_weights(np.arange(3000) * 8 + 1, np.arange(400), 43))
+    odd = inf.poisson_weights(np.array([-5, inf.PRIME - 5, 2 ** 62]), np.arange(10), 42)
+    assert np.array_equal(odd[0], odd[1]) and odd.min() >= 0
+
+
+def test_bootstrap_expands_no_rows(spark):
+    plan = inf.bootstrap_means(column(spark, [1.0, 2.0]), "car", "event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert inf.bootstrap_ci(column(spark, [1.0]).where("car > 5"), "car", "event_id").first() == (None, None)
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 30_011])

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.distributions import normal_p_value, t_p_value
@@ -68,42 +73,57 @@ def simple_regression(df: DataFrame, x: str, y: str, min_n: int = 6) -> DataFram
     return fit.withColumn("t", t).withColumn("p", t_p_value("t", F.col("n") - 2.0))
 
 
-def _poisson_weight(uniform: Column) -> Column:
-    """Poisson(1) by inversion: one comparison per step of the distribution function."""
-    mass, total, steps = 2.718281828459045 ** -1, 0.0, []
-    for k in range(1, 19):
-        total += mass
-        steps.append((uniform >= total).cast("int"))
-        mass /= k
-    weight = steps[0]
-    for step in steps[1:]:
-        weight = weight + step
-    return weight
+# A generator in whole numbers below 2**31, which any engine with 64-bit integers repeats exactly: powers of five are
+# a permutation modulo the prime, and the two sums of row and replicate tell every pair apart.
+PRIME = 2147483647
+FACTORS = (48271, 69621), (39373, 1234567)
+STEP, PLUS = 16807, 1013904223
+POISSON_STEPS = tuple(int(PRIME * sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1))) for k in range(10))
+_ROWS = 256  # rows whose weights in all replicates are held at once
+
 
+def poisson_weights(ids: np.ndarray, replicates: np.ndarray, seed: int) -> np.ndarray:
+    """Poisson(1) weights of rows (first axis) in replicates, from nothing but their numbers."""
+    fifth = lambda x: x * x % PRIME * (x * x % PRIME) % PRIME * x % PRIME
+    row, rep = (ids.astype(np.int64) % PRIME)[:, None], replicates.astype(np.int64)[None, :] + 1
+    x = fifth((row * FACTORS[0][0] + rep * FACTORS[0][1] + seed) % PRIME)
+    x = fifth((x * STEP + row * FACTORS[1][0] + rep * FACTORS[1][1] + PLUS) % PRIME)
+    return np.searchsorted(np.array(POISSON_STEPS), x, side="right")
 
-def bootstrap_weights(df: DataFrame, row_id: str, replicates: int = BOOTSTRAP_REPLICATES,
-                      seed: int = BOOTSTRAP_SEED) -> DataFrame:
-    """One row per input row and replicate with its resampling weight ``w`` > 0.
 
-    Weights are independent Poisson(1) draws, the distributed form of resampling
-    with replacement. Each is a hash of (seed, replicate, row id), so the result
-    does not depend on partitioning and a lost task recomputes the same draws.
+def bootstrap_sums(df: DataFrame, row_id: str, columns: Mapping[str, Column], replicates: int = BOOTSTRAP_REPLICATES,
+                   seed: int = BOOTSTRAP_SEED) -> DataFrame:
+    """``rep, w`` (sum of weights) and each column's weighted sum, one row per replicate.
+
+    Weights are independent Poisson(1) draws, the distributed form of resampling with replacement. They follow from the
+    row's number and the replicate's, so the result does not depend on partitioning and a lost task draws the same.
+    A task adds up one array of all replicates and passes that on: nothing is expanded to a row per row and replicate.
     """
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "rep", row_id), 11)
-               * F.lit(2.0 ** -53))
-    return (
-        df.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        .withColumn("w", _poisson_weight(uniform))
-        .where("w > 0")
-    )
+    names = list(columns)
+
+    def add_up(batches):
+        reps = np.arange(replicates)
+        sums, any_row = np.zeros((replicates, len(names) + 1)), False
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            values = np.column_stack([np.ones(len(ids)), *[c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]])
+            any_row |= len(ids) > 0
+            for at in range(0, len(ids), _ROWS):
+                sums += poisson_weights(ids[at:at + _ROWS], reps, seed).T @ values[at:at + _ROWS]
+        if any_row:
+            yield pa.RecordBatch.from_arrays([pa.array(reps), *[pa.array(sums[:, k].copy()) for k in range(sums.shape[1])]], ["rep", "w", *names])
+
+    rows = df.select(F.coalesce(F.col(row_id).cast("long"), F.lit(0)).alias(row_id), *[c.cast("double").alias(n) for n, c in columns.items()])
+    fields = ", ".join(f"{n} double" for n in ("w", *names))
+    return rows.mapInArrow(add_up, f"rep long, {fields}").groupBy("rep").agg(*[F.sum(n).alias(n) for n in ("w", *names)])
 
 
 def bootstrap_means(df: DataFrame, value: str, row_id: str, replicates: int = BOOTSTRAP_REPLICATES,
                     seed: int = BOOTSTRAP_SEED) -> DataFrame:
-    """``(rep, mean)``: the replicates are pre-aggregated in each task before the shuffle."""
-    present = df.where(F.col(value).isNotNull()).select(row_id, F.col(value).alias("__x"))
-    return bootstrap_weights(present, row_id, replicates, seed).groupBy("rep").agg(
-        (F.sum(F.col("w") * F.col("__x")) / F.sum("w")).alias("mean"))
+    """``(rep, mean)``; a replicate that draws no row has none."""
+    present = df.where(F.col(value).isNotNull())
+    return bootstrap_sums(present, row_id, {"total": F.col(value)}, replicates, seed).select(
+        "rep", F.try_divide("total", "w").alias("mean"))
 
 
 def bootstrap_ci(df: DataFrame, value: str, row_id: str, level: float = 0.95,
@@ -129,11 +149,9 @@ def regression_band(df: DataFrame, x: str, y: str, row_id: str, points: int = 10
     ).alias("f")).scalar()
     # centred sums keep the weighted normal equations well conditioned
     centred = pairs.select(row_id, (F.col("__x") - frame["cx"]).alias("dx"), (F.col("__y") - frame["cy"]).alias("dy"))
-    w, dx, dy = F.col("w"), F.col("dx"), F.col("dy")
-    sums = bootstrap_weights(centred, row_id, replicates, seed).groupBy("rep").agg(
-        F.sum(w).alias("sw"), F.sum(w * dx).alias("sx"), F.sum(w * dy).alias("sy"),
-        F.sum(w * dx * dx).alias("sxx"), F.sum(w * dx * dy).alias("sxy"))
-    spread = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("sw")
+    dx, dy = F.col("dx"), F.col("dy")
+    sums = bootstrap_sums(centred, row_id, {"sx": dx, "sy": dy, "sxx": dx * dx, "sxy": dx * dy}, replicates, seed).withColumnRenamed("w", "sw")
+    spread = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), F.col("sw"))
     slope = F.when(spread > 0, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("sw")) / spread)
     lines = sums.withColumn("b", slope).where("b is not null").select(
         "b", ((F.col("sy") - F.col("b") * F.col("sx")) / F.col("sw")).alias("a"))

@@ -313,7 +313,25 @@ def _(spark, folder):
     return inf.t_test_one_sample(headline(spark, folder), "car")
 
 
-@query("T3_bootstrap_ci", "ci_lo:f ci_hi:f")
+def _fifth(x: str) -> str:
+    return f"({x} * {x} % {inf.PRIME}) * ({x} * {x} % {inf.PRIME}) % {inf.PRIME} * {x} % {inf.PRIME}"
+
+
+def _drawn(rows: str) -> str:
+    """Rows (with ``event_id``) by replicate ``r`` with their weight ``w``: the generator once more, in SQL."""
+    (a, b), (c, d) = inf.FACTORS
+    weight = " + ".join(f"CAST(x >= {t} AS INT)" for t in inf.POISSON_STEPS)
+    return f"""(SELECT *, {weight} AS w FROM (
+        SELECT * EXCLUDE (x), {_fifth("x")} AS x FROM (
+        SELECT * EXCLUDE (x), (x * {inf.STEP} + id * {c} + r * {d} + {inf.PLUS}) % {inf.PRIME} AS x FROM (
+        SELECT * EXCLUDE (x), {_fifth("x")} AS x FROM (
+        SELECT t.*, id, r, (id * {a} + r * {b} + {inf.BOOTSTRAP_SEED}) % {inf.PRIME} AS x
+        FROM (SELECT *, ((event_id % {inf.PRIME}) + {inf.PRIME}) % {inf.PRIME} AS id FROM ({rows})) t, range(1, {inf.BOOTSTRAP_REPLICATES + 1}) AS g(r))))))"""
+
+
+@query("T3_bootstrap_ci", "ci_lo:f ci_hi:f", statement(
+    f"""SELECT quantile_cont(mean, 0.025) AS ci_lo, quantile_cont(mean, 0.975) AS ci_hi
+        FROM (SELECT r, sum(w * car) / sum(w) AS mean FROM {_drawn("SELECT event_id, car FROM headline WHERE car IS NOT NULL")} GROUP BY r)"""))
 def _(spark, folder):
     return inf.bootstrap_ci(headline(spark, folder), "car", "event_id")
 
@@ -419,7 +437,19 @@ def _(spark, folder):
     return band.withColumn("inside", F.col("fit").between(F.col("lo"), F.col("hi")))
 
 
-@query("T7_regression_band", "x:f fit:f lo:f hi:f")
+_SIZE_EVENTS = _SIZE_SQL.replace("SELECT ln", "SELECT event_id, ln", 1)
+
+
+@query("T7_regression_band", "x:f fit:f lo:f hi:f", statement(
+    f"""WITH pairs AS ({_SIZE_EVENTS}),
+             frame AS (SELECT min(x) AS low, max(x) AS high, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, avg(x) AS cx, avg(y) AS cy FROM pairs),
+             sums AS (SELECT r, sum(w) AS sw, sum(w * dx) AS sx, sum(w * dy) AS sy, sum(w * dx * dx) AS sxx, sum(w * dx * dy) AS sxy
+                      FROM {_drawn("SELECT event_id, x - cx AS dx, y - cy AS dy FROM pairs, frame")} GROUP BY r),
+             lines AS (SELECT r, (sxy - sx * sy / sw) / (sxx - sx * sx / sw) AS b, sw, sx, sy FROM sums),
+             grid AS (SELECT low + k * (high - low) / 99 AS x FROM frame, range(100) AS g(k))
+        SELECT x, any_value(intercept + slope * x) AS fit, quantile_cont(cy + (sy - b * sx) / sw + b * (x - cx), 0.025) AS lo,
+               quantile_cont(cy + (sy - b * sx) / sw + b * (x - cx), 0.975) AS hi
+        FROM grid, lines, frame GROUP BY x""".replace("WITH pairs", "SELECT * FROM (WITH pairs", 1) + ")"))
 def _(spark, folder):
     return inf.regression_band(settled(size_pairs(spark, folder)), "x_size", "y", "event_id")
 
