@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tidemark.functions.windows import check_windows, parse_windows, window_key,
 from tidemark.operators import calendar as cal
 from tidemark.operators import eventstudy as es
 from tidemark.operators import features as ft
+from tidemark.operators import reporting as rep
 from tidemark.operators import returns as ret
 
 MONDAY = dt.date(2024, 1, 1)
@@ -251,3 +253,22 @@ def test_two_indexes_need_a_name(spark):
     with pytest.raises(Exception, match="one row per date"):
         cal.trading_calendar(both)
     assert [r.adj_close for r in cal.trading_calendar(both, symbol="B").orderBy("idx").collect()] == [7.0, 8.0, 9.0, 10.0, 11.0]
+
+
+@pytest.mark.parametrize("values", [
+    list(np.random.default_rng(1).normal(size=3000)), list(np.random.default_rng(2).standard_t(1.1, size=800)), [0.0] * 500 + [1000.0], [3.0, 4.0]])
+def test_density_equals_the_sum_of_kernels(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+    got = sorted((r.i, r.x, r.density) for r in rep.kernel_density(df, "v", 50).collect())
+    v = np.array(values)
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), 50)
+    want = np.exp(-0.5 * ((x[:, None] - v[None, :]) / h) ** 2).mean(axis=1) / (h * np.sqrt(2 * np.pi))
+    assert [i for i, _, _ in got] == list(range(50)) and [g[1] for g in got] == pytest.approx(list(x))
+    assert np.abs(np.array([g[2] for g in got]) - want).max() * h < 1e-11
+
+
+def test_density_without_spread_or_rows(spark):
+    df = spark.createDataFrame([(2.0,)] * 3, "v double")
+    assert [r.density for r in rep.kernel_density(df, "v", 4).collect()] == [None] * 4
+    assert rep.kernel_density(df.where("v > 5"), "v", 4).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -83,11 +85,27 @@ def histogram(df: DataFrame, value: str, bins: int = HISTOGRAM_BINS) -> DataFram
         F.coalesce("k", F.lit(0)).cast("long").alias("n"))
 
 
+_MOMENTS = 12
+_REACH = 9  # bandwidths: a kernel is below 3e-18 beyond
+
+
+def _hermite(terms: int) -> list[list[float]]:
+    """Coefficients by power of the Hermite polynomials, each divided by its factorial."""
+    rows = [[1.0], [0.0, 1.0]]
+    for k in range(1, terms - 1):
+        up, down = [0.0, *rows[k]], [*rows[k - 1], 0.0, 0.0]
+        rows.append([a - k * b for a, b in zip(up, down)])
+    return [[c / math.factorial(k) for c in row] for k, row in enumerate(rows[:terms])]
+
+
 def kernel_density(df: DataFrame, value: str, points: int = KDE_POINTS) -> DataFrame:
-    """``i, x, density``: Gaussian kernel, Scott bandwidth, even grid from minimum to maximum.
+    """``i, x, density``: Gaussian kernel, Scott bandwidth h, even grid from minimum to maximum.
 
-    Each row adds its kernel to every grid point inside its own task; only one
-    partial sum per grid point and task is shuffled.
+    Rows go to boxes half a bandwidth wide, of which twelve moments are kept: with d the distance of a row from the middle
+    and z that of a grid point, in bandwidths, the kernel exp(-(z - d)^2 / 2) is exp(-z^2 / 2) times the sum of He_k(z) d^k / k!,
+    so a box adds a polynomial of z to the grid points within nine bandwidths. What is left out of a row's kernel is at
+    most 1.09 (1/4)^12 / sqrt(12!) < 3.1e-12 of its height, by the bound on Hermite functions. Work grows with the rows plus
+    the boxes, of which there are at most 2 (maximum - minimum) / h.
     """
     number = df.select(F.col(value).cast("double").alias("__v")).where("__v is not null")
     frame = number.agg(F.struct(
@@ -95,15 +113,30 @@ def kernel_density(df: DataFrame, value: str, points: int = KDE_POINTS) -> DataF
         (F.stddev_samp("__v") * F.pow(F.count("*"), F.lit(-0.2))).alias("h"),
     ).alias("f")).scalar()
     step = (frame["hi"] - frame["lo"]) / F.lit(float(points - 1))
-    x = frame["lo"] + F.col("i") * step
-    u = F.try_divide(x - F.col("__v"), frame["h"])
-    return (
-        number.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("i")
-        .agg(F.sum(F.exp(u * u * -0.5)).alias("k"))
-        .select("i", x.alias("x"),
-                F.try_divide(F.col("k"), frame["n"] * frame["h"] * F.sqrt(F.lit(2.0) * F.pi())).alias("density"))
-    )
+    place = F.try_divide(F.col("__v") - frame["lo"], frame["h"]) * 2
+    rows = number.select(F.floor(place).alias("box"), ((place - F.floor(place) - 0.5) / 2).alias("d"))
+    power = F.lit(1.0)
+    for k in range(_MOMENTS):
+        rows = rows.withColumn(f"d{k}", power)
+        power = F.col(f"d{k}") * F.col("d")
+    boxes = rows.where("box is not null").groupBy("box").agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in range(_MOMENTS)])
+    hermite = _hermite(_MOMENTS)
+    by_power = [F.array(*[F.lit(row[j] if j < len(row) else 0.0) * F.col(f"d{k}") for k, row in enumerate(hermite)]) for j in range(_MOMENTS)]
+    boxes = boxes.select(((F.col("box") + 0.5) / 2).alias("middle"), *[
+        F.aggregate(terms, F.lit(0.0), lambda a, t: a + t).alias(f"a{j}") for j, terms in enumerate(by_power)])
+    # grid points near a box; distances in bandwidths from the minimum
+    pace = F.try_divide(step, frame["h"])
+    first = F.greatest(F.ceil(F.try_divide(F.col("middle") - _REACH, pace)), F.lit(0))
+    last = F.least(F.floor(F.try_divide(F.col("middle") + _REACH, pace)), F.lit(points - 1))
+    near = boxes.withColumn("i", F.explode(F.when(first <= last, F.sequence(first, last)))).withColumn("z", F.col("i") * pace - F.col("middle"))
+    total = F.lit(0.0)
+    for j in reversed(range(_MOMENTS)):
+        total = total * F.col("z") + F.col(f"a{j}")
+    sums = near.groupBy("i").agg(F.sum(total * F.exp(F.col("z") * F.col("z") * -0.5)).alias("k"))
+    grid = df.sparkSession.range(points).withColumnRenamed("id", "i").where(frame["n"] > 0)
+    return grid.join(sums, "i", "left").select(
+        F.col("i").cast("int").alias("i"), (frame["lo"] + F.col("i") * step).alias("x"),
+        F.try_divide(F.coalesce("k", F.lit(0.0)), frame["n"] * frame["h"] * F.sqrt(F.lit(2.0) * F.pi())).alias("density"))
 
 
 def clip_range(df: DataFrame, value: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
