@@ -318,3 +318,25 @@ def test_scratch_is_released(spark):
     assert frame.count() == 5 and len(made) == 2 and os.path.isdir(made[0].removeprefix("file:"))
     release_paths(spark, made)
     assert made == [] and scratch_mark() == mark
+
+
+def test_upsert_reads_and_writes_only_the_parts_of_its_batch(spark, tmp_path):
+    import os
+
+    path, schema = str(tmp_path / "t"), "k int, v string, year int"
+    rows = [(y * 10 + i, None if i % 2 else f"old{i}", y) for y in (2020, 2021, 2022) for i in range(4)]
+    wr.replace_table(spark.createDataFrame(rows, schema), path, ["year"])
+    files = lambda: {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.startswith("part")}
+    before = files()
+    batch = spark.createDataFrame([(20210, "no", 2021), (20211, "b", 2021), (20211, "a", 2021), (20219, "new", 2021), (20300, "next", 2030)], schema)
+    for _ in range(2):
+        assert wr.upsert_parts(spark, path, schema, batch, ["k"], ["v"], "year") == [2021, 2030]
+        got = {r.k: r.v for r in wr.read_table(spark, path, schema).collect()}
+        assert got == {k: v for k, v, _ in rows} | {20211: "a", 20219: "new", 20300: "next"}
+    after = files()
+    assert all(after.get(f) == t for f, t in before.items() if "year=2021" not in f)
+    assert not any(f in after for f in before if "year=2021" in f)
+    # files of other parts are not listed for the scan
+    text = wr.read_table(spark, path, schema).where(F.col("year").isin([2021, 2030]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [year" in text
+    assert wr.upsert_parts(spark, path, schema, batch.where("k < 0"), ["k"], ["v"], "year") == [] and files() == after

@@ -307,15 +307,19 @@ EVENT_MERGE = {
 }
 
 
-@query("S3_upsert_fill_nulls", "company_id:l announcement_date:s employees_laid_off:l percentage_laid_off:f stage:s",
-       statement("""SELECT company_id, announcement_date,
+_UPSERT_SPEC = "company_id:l announcement_date:s employees_laid_off:l percentage_laid_off:f stage:s"
+_UPSERT_SQL = statement("""SELECT company_id, announcement_date,
                            coalesce(e.employees_laid_off, i.employees_laid_off) AS employees_laid_off,
                            coalesce(e.percentage_laid_off, i.percentage_laid_off) AS percentage_laid_off,
                            coalesce(e.stage, i.stage) AS stage
                     FROM all_events e FULL OUTER JOIN folded_events i USING (company_id, announcement_date)""",
-                 EVENT_MERGE))
-def _(spark, folder):
-    keys, columns = ["company_id", "announcement_date"], ["employees_laid_off", "percentage_laid_off", "stage"]
+                        EVENT_MERGE)
+_UPSERT_KEYS, _UPSERT_COLUMNS = ["company_id", "announcement_date"], ["employees_laid_off", "percentage_laid_off", "stage"]
+
+
+def _event_batch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored events, and a later batch of which some rows are a day off."""
+    keys, columns = _UPSERT_KEYS, _UPSERT_COLUMNS
     orders = wh.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("event_id"), "o_orderstatus", "o_totalprice")
     status = F.col("o_orderstatus")
@@ -327,7 +331,24 @@ def _(spark, folder):
         F.when(status != "F", 0.5).alias("percentage_laid_off"),
         F.concat(F.lit("batch "), status).alias("stage"))
     stored = wh.events(spark, folder).select(*keys, *columns)
-    return mg.upsert_fill_nulls(stored, batch, keys, columns, [F.col("event_id")])
+    return stored, batch
+
+
+@query("S3_upsert_fill_nulls", _UPSERT_SPEC, _UPSERT_SQL)
+def _(spark, folder):
+    return mg.upsert_fill_nulls(*_event_batch(spark, folder), _UPSERT_KEYS, _UPSERT_COLUMNS, [F.col("event_id")])
+
+
+@query("S3_upsert_parts", _UPSERT_SPEC, _UPSERT_SQL)
+def _(spark, folder):
+    """The same load into a table laid out by year: once for each half of the batch, which touch different years."""
+    path, schema = scratch_path(spark, "events-by-year"), "company_id long, announcement_date date, employees_laid_off int, percentage_laid_off double, stage string, year int"
+    stored, batch = (df.withColumn("year", F.year("announcement_date")) for df in _event_batch(spark, folder))
+    wr.replace_table(stored, path, ["year"])
+    batch = settled(batch)
+    for odd in (0, 1):
+        wr.upsert_parts(spark, path, schema, batch.where(F.col("year") % 2 == odd), _UPSERT_KEYS, _UPSERT_COLUMNS, "year", [F.col("event_id")])
+    return wr.read_table(spark, path, schema)
 
 
 @query("S4_surrogate_key", "company_id:l company_name:s", statement(

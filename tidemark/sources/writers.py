@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.operators.dedupe import first_non_null
 from tidemark.operators.forest import Forest
-from tidemark.operators.merge import new_rows
+from tidemark.operators.merge import new_rows, upsert_fill_nulls
+from tidemark.session import settled
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -28,6 +30,23 @@ def append_new(spark: SparkSession, path: str, schema: str, incoming: DataFrame,
     new_rows(stored, incoming, keys).write.mode("append").parquet(path)
 
 
+def upsert_parts(spark: SparkSession, path: str, schema: str, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                 part: str, order: Sequence[Column] | None = None) -> list:
+    """Fill nulls of stored rows and add new ones in a table laid out by ``part``; returns the parts that were written.
+
+    ``part`` is a column of the table and the batch that follows from the key, such as the year of a date. Only parts
+    that the batch has rows for are read and written again; every other file stays as it is. The new rows of the touched parts are
+    written beside the table first, and then put in place part by part, so the same load run again gives the same table.
+    """
+    batch = settled(first_non_null(incoming, [*keys, part], columns, order or [F.col(c) for c in columns]))
+    touched = sorted(r[0] for r in batch.select(part).distinct().collect())  # as many as the table has folders
+    stored = read_table(spark, path, schema).where(F.col(part).isin(touched))
+    merged = settled(upsert_fill_nulls(stored, batch, [*keys, part], columns))
+    # files by part; a part with many rows is split, small ones share a task
+    merged.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    return touched
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Recompute: drop every stored row and write the new ones. ``df`` must not read from ``path``."""
     writer = df.write.mode("overwrite")
