@@ -340,3 +340,37 @@ def test_upsert_reads_and_writes_only_the_parts_of_its_batch(spark, tmp_path):
     text = wr.read_table(spark, path, schema).where(F.col("year").isin([2021, 2030]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [year" in text
     assert wr.upsert_parts(spark, path, schema, batch.where("k < 0"), ["k"], ["v"], "year") == [] and files() == after
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """Records with doubled quotes, commas and up to many line breaks in cells, cut anywhere by byte ranges."""
+    import csv
+    import random
+
+    rng = random.Random(4)
+    cells = ["plain", "", " padded ", 'say ""', '"', "a,b", "x\ny", "\n\n", 'q"\n"q', "long\n" * 40, "é 漢", "tail\r\nmore"]
+    rows = [[str(i), *(rng.choice(cells) for _ in range(3))] for i in range(1500)]
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for name, part, end in (("a.csv", rows[:1200], "\n"), ("b.csv", rows[1200:], "\r\n")):
+        with open(folder / name, "w", newline="", encoding="utf-8") as f:
+            csv.writer(f, lineterminator=end).writerows([["id", "One", " Two", "three"], *part])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096"), spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = rd.read_split_csv(spark, str(folder))
+        lines = spark.read.text(str(folder)).rdd.getNumPartitions()
+        result = sorted((tuple(r) for r in got.collect()), key=lambda r: int(r[0]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0]), spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert lines > 10 and got.columns == ["id", "One", " Two", "three"]
+    want = [tuple(c or None for c in r) for r in rows]
+    assert [tuple(c or None for c in r) for r in result] == want
+
+
+def test_split_csv_equals_the_plain_reader(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    with open(path, "w") as f:
+        f.write('a,b\n1,"x\ny"\n\n2,\n3,"q""q"\n4,"",5\n')
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(rd.read_split_csv(spark, path)) == rows(rd.read_events_csv(spark, path))

@@ -128,14 +128,26 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return rd.clean_events(raw_events(spark, folder))
 
 
-@query("S1_read_events_csv", _TEXT_SPEC, statement(
-    "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADER) + " FROM raw_text", RAW))
+_READ_SQL = statement("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADER) + " FROM raw_text", RAW)
+
+
+def _written_csv(spark: SparkSession, folder: str, files: int | None = None) -> str:
+    path, raw = scratch_path(spark, "raw-events"), raw_events(spark, folder)
+    (raw if files is None else raw.repartition(files)).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+@query("S1_read_events_csv", _TEXT_SPEC, _READ_SQL)
 def _(spark, folder):
     """Written as CSV and read back; padding, quotes and line breaks survive, empty cells are null."""
-    path = scratch_path(spark, "raw-events")
-    raw_events(spark, folder).write.options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    return rd.normalise_columns(rd.read_events_csv(spark, path))
+    return rd.normalise_columns(rd.read_events_csv(spark, _written_csv(spark, folder)))
+
+
+@query("S1_read_split_csv", _TEXT_SPEC, _READ_SQL)
+def _(spark, folder):
+    """Written as two CSV files, each of which many tasks read, with line breaks in cells."""
+    return rd.normalise_columns(rd.read_split_csv(spark, _written_csv(spark, folder, 2)))
 
 
 @query("P1_normalise_columns", "company:s num_laid_off:s pct_laid_off:s funds_raised:s", statement(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.cleaning import (
     clean_text, normalise_key, parse_date, snake_case, to_int, to_number, to_percent,
 )
 from tidemark.operators.dedupe import keep_most_complete
+from tidemark.session import settled
 from tidemark.sources.schemas import MARKET_SYMBOL
 
 
@@ -31,6 +32,47 @@ def read_events_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
                               ignoreTrailingWhiteSpace=False).schema(schema).csv(path)
 
 
+def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_events_csv``, for files of any size with line breaks inside cells: many tasks read one file.
+
+    Byte ranges are read as lines. Whether a line starts a record depends on how many quotes come before it in its file: each range
+    counts its own, and a running sum over the ranges (a row each) says in which state a range begins. Lines between two
+    starts are one record, which also holds across ranges; only records of several lines are put together, all others are
+    parsed where they were read. Quotes must be paired, as RFC 4180 has it; a lone quote inside a bare cell is for
+    ``read_events_csv``. A path with several files may give them in any order; each has a header.
+    """
+    columns = csv_header(spark, path)
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    lines = settled(lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))))
+    before = F.coalesce(F.sum("quotes").over(W.partitionBy("file", "range").orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.withColumn("inner", before % 2)
+    # one row per range: its quotes, and the last line that starts a record in either state
+    ranges = lines.groupBy("file", "range").agg(F.sum("quotes").alias("quotes"), F.min(F.struct("range", "at")).alias("low"), *[
+        F.max(F.when(F.col("inner") == k, F.struct("range", "at"))).alias(f"last{k}") for k in (0, 1)])
+    so_far = W.partitionBy("file").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("state", F.coalesce(F.sum("quotes").over(so_far), F.lit(0)) % 2)
+    open_record = F.last(F.when(F.col("state") == 0, F.col("last0")).otherwise(F.col("last1")), ignorenulls=True).over(so_far)
+    header = F.min("low").over(W.partitionBy("file"))
+    ranges = settled(ranges.select("file", "range", "state", open_record.alias("open"), header.alias("header")))
+    placed = lines.join(ranges, ["file", "range"])
+    starts = F.col("inner") == F.col("state")
+    own = W.partitionBy("file", "range").orderBy("at")
+    record = F.coalesce(F.last(F.when(starts, F.struct("range", "at")), ignorenulls=True).over(own), F.col("open"))
+    # a record ends with its first line unless that leaves a quote open
+    whole = starts & (F.col("quotes") % 2 == 0)
+    placed = settled(placed.select("file", "range", "at", "line", whole.alias("whole"), record.alias("record"), "header").where("record <> header"))
+    joined = placed.where("not whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("range", "at", "line"))).alias("parts"))
+    joined = joined.select(F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("text"))
+    rows = placed.where("whole").select(F.col("line").alias("text")).unionAll(joined)
+    rows = rows.select(F.regexp_replace("text", "\r$", "").alias("text")).where("text <> ''")
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))])
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return rows.select(F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), options).alias("cells")).select(
+        *[F.col(f"cells.c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
