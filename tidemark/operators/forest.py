@@ -146,16 +146,16 @@ def _ordered(code: np.ndarray, node: np.ndarray, m: int) -> np.ndarray:
     return order[np.argsort(node[order].astype(np.uint16 if m < 1 << 16 else np.int64), kind="stable")]
 
 
-def _split_level(codes, one, weight, node, m, columns, binary):
+def _split_level(codes, base, one, weight, node, m, columns, binary):
     """The best split of each of m nodes over its given columns: column (-1: none), cut (left: up to it) and gain.
 
     Gains are compared by nine digits, so that equal ones are ties in whatever order sums were made; the first column wins.
+    ``codes`` is flat; a row's begin at its ``base``.
     """
-    total, ones = np.bincount(node, weight, m), np.bincount(node, one, m)
+    total, ones, count = np.bincount(node, weight, m), np.bincount(node, one, m), np.bincount(node, minlength=m)
     two = lambda ones, total: (ones ** 2 + (total - ones) ** 2) / total
     parent = two(ones, total)
     best, cut, gain = np.full(m, -1), np.zeros(m, np.int64), np.full(m, -np.inf)
-    rows = np.arange(len(node))
 
     def take(nodes, column, value, score):
         better = score > gain[nodes]
@@ -164,26 +164,28 @@ def _split_level(codes, one, weight, node, m, columns, binary):
 
     for k in range(columns.shape[1]):
         column = columns[:, k]
-        code = codes[rows, column[node]]
+        code = codes.take(base + column.take(node))
         # columns of two values: one count
         flags = binary[column]
-        low = np.flatnonzero(flags[node] & (code == 0))
-        left, left_one, n_left = (np.bincount(node[low], v, m) for v in (weight[low], one[low], np.ones(len(low))))
-        mine = np.flatnonzero(flags & (n_left > 0) & (n_left < np.bincount(node, minlength=m)))
+        flagged = flags.take(node)
+        low = np.flatnonzero(flagged & (code == 0))
+        of = node.take(low)
+        left, left_one, n_left = np.bincount(of, weight.take(low), m), np.bincount(of, one.take(low), m), np.bincount(of, minlength=m)
+        mine = np.flatnonzero(flags & (n_left > 0) & (n_left < count))
         l, l1 = left[mine], left_one[mine]
         take(mine, column, np.zeros(len(mine), np.int64), np.round(two(l1, l) + two(ones[mine] - l1, total[mine] - l) - parent[mine], 9))
         # the others: rows in order of node and code, and a split wherever the code changes
-        mine = np.flatnonzero(~flags[node])
+        mine = np.flatnonzero(~flagged)
         if not len(mine):
             continue
-        order = mine[_ordered(code[mine], node[mine], m)]
-        at, value = node[order], code[order]
+        order = mine[_ordered(code.take(mine), node.take(mine), m)]
+        at, value = node.take(order), code.take(order)
         edge = np.flatnonzero((at[1:] == at[:-1]) & (value[1:] != value[:-1]))
         if not len(edge):
             continue
         of = at[edge]
         before = [np.cumsum(np.where(flags, 0, v)) - np.where(flags, 0, v) for v in (total, ones)]
-        left, left_one = np.cumsum(weight[order])[edge] - before[0][of], np.cumsum(one[order])[edge] - before[1][of]
+        left, left_one = np.cumsum(weight.take(order))[edge] - before[0][of], np.cumsum(one.take(order))[edge] - before[1][of]
         score = np.round(two(left_one, left) + two(ones[of] - left_one, total[of] - left) - parent[of], 9)
         first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         top = np.maximum.reduceat(score, first)
@@ -195,7 +197,9 @@ def _split_level(codes, one, weight, node, m, columns, binary):
 
 def _grow(codes, one, weight, seed: int, tree: int, top: int, depth: int | None) -> dict[str, np.ndarray]:
     """All nodes of the tree over these rows: feature (-1: a leaf), cut, left, right, p, gain. Node 0 is its root."""
-    tries, binary = max(1, int(codes.shape[1] ** 0.5)), codes.max(axis=0) < 2
+    width = codes.shape[1]
+    tries, binary = max(1, int(width ** 0.5)), codes.max(axis=0) < 2
+    codes, base = codes.ravel(), np.arange(len(one)) * width
     feature, cuts, left, right, share, gains = ([] for _ in range(6))
     node, active, made, level = np.zeros(len(one), np.int64), np.array([0]), 1, 0
     while len(active):
@@ -204,14 +208,15 @@ def _grow(codes, one, weight, seed: int, tree: int, top: int, depth: int | None)
         p = ones / total
         best, cut, gain = np.full(m, -1), np.zeros(m, np.int64), np.zeros(m)
         open_ = np.flatnonzero((np.bincount(node, one > 0, m) > 0) & (np.bincount(node, one == 0, m) > 0) & (depth is None or level < depth))
-        order = _order_of_columns(codes.shape[1], seed, tree, top, active[open_])
-        for k in range(0, codes.shape[1], tries):  # further columns where none of these tells the rows apart
+        order = _order_of_columns(width, seed, tree, top, active[open_])
+        for k in range(0, width, tries):  # further columns where none of these tells the rows apart
             if not len(open_):
                 break
             place = np.full(m, -1)
             place[open_] = np.arange(len(open_))
-            rows = np.flatnonzero(place[node] >= 0)
-            b, c, g = _split_level(codes[rows], one[rows], weight[rows], place[node[rows]], len(open_), order[:, k:k + tries], binary)
+            at = place.take(node)
+            rows = np.flatnonzero(at >= 0)
+            b, c, g = _split_level(codes, base.take(rows), one.take(rows), weight.take(rows), at.take(rows), len(open_), order[:, k:k + tries], binary)
             best[open_], cut[open_], gain[open_] = b, c, np.where(b >= 0, g, 0)
             open_, order = open_[b < 0], order[b < 0]
         splits = np.flatnonzero(best >= 0)
@@ -219,9 +224,9 @@ def _grow(codes, one, weight, seed: int, tree: int, top: int, depth: int | None)
         child[splits] = made + 2 * np.arange(len(splits))
         for held, new in ((feature, best), (cuts, cut), (left, child), (right, np.where(child >= 0, child + 1, -1)), (share, p), (gains, gain)):
             held.append(new)
-        rows = np.flatnonzero(best[node] >= 0)
-        codes, one, weight, node = codes[rows], one[rows], weight[rows], node[rows]
-        side = codes[np.arange(len(node)), best[node]] > cut[node]
+        rows = np.flatnonzero(best.take(node) >= 0)
+        base, one, weight, node = base.take(rows), one.take(rows), weight.take(rows), node.take(rows)
+        side = codes.take(base + best.take(node)) > cut.take(node)
         place = np.full(m, -1)
         place[splits] = np.arange(len(splits))
         node = 2 * place[node] + side
