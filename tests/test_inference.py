@@ -203,6 +203,7 @@ def test_ols_with_categories_against_numpy(spark):
     assert d.condition_number == pytest.approx(np.linalg.cond(X), rel=1e-6)
     assert d.kurtosis == pytest.approx(np.mean(e ** 4) / np.mean(e ** 2) ** 2)
     assert d.adj_r2 == pytest.approx(1 - (e @ e) / ((y - y.mean()) @ (y - y.mean())) * (n - 1) / (n - 5))
+    assert d.f_robust == pytest.approx(b[1:] @ np.linalg.solve(cov[1:, 1:], b[1:]) / 4, rel=1e-6)
     assert 0 <= d.f_p <= 1 and 0 <= d.omnibus_p <= 1
 
 

@@ -151,8 +151,9 @@ class OlsFit:
         b, v = self.coef[1:], self.cov_hc3[1:, 1:]
         if not len(b) or not np.isfinite(v).all():
             return None, None
-        q = self.rank - 1
-        f = float(b @ np.linalg.pinv(v, hermitian=True) @ b) / q
+        q, scale = self.rank - 1, np.sqrt(np.where(np.diag(v) > 0, np.diag(v), 1.0))
+        b = b / scale  # slopes differ in size by many powers of ten
+        f = float(b @ np.linalg.pinv(v / np.outer(scale, scale), hermitian=True) @ b) / q
         return f, f_upper(f, q, self.n - self.rank)
 
 

@@ -208,6 +208,40 @@ OLS_STEPS: dict[str, str] = {
         FROM scales JOIN solution USING (j) JOIN (
           SELECT j, sum(pow(u * v, 2)) AS vv, bool_or(lost AND abs(v) > 1e-6) AS undefined
           FROM influence JOIN errors USING (event_id) GROUP BY j) USING (j)""",
+    # largest eigenvalues of the unscaled cross-products and of their inverse: squared until one direction is left
+    "moments": """
+        SELECT 'whole' AS side, t.i, t.k, t.v * a.scale * b.scale AS v
+        FROM tableau t JOIN scales a ON a.j = t.i JOIN scales b ON b.j = t.k
+        UNION ALL
+        SELECT 'turned', n.i, n.k, n.v / (a.scale * b.scale)
+        FROM inverse n JOIN scales a ON a.j = n.i JOIN scales b ON b.j = n.k""",
+    "squares": """
+        SELECT 0 AS turn, side, i, k, v / sum(CASE WHEN i = k THEN v ELSE 0 END) OVER (PARTITION BY side) AS v FROM moments
+        UNION ALL
+        SELECT turn + 1, side, i, k, v / sum(CASE WHEN i = k THEN v ELSE 0 END) OVER (PARTITION BY side)
+        FROM (SELECT l.turn, l.side, l.i, r.k, sum(l.v * r.v) AS v
+              FROM squares l JOIN squares r ON r.side = l.side AND r.i = l.k
+              WHERE l.turn < 14 GROUP BY l.turn, l.side, l.i, r.k)""",
+    "eigen": """
+        SELECT side, sum(s.v * m.v) AS top FROM squares s JOIN moments m USING (side, i, k) WHERE turn = 14 GROUP BY side""",
+    # the covariances of all slopes beside the slopes, eliminated once more: what is left is the joint test
+    "slopes": """
+        SELECT a.j AS i, b.j AS k, sum(u * u * a.v * b.v) AS v
+        FROM influence a JOIN influence b USING (event_id) JOIN errors USING (event_id)
+        WHERE a.j > 1 AND b.j > 1 GROUP BY a.j, b.j
+        UNION ALL SELECT j, 1000, b FROM solution WHERE j > 1""",
+    "pivots": """
+        SELECT 1 AS step, i, k, v FROM slopes
+        UNION ALL
+        SELECT s.step + 1, s.i, s.k, CASE WHEN s.i = s.step + 1 THEN s.v / pv.v ELSE s.v - cl.v * rw.v / pv.v END
+        FROM pivots s JOIN pivots pv ON pv.i = s.step + 1 AND pv.k = s.step + 1
+        JOIN pivots rw ON rw.i = s.step + 1 AND rw.k = s.k
+        JOIN pivots cl ON cl.i = s.i AND cl.k = s.step + 1
+        WHERE s.step < (SELECT max(j) FROM scales)""",
+    "joint": """
+        SELECT CASE WHEN NOT (SELECT bool_or(std_err_hc3 IS NULL) FROM robust WHERE term <> 'Intercept')
+                    THEN sum(p.v * s.b) / count(*) END AS f_robust
+        FROM pivots p JOIN solution s ON s.j = p.i WHERE p.k = 1000 AND p.step = (SELECT max(j) FROM scales)""",
 }
 
 

@@ -292,6 +292,15 @@ def t_density_p(t: str, v: str) -> str:
         * pow(1 + pow(k * abs({t}) / 2000.0, 2) / {v}, -({v} + 1) / 2.0)) FROM range(2001) AS g(k))"""
 
 
+def f_density_p(f: str, a: str, b: str) -> str:
+    """Upper F tail, for more than two degrees of freedom above, by Simpson's rule on the density."""
+    at = f"(k * {f} / 2000.0)"
+    return f"""(SELECT 1 - {f} / 6000 * sum(
+        CASE WHEN k = 0 THEN 0 WHEN k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+        * exp(lgamma(({a} + {b}) / 2.0) - lgamma({a} / 2.0) - lgamma({b} / 2.0) + {a} / 2.0 * ln({a} / CAST({b} AS DOUBLE))
+              + ({a} / 2.0 - 1) * ln(greatest({at}, 1e-300)) - ({a} + {b}) / 2.0 * ln(1 + {a} * {at} / {b}))) FROM range(2001) AS g(k))"""
+
+
 def normal_density_p(z: str) -> str:
     return f"""(SELECT 1 - 2 * abs({z}) / 6000 * sum(
         CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
@@ -481,9 +490,37 @@ def _(spark, folder):
     return reg.fit_ols(model_frame(spark, folder), "car_m5_p5", ["log_employees_laid_off"]).table()
 
 
-@query("T9_ols_diagnostics", "n_obs:l df_model:l df_resid:l r2:f adj_r2:f f_robust:f f_p:f log_likelihood:f "
+_FULL_MODEL_SQL = """SELECT *, exp(-jarque_bera / 2) AS jarque_bera_p FROM (
+       WITH o AS (SELECT *, lag(e) OVER (ORDER BY company_id, announcement_date, event_id) AS before FROM errors),
+            s AS (SELECT count(*) AS n_obs, (SELECT count(*) FROM scales) AS k, sum(e * e) AS ssr,
+                         var_pop(y) * count(*) AS sst, sum(pow(e - before, 2)) / sum(e * e) AS durbin_watson,
+                         avg(pow(e, 3)) / pow(avg(e * e), 1.5) AS skew,
+                         avg(pow(e, 4)) / pow(avg(e * e), 2) AS kurtosis FROM o),
+            l AS (SELECT *, -n_obs / 2.0 * (ln(2 * pi()) + ln(ssr / n_obs) + 1) AS log_likelihood FROM s)
+       SELECT n_obs, k - 1 AS df_model, n_obs - k AS df_resid, 1 - ssr / sst AS r2,
+              1 - (ssr / sst) * (n_obs - 1) / (n_obs - k) AS adj_r2, log_likelihood,
+              2 * k - 2 * log_likelihood AS aic, k * ln(n_obs) - 2 * log_likelihood AS bic, durbin_watson, skew,
+              kurtosis, n_obs / 6.0 * (skew * skew + pow(kurtosis - 3, 2) / 4) AS jarque_bera FROM l)"""
+
+_ROBUST_SQL = f"""
+    SELECT *, {f_density_p('f_robust', 'df_model', 'df_resid')} AS f_p, exp(-omnibus / 2) AS omnibus_p FROM (
+      SELECT *, pow(asinh(y / sqrt(2 / (w2 - 1))) / sqrt(0.5 * ln(w2)), 2)
+                + pow(1 - 2 / (9 * a) - sign(ratio) * pow(abs(ratio), 1 / 3.0), 2) / (2 / (9 * a)) AS omnibus FROM (
+        SELECT *, (1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))) AS ratio FROM (
+          SELECT *, 6 + 8 / root * (2 / root + sqrt(1 + 4 / (root * root))) AS a FROM (
+            SELECT *, skewness * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y,
+                   sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS w2,
+                   (kurtosis - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / (pow(n + 1, 2) * (n + 3) * (n + 5))) AS x,
+                   6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS root
+            FROM (SELECT *, skew AS skewness, CAST(n_obs AS DOUBLE) AS n, (SELECT f_robust FROM joint) AS f_robust,
+                         (SELECT sqrt(product(top)) FROM eigen) AS condition_number,
+                         (SELECT count(*) FILTER (WHERE lost) FROM errors) AS undefined_leverage
+                  FROM ({_FULL_MODEL_SQL}))))))"""
+
+
+@query("T9_ols_diagnostics", "n_obs:l df_model:l df_resid:l r2:f adj_r2:f f_robust:e f_p:f log_likelihood:f "
        "aic:f bic:f durbin_watson:f omnibus:f omnibus_p:f jarque_bera:f jarque_bera_p:f skew:f kurtosis:f "
-       "condition_number:f undefined_leverage:l")
+       "condition_number:e undefined_leverage:l", recursive(_ROBUST_SQL, OLS_STEPS))
 def _(spark, folder):
     order = ["company_id", "announcement_date", "event_id"]
     fit = reg.fit_ols(model_frame(spark, folder), "car_m5_p5", ft.NUMERIC_REGRESSORS,
@@ -515,17 +552,7 @@ def _(spark, folder):
 
 
 @query("T9_full_model_statistics", "n_obs:l df_model:l df_resid:l r2:f adj_r2:f log_likelihood:f aic:f bic:f "
-       "durbin_watson:f jarque_bera:f jarque_bera_p:f skew:f kurtosis:f", recursive("""SELECT *, exp(-jarque_bera / 2) AS jarque_bera_p FROM (
-       WITH o AS (SELECT *, lag(e) OVER (ORDER BY company_id, announcement_date, event_id) AS before FROM errors),
-            s AS (SELECT count(*) AS n_obs, (SELECT count(*) FROM scales) AS k, sum(e * e) AS ssr,
-                         var_pop(y) * count(*) AS sst, sum(pow(e - before, 2)) / sum(e * e) AS durbin_watson,
-                         avg(pow(e, 3)) / pow(avg(e * e), 1.5) AS skew,
-                         avg(pow(e, 4)) / pow(avg(e * e), 2) AS kurtosis FROM o),
-            l AS (SELECT *, -n_obs / 2.0 * (ln(2 * pi()) + ln(ssr / n_obs) + 1) AS log_likelihood FROM s)
-       SELECT n_obs, k - 1 AS df_model, n_obs - k AS df_resid, 1 - ssr / sst AS r2,
-              1 - (ssr / sst) * (n_obs - 1) / (n_obs - k) AS adj_r2, log_likelihood,
-              2 * k - 2 * log_likelihood AS aic, k * ln(n_obs) - 2 * log_likelihood AS bic, durbin_watson, skew,
-              kurtosis, n_obs / 6.0 * (skew * skew + pow(kurtosis - 3, 2) / 4) AS jarque_bera FROM l)""", OLS_STEPS))
+       "durbin_watson:f jarque_bera:f jarque_bera_p:f skew:f kurtosis:f", recursive(_FULL_MODEL_SQL, OLS_STEPS))
 def _(spark, folder):
     """The diagnostics SQL can state, for the full model."""
     order = ["company_id", "announcement_date", "event_id"]
