@@ -25,13 +25,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_event_study_shuffles_once(spark):
+def test_event_study_shuffles_prices_once(spark):
+    """Prices and events are each shuffled once on the company; prices are sorted once; edges are read, not joined."""
     events, (prices, days) = settled(wh.study_events(spark, FOLDER)), qs.price_inputs(spark, FOLDER)
     text = plan(es.wide_results(events, settled(prices), days))
-    on_company = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
-    assert len([e for e in on_company if e.startswith("company_id")]) == 1
-    assert text.count("Sort [company_id") == 1
-    assert "SortMergeJoin" not in text
+    on_company = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if e.startswith("company_id")]
+    assert len(on_company) == 2 and len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    assert len(re.findall(r"Sort \[company_id#\d+L ASC NULLS FIRST, trade_date", text)) == 1
+    assert len(re.findall(r"ReadSchema: struct<company_id:bigint,trade_date:date,adj_close:double>", text)) == 1
+    assert "Union" not in text and "Expand" not in text and text.count("Generate explode") == 1  # the dates of the calendar
 
 
 def test_best_row_per_key_is_cut_before_the_shuffle(spark):

@@ -148,6 +148,26 @@ def test_windows_against_brute_force(spark):
     assert sorted(r.offset for r in line) == list(range(-30, 31))
 
 
+def test_prefix_totals_hold_until_the_next_return(spark):
+    days = weekdays(30)
+    calendar = cal.trading_calendar(market_of(spark, days))
+    kept = [4, 5, 9, 10, 17]  # the series starts late, has gaps and ends early
+    rows = [(1, days[i], wiggle(i)) for i in kept] + [(2, days[3], 10.0), (3, dt.date(2024, 1, 6), 5.0)]
+    got = {r.company_id: r for r in es.prefix_totals(prices_of(spark, rows), calendar).collect()}
+    assert (got[2].n_prices, got[2].cells, got[3].n_prices, got[3].first) == (1, [], 1, None)
+    one = got[1]
+    assert (one.n_prices, one.first, one.last, len(one.cells)) == (5, 5, 17, 13)
+    ar = {b: math.log(wiggle(b) / wiggle(a)) - math.log((100 + b) / (99 + b)) for a, b in zip(kept, kept[1:])}
+    for p, cell in enumerate(one.cells, start=5):
+        upto = [v for i, v in ar.items() if i <= p]
+        assert cell.n == len(upto)
+        assert cell.s == pytest.approx(sum(upto), abs=1e-12) and cell.q == pytest.approx(sum(v * v for v in upto), abs=1e-12)
+    events = events_of(spark, [(1, 1, days[25]), (2, 1, days[2]), (3, 2, days[3]), (4, 7, days[3])])
+    out = {r.event_id: r for r in es.study_events(events, prices_of(spark, rows), calendar, [(-1, 1)], estimation=(-2, 1)).collect()}
+    assert [out[e].n_m1_p1 for e in (1, 2, 3, 4)] == [0, 0, 0, 0]  # after the end, before the start, without returns, unknown
+    assert [out[e].n_prices for e in (1, 2, 3, 4)] == [5, 5, 1, 0]
+
+
 def coverage_case(spark, missing, bounds_days=60, t0=30):
     days = weekdays(bounds_days)
     kept = [(1, d, wiggle(i)) for i, d in enumerate(days) if i not in missing]

@@ -2,11 +2,13 @@
 
 Every window statistic is a difference of running totals: with S(p) the total
 of abnormal returns up to calendar position p, a window [lo, hi] sums to
-S(hi) - S(lo-1). So prices and a handful of probe rows per event are unioned,
-shuffled once on ``company_id``, and swept in date order; nothing is expanded to
-one row per event and day. Re-grouping the probes by event reuses that same
-partitioning. A company has at most one price and one event per date, so the
-largest partition is bounded by the calendar, however many rows there are.
+S(hi) - S(lo-1). The totals are taken once, on the price rows, and laid out as
+one array a company with a cell for every position between its first and last
+return. An event meets its company's array once and reads the edges of its
+windows by position: nothing is expanded to one row per event and day, or per
+event and edge. Prices are shuffled and sorted once, on ``company_id``. A company
+has at most one price and one event per date, so an array is bounded by the
+calendar, however many rows there are (about 1 MB for a century of days).
 """
 
 from __future__ import annotations
@@ -20,60 +22,59 @@ from tidemark.functions.windows import (
     check_windows, window_key,
 )
 from tidemark.operators.calendar import align_forward
-from tidemark.operators.returns import abnormal_returns, log_return
-
-_LAST_DATE = "date'9999-12-31'"
-
+from tidemark.operators.returns import abnormal_returns, stock_returns
 
 def _probe_offsets(windows: Sequence[Window], estimation: Window) -> list[int]:
     edges = {o for start, end in [*windows, estimation] for o in (start - 1, end)}
     return sorted(edges)
 
 
+def prefix_totals(prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``(company_id, n_prices, first, last, cells)``: running totals of abnormal returns by calendar position.
+
+    ``cells[p - first]`` holds the sum ``s``, the sum of squares ``q`` and the number ``n`` of the company's returns up to
+    position p. Companies without a return have no cells.
+    """
+    days = calendar.select("trade_date", "idx", "r_mkt")
+    so_far = W.partitionBy("company_id").orderBy("trade_date").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = (
+        stock_returns(prices).join(F.broadcast(days), "trade_date", "left")
+        .withColumn("ar", F.col("r_stock") - F.col("r_mkt"))
+        .select("company_id", "adj_close", F.when(F.col("ar").isNotNull(), F.struct(
+            "idx", F.sum("ar").over(so_far).alias("s"), F.sum(F.col("ar") * F.col("ar")).over(so_far).alias("q"),
+            F.count("ar").over(so_far).alias("n"))).alias("total"))
+        .groupBy("company_id")
+        .agg(F.count("adj_close").alias("n_prices"), F.sort_array(F.collect_list("total")).alias("known"))
+    )
+
+    def filled(known: Column) -> Column:
+        """A total holds until the next one."""
+        until = lambda total, i: F.coalesce(F.get(known, i + 1)["idx"], total["idx"] + 1)
+        cells = F.flatten(F.transform(known, lambda total, i: F.array_repeat(total, until(total, i) - total["idx"])))
+        return F.struct(F.get(known, F.lit(0))["idx"].alias("first"),
+                        F.get(known, F.size(known) - 1)["idx"].alias("last"), cells.alias("cells"))
+
+    # bound as a lambda's argument, so that the sorted list is made once a company
+    bound = F.transform(F.array("known"), filled)
+    return totals.select("company_id", "n_prices", F.inline(bound))
+
+
 def _running_totals(events: DataFrame, prices: DataFrame, calendar: DataFrame,
                     offsets: Sequence[int]) -> DataFrame:
-    """One row per event with the running totals at each probe offset."""
-    days = calendar.select("trade_date", "idx", "r_mkt")
+    """One row per event with the running totals at each probe offset; null where that lies outside the calendar."""
     aligned = align_forward(events.select("event_id", "company_id", "announcement_date"), calendar)
-    # The null offset asks for the totals after the company's last price.
-    probes = (
-        aligned.select("company_id", "event_id", "t0",
-                       F.explode(F.array(*[F.lit(o) for o in [*offsets, None]])).alias("offset"))
-        .withColumn("at", F.col("t0") + F.col("offset"))
-        .join(F.broadcast(days.select(F.col("idx").alias("at"), "trade_date")), "at", "left")
-        .withColumn("trade_date", F.when(F.col("offset").isNull(), F.expr(_LAST_DATE)).otherwise(F.col("trade_date")))
-        .where("trade_date is not null")
-        .select("company_id", "trade_date", F.lit(1).alias("kind"), "event_id", "t0", "offset",
-                F.lit(None).cast("double").alias("adj_close"), F.lit(None).cast("double").alias("r_mkt"))
-    )
-    quotes = (
-        prices.select("company_id", "trade_date", F.col("adj_close").cast("double").alias("adj_close"))
-        .join(F.broadcast(days.select("trade_date", "r_mkt")), "trade_date", "left")
-        .select("company_id", "trade_date", F.lit(0).alias("kind"),
-                F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("int").alias("t0"),
-                F.lit(None).cast("int").alias("offset"), "adj_close", "r_mkt")
-    )
-    sweep = W.partitionBy("company_id").orderBy("trade_date", "kind")
-    so_far = sweep.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = sweep.rowsBetween(W.unboundedPreceding, -1)
-    # a price that is no finite number above zero costs its own return and the next one, and no running total
-    ar = log_return(F.col("adj_close"), F.last("adj_close", ignorenulls=True).over(before)) - F.col("r_mkt")
-    swept = (
-        quotes.unionByName(probes)
-        .withColumn("ar", ar)
-        .withColumns({
-            "s": F.sum(F.coalesce("ar", F.lit(0.0))).over(so_far),
-            "q": F.sum(F.coalesce(F.col("ar") * F.col("ar"), F.lit(0.0))).over(so_far),
-            "n": F.count("ar").over(so_far),
-            "n_prices": F.count("adj_close").over(so_far),
-        })
-        .where("kind = 1")
-    )
-    picks = [
-        F.max(F.when(F.col("offset") == o, F.col(m))).alias(f"{m}@{o}") for o in offsets for m in ("s", "q", "n")
-    ]
-    at_end = F.max(F.when(F.col("offset").isNull(), F.col("n_prices"))).alias("n_prices")
-    return swept.groupBy("company_id", "event_id", "t0").agg(at_end, *picks)
+    aligned = aligned.withColumn("size", calendar.agg(F.count("*").alias("n")).scalar())
+    met = aligned.join(prefix_totals(prices, calendar), "company_id", "left")
+    none = F.struct(F.lit(None).cast("int").alias("idx"), F.lit(0.0).alias("s"), F.lit(0.0).alias("q"), F.lit(0).cast("long").alias("n"))
+
+    def cell(o: Column) -> Column:
+        at = F.col("t0") + o  # no cell before the first return; the last one holds to the end
+        return F.when((at >= 0) & (at < F.col("size")), F.coalesce(F.get("cells", F.least(at, F.col("last")) - F.col("first")), none))
+
+    edges = met.select("company_id", "event_id", "t0", F.coalesce("n_prices", F.lit(0)).alias("n_prices"),
+                       F.transform(F.array(*[F.lit(o) for o in offsets]), cell).alias("edges"))
+    return edges.select("company_id", "event_id", "t0", "n_prices", *[
+        F.col("edges")[i][m].alias(f"{m}@{o}") for i, o in enumerate(offsets) for m in ("s", "q", "n")])
 
 
 def _between(measure: str, window: Window) -> Column:
