@@ -111,6 +111,40 @@ def test_languages_of_odd_rows(docs, no_docs, small_docs):
     assert language.identify(no_docs).count() == 0
 
 
+def _skewed(spark):
+    """1,500 rows of one language, 300 of a second, 12 of a third; one row 400 times over, one text of a megabyte."""
+    rng, letters = random.Random(7), {"aa": "etaoinsh", "bb": "rdlucmfw", "cc": "ypvbgkqj"}
+    word = lambda lang: "".join(rng.choices(letters[lang], k=rng.randint(2, 7)))
+    rows = [(i, " ".join(word(lang) for _ in range(30)), lang)
+            for i, lang in enumerate(["aa"] * 1500 + ["bb"] * 300 + ["cc"] * 12)]
+    rows += [rows[0]] * 400 + [(5000, " ".join(word("bb") for _ in range(200_000)), "bb")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), {r[0]: r[2] for r in rows}
+
+
+def test_rare_languages_and_repeated_rows_teach(spark):
+    docs, truth = _skewed(spark)
+    got = language.identify(docs).collect()
+    assert len(got) == docs.count()
+    wrong = [r for r in got if r.lang_pred != truth[r.doc_id]]
+    assert not wrong
+    drawn = language.drawn_texts(docs, 40).collect()
+    assert Counter(r.lang for r in drawn) == {"aa": 40, "bb": 40, "cc": 12}
+    assert len({(r.lang, r.n) for r in drawn}) == len(drawn)
+
+
+def test_only_drawn_texts_are_moved_by_the_fit(spark):
+    docs, _ = _skewed(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = language.drawn_texts(docs, 40)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    ids = plan[plan.index("BroadcastExchange"):]
+    assert "text#" not in ids[:ids.index("Scan")] and "WindowGroupLimit" in ids
+
+
 def test_presence_kernel_matches_sets():
     texts = ["Abc abd", "xyz", "", "abc"]
     rows = np.concatenate([x for t in text.slices(pa.array(texts)) for _, x in language.presence(t)])

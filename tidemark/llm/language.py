@@ -6,9 +6,13 @@ onto them turns kernel ridge regression, one language against the rest, into a l
 to ``DIMENSIONS`` places, so landmark products and class weights fold into one matrix and a batch of texts is scored by
 one matrix product.
 
-Only the fit uses a sample (``per_language`` rows of each language, drawn by a hash of id and text); every row is
-predicted. Nulls: a null text, or one without a letter, is ``und`` with score 0; rows with a null language, id or text
-teach nothing. Repeated rows are predicted each. With nothing to learn from every row is ``und``.
+Only the fit uses a sample (``per_language`` ids of each language with the smallest hashes, whatever the language's share);
+every row is predicted. Ids are drawn before any text is moved: what is shuffled is an id a row, what is broadcast and
+collected is ``per_language`` ids and 2 kB vectors a language, as the model itself has a class for each. Landmarks are dealt
+to the languages in turn, at least two each. Nulls: a null text, or one without a letter, is ``und`` with score 0; rows with
+a null language, id or text teach nothing. Very long texts are cut nowhere: their presence vectors fill up, and one such
+text is held in memory at a time. Repeated rows teach once; rows that share an id and language teach by their smallest text.
+Repeated rows are predicted each. With nothing to learn from every row is ``und``.
 """
 
 from __future__ import annotations
@@ -70,29 +74,31 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array([np.packbits(r).tobytes() for t in slices(texts) for _, rows in presence(t) for r in rows], pa.binary())
 
 
+def drawn_texts(learnable: DataFrame, per_language: int) -> DataFrame:
+    """``lang, n, text``: of each language the ids with the ``per_language`` smallest hashes, numbered; only their texts move."""
+    # the rank trims every task's ids before they are shuffled by language
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    drawn = learnable.select("lang", "doc_id").distinct().withColumn("n", rank).where(F.col("n") <= per_language)
+    found = learnable.select("lang", "doc_id", "text").join(F.broadcast(drawn), ["lang", "doc_id"])
+    return found.groupBy("lang", "doc_id", "n").agg(F.min("text").alias("text")).drop("doc_id")
+
+
 def fit(learnable: DataFrame, per_language: int = 400, landmarks: int = 256, ridge: float = 1e-3) -> KernelRidge | None:
-    """Learn from ``text, lang``: at most ``per_language`` rows of each language, drawn by hash. None without rows."""
+    """Learn from ``doc_id, text, lang``: ``per_language`` ids of each language, drawn by hash. None without rows."""
 
     @F.arrow_udf("binary")
     def packed(texts: pa.Array) -> pa.Array:
         return _packed(texts)
 
-    # the hash thins each language to about twice the rows needed before any is moved; the smallest hashes of those stay
-    counts = learnable.groupBy("lang").agg(F.count("*").alias("rows"))
-    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))
-    sample = (learnable.select("doc_id", "lang", "text", chance.alias("draw")).join(counts, "lang")
-              .where(F.col("draw") * F.col("rows") < 2 * per_language)
-              .withColumn("n", drawn).where(F.col("n") <= per_language)
-              .select("lang", "draw", packed("text").alias("x")).collect())  # 2 kB a row
+    sample = drawn_texts(learnable, per_language).select("lang", "n", packed("text").alias("x")).collect()  # 2 kB a row
     if not sample:
         return None
-    sample.sort(key=lambda r: (r.draw, r.lang, bytes(r.x)))
+    sample.sort(key=lambda r: (r.n, r.lang))
     x = np.stack([np.unpackbits(np.frombuffer(r.x, np.uint8)) for r in sample]).astype(np.float32)
     x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     languages = sorted({r.lang for r in sample})
     y = np.where(np.array([r.lang for r in sample])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    marks = np.unique(x[:landmarks], axis=0)
+    marks = np.unique(x[:max(landmarks, 2 * len(languages))], axis=0)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
