@@ -189,3 +189,28 @@ def test_forest_learns_an_obvious_sign(spark):
     model = rf.fit_forest(df, "car", **FEW)
     top = rf.feature_importance(model).orderBy(F.desc("importance_mean")).first()
     assert top.feature == "log_employees_laid_off"
+
+
+def test_order_of_rows_does_not_change_a_tree():
+    """Sums are exact, so gains that tie do so in any order; rows of 40 steps, 3 flags and a noisy label."""
+    rng = np.random.default_rng(3)
+    codes = np.column_stack([rng.integers(0, 40, (20000, 3)), rng.integers(0, 2, (20000, 3))]).astype(np.uint8)
+    kind = (2 * rng.integers(1, 4, 20000) + rng.integers(0, 2, 20000)).astype(np.uint8)
+    first = rf._grow(codes, kind, [0.99568012, 1.00435753], 1, 0, 1, None)
+    order = rng.permutation(20000)
+    again = rf._grow(codes[order], kind[order], [0.99568012, 1.00435753], 1, 0, 1, None)
+    assert all(np.array_equal(first[c], again[c]) for c in first) and len(first["p"]) > 1000
+
+
+def test_rows_travel_as_their_codes_and_a_byte(spark):
+    names, df = noisy(spark, 500)
+    coder = rf.fit_coder(df, names, ["c"])
+    blocks = rf._blocks(rf._coded(df, coder), 6, [0, 1], rf.SEED, {}, set()).toPandas()
+    assert sum(len(v) for c in ("codes", "kind") for v in blocks[c]) < 1000 * 0.7 * 7
+    assert set(blocks.columns) == {"tree", "top", "codes", "kind"}
+
+
+def test_a_label_has_one_weight(spark):
+    names, df = noisy(spark, 100)
+    with pytest.raises(ValueError, match="one weight"):
+        rf.grow_forest(df.withColumn("weight", F.rand(1)), names, ["c"], trees=1)
