@@ -374,3 +374,17 @@ def test_split_csv_equals_the_plain_reader(spark, tmp_path):
         f.write('a,b\n1,"x\ny"\n\n2,\n3,"q""q"\n4,"",5\n')
     rows = lambda df: sorted(map(tuple, df.collect()), key=str)
     assert rows(rd.read_split_csv(spark, path)) == rows(rd.read_events_csv(spark, path))
+
+
+def test_csv_files_grow_in_number_not_in_size(spark):
+    """A task writes a file, so a fixed number of files would be a share of the whole input each."""
+    from pathlib import Path
+
+    from tidemark.plans import queries_ingest as qi
+
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet").count()
+    files = lambda rows: sorted(Path(qi._written_csv(spark, folder, rows)).glob("*.csv"))
+    assert len(files(qi.FILE_ROWS)) == 2
+    many = files(100)
+    assert len(many) == -(-orders // 100) > 2 and max(f.read_text().count("order ") for f in many) < 150

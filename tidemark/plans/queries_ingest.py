@@ -131,9 +131,15 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
 _READ_SQL = statement("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _HEADER) + " FROM raw_text", RAW)
 
 
-def _written_csv(spark: SparkSession, folder: str, files: int | None = None) -> str:
+FILE_ROWS = 1 << 19  # of a written CSV, some 70 MB: a task writes a file
+
+
+def _written_csv(spark: SparkSession, folder: str, file_rows: int | None = None) -> str:
+    """Written as Spark has it, or else as two files at least, and as many as keep each at about ``file_rows`` rows."""
     path, raw = scratch_path(spark, "raw-events"), raw_events(spark, folder)
-    (raw if files is None else raw.repartition(files)).write.options(
+    if file_rows is not None:
+        raw = raw.repartition(max(2, -(-wh.table(spark, folder, "orders").count() // file_rows)))
+    raw.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
@@ -146,8 +152,8 @@ def _(spark, folder):
 
 @query("S1_read_split_csv", _TEXT_SPEC, _READ_SQL)
 def _(spark, folder):
-    """Written as two CSV files, each of which many tasks read, with line breaks in cells."""
-    return rd.normalise_columns(rd.read_split_csv(spark, _written_csv(spark, folder, 2)))
+    """Written as few CSV files, each of which many tasks read, with line breaks in cells."""
+    return rd.normalise_columns(rd.read_split_csv(spark, _written_csv(spark, folder, FILE_ROWS)))
 
 
 @query("P1_normalise_columns", "company:s num_laid_off:s pct_laid_off:s funds_raised:s", statement(
