@@ -388,3 +388,11 @@ def test_csv_files_grow_in_number_not_in_size(spark):
     assert len(files(qi.FILE_ROWS)) == 2
     many = files(100)
     assert len(many) == -(-orders // 100) > 2 and max(f.read_text().count("order ") for f in many) < 150
+
+
+def test_raw_rows_are_parsed_by_many_tasks(spark):
+    """One small file of orders is one scan task; the text work on its rows is spread all the same."""
+    from tidemark.plans import queries_ingest as qi
+
+    raw = qi.raw_events(spark, "/root/testdata/sf0.001")
+    assert raw.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism

@@ -54,7 +54,9 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
                                                       "o_orderdate", "o_totalprice")
     listed = wh.announcements(spark, folder).select("event_id", "company_id").join(
         wh.companies(spark, folder).select("company_id", "company_name", "industry"), "company_id")
-    return orders.join(listed, F.col("o_orderkey") == F.col("event_id")).select(
+    # rows are few bytes for the work that spelling and parsing them is: put together by size, all would be in one task
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return orders.join(listed, F.col("o_orderkey") == F.col("event_id")).repartition(tasks, "o_orderkey").select(
         F.when(status == "F", F.concat(F.lit(" \t"), "company_name", F.lit("\u00a0 ")))
         .when(status == "O", F.upper("company_name")).otherwise(F.col("company_name")).alias(_HEADER["company"]),
         F.when((status == "P") & (priority == "5-LOW"), "to be announced")
@@ -496,7 +498,8 @@ def _(spark, folder):
     """A load of all announcements, some with shares beyond 100 %, into the events before 1995."""
     listed = wh.companies(spark, folder).where("ticker_symbol is not null")
     batch = clean(spark, folder).withColumn("percentage_laid_off", F.col("percentage_laid_off") * 1.5)
-    stored = wh.events(spark, folder).where("announcement_date < date'1995-01-01'").withColumn("source_url", F.lit(None).cast("string"))
+    # a table, as a load finds it: it is read for the rows to fill, for their keys and for the largest id
+    stored = settled(wh.events(spark, folder).where("announcement_date < date'1995-01-01'").withColumn("source_url", F.lit(None).cast("string")))
     return ing.load_events(stored, listed, batch).counters
 
 
