@@ -8,9 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, neighbours, substring
 from tidemark.llm.graph import components
+from tidemark.session import scratch_mark, scratch_since, settled
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -206,3 +208,21 @@ def test_links_that_stay_too_few_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "audit", lambda *a: 0.5)
     with pytest.raises(RuntimeError, match="0.5000"):
         neighbours.link_vectors(frame)
+
+
+def test_rounds_of_components_are_deleted(spark, docs):
+    """Of all the tables written on the way, only the one that the result reads is left."""
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    mark = scratch_mark()
+    assert {r.component for r in components(pairs).collect()} == {0}
+    assert len(scratch_since(mark)) == 1
+    mark = scratch_mark()
+    assert minhash.near_duplicates(docs).count() == docs.count()
+    assert len(scratch_since(mark)) == 1
+
+
+def test_settled_tables_keep_no_shuffle_files(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    settled(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert tracker.shuffleStatuses().size() <= before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import settled
+from tidemark.session import release_paths, scratch_mark, scratch_since, settled
 
 
 def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
@@ -12,8 +12,9 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star steps in turn: each links a node's neighbours to the smallest of them. A node's neighbours
     are never gathered, only their minimum is, so a node with very many links is one hot join key and no group. Every
-    round is written out; the rounds grow with the logarithm of the longest chain.
+    round is written out, and the round before it is deleted; the rounds grow with the logarithm of the longest chain.
     """
+    spark, mark = pairs.sparkSession, scratch_mark()
     edges = settled(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen = None
     for _ in range(rounds):
@@ -25,6 +26,7 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(least, "u")
         edges = settled(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
                         .where("u <> v").distinct())
+        release_paths(spark, scratch_since(mark)[:-1])
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(

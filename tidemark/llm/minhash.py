@@ -24,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark.llm.graph import components
 from tidemark.llm.text import WORD, Texts, mixed, run_hashes, run_starts, slices, sorted_groups, stretch_hashes, word_hashes
-from tidemark.session import settled
+from tidemark.session import release_paths, scratch_mark, scratch_since, settled
 
 SHINGLE = 5
 FEATURES = 1 << 20
@@ -261,9 +261,14 @@ def text_key(text: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
+def _with(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The known components, one link a node, and more links."""
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more.select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 20, rows: int = 5, seed: int = 5) -> DataFrame:
     """``doc_id, node, component, class_id`` of every document: the smallest id of the texts it is linked to, directly or through others."""
-    spark: SparkSession = docs.sparkSession
+    spark, start = docs.sparkSession, scratch_mark()
     table = docs.select("doc_id", "text")
     sampler = spark.sparkContext.broadcast(Sampler(element_weights(table), bands, rows, seed))
 
@@ -285,25 +290,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 20, ro
     vectors = settled(table.select(text_key().alias("node"), "text").join(chosen, "node").select("node", vector("text").alias("vector"))
                       .groupBy("node").agg(F.first("vector").alias("vector")))
     first = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = settled(_verified(first, vectors, threshold).select("a", "b"))
-    found = components(links)
-    labelled = None
-    for turn in range(_TURNS):
+    mark = scratch_mark()
+    found = components(settled(_verified(first, vectors, threshold).select("a", "b")))
+    for turn in range(_TURNS + 1):
+        release_paths(spark, scratch_since(mark)[:-1])  # only the components' table is read from here on
         labelled = settled(members.join(found, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
+        if turn == _TURNS:
+            break
         more = settled(_verified(_other_leads(labelled, samples, turn, _least_agreeing(bands * rows, threshold)), vectors, threshold).select("a", "b"))
         if more.isEmpty():
             break
-        links = settled(links.unionAll(more))
-        found = components(links)
-        labelled = None
-    if labelled is None:
-        labelled = settled(members.join(found, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
+        found = components(_with(found, more))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
     more = settled(_across(labelled.join(mixed_buckets, "bucket"), vectors, threshold))
-    whole = components(links.unionAll(more))
+    whole = components(_with(found, more))
     nodes = signed.join(whole, "node", "left").select(
         "doc_id", "node", F.when(F.col("bands").isNotNull(), F.coalesce("component", "node")).alias("component"))
     nodes = settled(nodes)
+    release_paths(spark, scratch_since(start)[:-1])
     least = nodes.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("class_id"))
     return nodes.join(least, "component", "left").select(
         "doc_id", "node", "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
