@@ -134,6 +134,18 @@ def test_pieces_match_the_library(spark, docs, small_docs, no_docs, vocab):
     assert pieces.encode(no_docs, vocab).count() == 0
 
 
+def test_units_are_cut_and_shuffled_once(spark, vocab):
+    counts = pieces.unit_counts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), vocab)
+    plan = pieces.encode_units(counts, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_counted_units_leave_in_small_batches():
+    batches = list(pieces._counted(Counter({f"u{i}": i + 1 for i in range(40_000)})))
+    assert max(b.num_rows for b in batches) <= 1 << 14
+    assert {u: n for b in batches for u, n in zip(*(c.to_pylist() for c in b.columns))} == {f"u{i}": i + 1 for i in range(40_000)}
+
+
 def test_decoding_skips_what_is_no_id(spark, vocab):
     frame = spark.createDataFrame([([413, None, 99999, 413],), ([],), (None,)], "ids array<int>")
     got = [r[0] for r in frame.select(pieces.decode("ids", vocab)).collect()]

@@ -2,7 +2,7 @@
 
 Text is cut into units that no piece of the vocabulary reaches across: a unit ends before a blank that follows another
 character and, where the vocabulary allows, where letters and other characters meet. The distinct units of all texts form
-the lattice: their substrings, of at most the longest piece's length, are exploded and equi-joined to the piece table (a
+the lattice: their substrings, as long as a piece may begin so, are exploded and equi-joined to the piece table (a
 vocabulary of fixed size, broadcast), the edges are grouped by unit, and a higher-order ``aggregate`` folds them:
 
 * ``bpe``: scores are merge ranks. The fold walks the edges in the order of their scores and joins two neighbouring
@@ -20,8 +20,9 @@ mask, in time that grows with the square of its length.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ _WHOLE = rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
 _FREQUENT = 1 << 16
 _GROUP = 8 << 20  # bytes of text in a group
 _MASKED = 60
+_HELD = 1 << 18  # units that a task counts before it hands them on
+_LEAD = 4  # characters by which the pieces that may begin at a place are told
 
 
 @dataclass
@@ -86,32 +89,47 @@ def unit_counts(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         for batch in batches:
             for text in batch.column("text"):
                 total.update(units_of(text.as_py(), pattern))
-                if len(total) > 500_000:
-                    yield _counted(total)
+                if len(total) > _HELD:
+                    yield from _counted(total)
                     total = Counter()
-        yield _counted(total)
+        yield from _counted(total)
+        total.clear()
+        pa.default_memory_pool().release_unused()  # workers stay for the next stage
 
-    return docs.select("text").mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    # a given number of tasks: a unit's substrings are many times its size, by which adaptive execution would put tasks together
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select("text").mapInArrow(count, "unit string, n long").repartition(tasks, "unit").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def _counted(total: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["unit", "n"])
+def _counted(total: Counter) -> Iterator[pa.RecordBatch]:
+    pairs = iter(total.items())
+    while some := list(itertools.islice(pairs, 1 << 14)):
+        yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], names=["unit", "n"])
 
 
 def lattice(units: DataFrame, vocab: Vocabulary) -> DataFrame:
     """The units with ``edges``: their substrings that are pieces, each one number of 20 bits each for the place of the
-    piece in the order of scores, best first, and for the edge's start and end."""
+    piece in the order of scores, best first, and for the edge's start and end.
+
+    Substrings that no piece begins with are not made: a start is first joined to the longest piece that begins with its
+    characters. The empty substring of each unit meets an empty row of the table, so a unit without any piece stays."""
     spark = units.sparkSession
-    table = spark.createDataFrame([(p, k) for k, (p, _, _) in enumerate(_by_score(vocab))], "piece string, place long")
+    table = spark.createDataFrame([("", None), *((p, k) for k, (p, _, _) in enumerate(_by_score(vocab)))], "piece string, place long")
+    reach: dict[str, int] = {}
+    for p, _, _ in vocab.pieces:
+        if len(p) >= _LEAD:
+            reach[p[:_LEAD]] = max(len(p), reach.get(p[:_LEAD], 0))
+    leads = spark.createDataFrame(list(reach.items()), "lead string, reach int")
     size = F.char_length("unit")
-    parts = units.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start")).select(
-        "unit", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + vocab.longest, size))).alias("end")).select(
-        "unit", (F.col("start").cast("long") * _SHIFT + F.col("end")).alias("span"),
+    starts = units.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("start")).join(
+        F.broadcast(leads), F.substring("unit", F.col("start") + 1, F.lit(_LEAD)) == F.col("lead"), "left")
+    first = F.when(F.col("start") == 0, 0).otherwise(F.col("start") + 1)
+    last = F.least(F.col("start") + F.coalesce("reach", F.lit(_LEAD - 1)), size)
+    parts = starts.select(*units.columns, "start", F.explode(F.sequence(first, last)).alias("end")).select(
+        *units.columns, (F.col("start").cast("long") * _SHIFT + F.col("end")).alias("span"),
         F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"))
-    edges = parts.join(F.broadcast(table), "piece").select("unit", (F.col("place") * _SHIFT * _SHIFT + F.col("span")).alias("edge"))
-    found = edges.groupBy("unit").agg(F.collect_list("edge").alias("edges"))
-    # a unit without any piece keeps its place; both sides are already dealt by unit
-    return units.join(found, "unit", "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<long>")))
+    edges = parts.join(F.broadcast(table), "piece").select(*units.columns, (F.col("place") * _SHIFT * _SHIFT + F.col("span")).alias("edge"))
+    return edges.groupBy(*units.columns).agg(F.collect_list("edge").alias("edges"))  # already dealt by unit
 
 
 _SHIFT = 1 << 20
@@ -234,13 +252,15 @@ def encode(docs: DataFrame, vocab: Vocabulary, kind: str = "bpe", frequent: int
                         F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(max(1, groups // 2), "g")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, known, asked = re.compile(vocab.units), common.value, set()
+        pattern, known, asked = re.compile(vocab.units), common.value, defaultdict(set)
         for batch in batches:
             for g, text in zip(batch.column("g").to_pylist(), batch.column("text")):
-                asked.update((g, u) for u in set(units_of(text.as_py(), pattern)) if u not in known)
-        for low in range(0, len(rows := list(asked)), 50_000):
-            g, u = zip(*rows[low:low + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(u, pa.string())], names=["g", "unit"])
+                asked[g].update(u for u in units_of(text.as_py(), pattern) if u not in known)
+        while asked:
+            g, units = asked.popitem()
+            while units:
+                some = [units.pop() for _ in range(min(len(units), 1 << 14))]
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(some), pa.int32()), pa.array(some, pa.string())], names=["g", "unit"])
 
     rare = table.mapInArrow(ask, "g int, unit string").join(encoded.select("unit", "ids"), "unit").select("g", "unit", "ids")
 
