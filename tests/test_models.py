@@ -214,3 +214,37 @@ def test_a_label_has_one_weight(spark):
     names, df = noisy(spark, 100)
     with pytest.raises(ValueError, match="one weight"):
         rf.grow_forest(df.withColumn("weight", F.rand(1)), names, ["c"], trees=1)
+
+
+def test_trees_of_a_block_share_its_rows(spark, monkeypatch):
+    """Rows travel once a block, not once a tree, and the nodes are those of trees that are grown one by one."""
+    names, df = noisy(spark, 600)
+    coder = rf.fit_coder(df, names, ["c"])
+    coded, trees = rf._coded(df.repartition(3), coder), list(range(40))
+    dealt = []
+    spread = type(coded).repartitionById
+    monkeypatch.setattr(type(coded), "repartitionById", lambda self, *args: dealt.append(self.cache()) or spread(dealt[-1], *args))
+    together = rf._whole_trees(coded, [1.0, 1.0], 6, trees, rf.SEED, None).collect()
+    blocks = -(-40 // min(8, max(1, 40 // (2 * spark.sparkContext.defaultParallelism))))
+    assert sum(len(r.codes) for r in dealt[0].collect()) == 600 * 6 * blocks
+    alone = rf._nodes(rf._blocks(coded, 6, trees, rf.SEED, {}, set()), 4, [1.0, 1.0], 6, rf.SEED, None).collect()
+    assert set(together) == set(alone) and len(together) == len(alone) > 40 * 50
+
+
+def test_of_two_children_one_is_added_up(monkeypatch):
+    """The sums of all open nodes are as if each was added up; fewer than half of the rows are, below the root."""
+    rng = np.random.default_rng(5)
+    codes = np.column_stack([rng.integers(0, 40, 5000), rng.integers(0, 2, (5000, 7))]).astype(np.uint8)
+    kind = (2 * rng.integers(1, 4, 5000) + rng.integers(0, 2, 5000)).astype(np.uint8)
+    added, there, plain, derived = [], [], rf._Level.flag_sums, rf._Level.child_sums
+
+    def child_sums(level, above, open_):
+        there.append(level.counts.sum())
+        sums = derived(level, above, open_)
+        assert np.array_equal(sums, plain(level, open_))
+        return sums
+
+    monkeypatch.setattr(rf._Level, "child_sums", child_sums)
+    monkeypatch.setattr(rf._Level, "flag_sums", lambda level, nodes: added.append(level.counts[nodes].sum()) or plain(level, nodes))
+    rf._grow(codes, kind, [1.0, 1.0], 1, 0, 1, 6)
+    assert len(there) > 3 and added[0] == 5000 and sum(added[1:]) <= 0.5 * sum(there)
