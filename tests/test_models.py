@@ -248,3 +248,25 @@ def test_of_two_children_one_is_added_up(monkeypatch):
     monkeypatch.setattr(rf._Level, "flag_sums", lambda level, nodes: added.append(level.counts[nodes].sum()) or plain(level, nodes))
     rf._grow(codes, kind, [1.0, 1.0], 1, 0, 1, 6)
     assert len(there) > 3 and added[0] == 5000 and sum(added[1:]) <= 0.5 * sum(there)
+
+
+def test_scoring_holds_a_few_blocks_of_trees_at_a_time(spark, monkeypatch):
+    """Votes are added up in rounds, each of which leaves a sum a row; the shares are those of the trees walked one by one."""
+    names, df = noisy(spark, 120)
+    trees = 8 * (3 * spark.sparkContext.defaultParallelism + 1)
+    forest = rf.grow_forest(df, names, ["c"], trees=trees, max_depth=2)
+    rows = df.withColumn("row", F.monotonically_increasing_id()).cache()
+    held, settled = [], rf.settled
+    monkeypatch.setattr(rf, "settled", lambda d, *path: held.append(settled(d, *path)) or held[-1])
+    got = {r.row: r.probability for r in forest.probability(rows).collect()}
+    assert len(held) == 1 and held[0].count() == 120
+    tables, codes = grown(forest.nodes), rf._coded(df, forest.coder, None)
+    by_row = {r.row: np.frombuffer(bytes(r.codes), np.uint8) for r in codes.collect()}
+    hashes = {r.row: r.h for r in rows.select("row", F.xxhash64(*df.columns).alias("h")).collect()}
+
+    def walk(node, code):
+        return node[1] if node[0] == "leaf" else walk(node[2 if code[node[0]] <= node[1] else 3], code)
+
+    for row, p in got.items():
+        assert p == pytest.approx(sum(walk(t, by_row[hashes[row]]) for t in tables.values()) / trees, abs=1e-6)
+    assert len(got) == 120 and len(tables) == trees
