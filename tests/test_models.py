@@ -253,13 +253,14 @@ def test_of_two_children_one_is_added_up(monkeypatch):
 def test_scoring_holds_a_few_blocks_of_trees_at_a_time(spark, monkeypatch):
     """Votes are added up in rounds, each of which leaves a sum a row; the shares are those of the trees walked one by one."""
     names, df = noisy(spark, 120)
-    trees = 8 * (3 * spark.sparkContext.defaultParallelism + 1)
+    trees = 8 * (max(8, 3 * spark.sparkContext.defaultParallelism) + 1)
     forest = rf.grow_forest(df, names, ["c"], trees=trees, max_depth=2)
     rows = df.withColumn("row", F.monotonically_increasing_id()).cache()
     held, settled = [], rf.settled
+    monkeypatch.setattr(rf, "_TRAVEL", 0)  # rounds as small as the cluster allows
     monkeypatch.setattr(rf, "settled", lambda d, *path: held.append(settled(d, *path)) or held[-1])
     got = {r.row: r.probability for r in forest.probability(rows).collect()}
-    assert len(held) == 1 and held[0].count() == 120
+    assert [set(h.columns) for h in held] == [{"row", "codes"}, {"row", "p"}] and held[1].count() == 120
     tables, codes = grown(forest.nodes), rf._coded(df, forest.coder, None)
     by_row = {r.row: np.frombuffer(bytes(r.codes), np.uint8) for r in codes.collect()}
     hashes = {r.row: r.h for r in rows.select("row", F.xxhash64(*df.columns).alias("h")).collect()}
@@ -270,3 +271,20 @@ def test_scoring_holds_a_few_blocks_of_trees_at_a_time(spark, monkeypatch):
     for row, p in got.items():
         assert p == pytest.approx(sum(walk(t, by_row[hashes[row]]) for t in tables.values()) / trees, abs=1e-6)
     assert len(got) == 120 and len(tables) == trees
+
+
+def test_many_rows_are_dealt_to_fewer_trees_at_a_time(spark, monkeypatch):
+    """Twice as many as there are cores where rows are many; nodes don't depend on that, with large nodes or without."""
+    names, df = noisy(spark, 400)
+    few = 2 * spark.sparkContext.defaultParallelism
+    dealt, blocks, whole = [], rf._blocks, rf._whole_trees
+    monkeypatch.setattr(rf, "_blocks", lambda *args: dealt.append(len(args[2])) or blocks(*args))
+    monkeypatch.setattr(rf, "_whole_trees", lambda *args: dealt.append(len(args[3])) or whole(*args))
+    for local_rows in (100, 5000):
+        nodes = []
+        for travel in (rf._TRAVEL, 1):
+            with monkeypatch.context() as m:
+                m.setattr(rf, "_TRAVEL", travel)
+                nodes.append(set(rf.grow_forest(df, names, ["c"], trees=few + 1, local_rows=local_rows, max_depth=4).nodes.collect()))
+        assert {n for n in dealt if n > 1} == {few + 1, few} and nodes[0] == nodes[1]
+        dealt.clear()
